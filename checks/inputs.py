@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from wavecount.functions.eventtime import utc_instant, utc_millis
 from wavecount.operators.lateness import arrival_order
+from wavecount.sources import behavior
 from wavecount.sources.access_log import TIME_FORMAT
 
+DROP_MS = 8 * 86_400_000
 SUFFIXES = ("", ".html", ".css", ".js", ".png", ".PNG")
 
 
@@ -95,8 +97,17 @@ def dense_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _line(whole).alias("value"), (ms + _k() * 9_000).alias("arrival_ms"), "event_id")
 
 
-def slightly_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines that arrive up to 40 seconds late, in four-day drops by arrival."""
-    arrival = utc_millis(F.col("ts")) + _k() * 400
+def _drop(arrival_ms: Column) -> Column:
+    return F.floor(arrival_ms / F.lit(DROP_MS)).cast("bigint").alias("drop")
+
+
+def behavior_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour lines in order of time, in drops of eight days."""
+    rows = behaviors(spark, sf_dir)
+    return rows.select(behavior.behavior_line().alias("value"), _drop(F.col("ts_sec") * 1000))
+
+
+def log_drops(spark: SparkSession, sf_dir: str, delay_ms: int) -> DataFrame:
+    """Log lines that arrive ``k * delay_ms`` late, in drops of eight days by arrival."""
     return events(spark, sf_dir).select(
-        _line(F.col("ts")).alias("value"), F.floor(arrival / F.lit(8 * 86_400_000)).cast("bigint").alias("drop"))
+        _line(F.col("ts")).alias("value"), _drop(utc_millis(F.col("ts")) + _k() * delay_ms))

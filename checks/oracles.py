@@ -81,6 +81,11 @@ _VIEWS = f"select item_id, ts_sec * 1000 as ts_ms from ({_BEHAVIOR}) where behav
 _ITEM_COUNTS = _counts(_VIEWS, *_ITEM)
 _HOT_ITEMS = _top(_ITEM_COUNTS, "item_id")
 
+_PAGE_VIEWS = f"""
+    select 'pv' as metric, ts_sec // 3600 * 3600000 + 3600000 as window_end, count(*) as cnt
+    from ({_BEHAVIOR}) group by all
+"""
+
 _REQUESTS = f"select * from ({_LOG}) where {_KEPT}"
 _PAGE_COUNTS = _counts(_REQUESTS, *_PAGE)
 _HOT_PAGES = _top(_PAGE_COUNTS, "url")
@@ -105,6 +110,26 @@ def _report(top: str, line: str, tail: str) -> str:
     """
 
 
+def _closed(rows: str, limit: str) -> str:
+    """Rows of windows which the watermark has passed at the end of the input."""
+    return f"select * from ({rows}) where window_end <= ({limit})"
+
+
+def _drop(delay: int) -> str:
+    """Log rows with their drop of eight days by arrival and the watermark of earlier drops."""
+    rows = f"select *, (({_MS}) + {_K} * {delay}) // 691200000 as drop_id from events"
+    log = _LOG.replace("from events", "from drops").replace("event_id,", "event_id, drop_id,")
+    return f"""
+        with drops as ({rows}), log as ({log}),
+        passed as (
+            select drop_id, max(max(ts_ms)) over (order by drop_id
+                rows between unbounded preceding and 1 preceding) - 1000 as watermark
+            from log group by drop_id
+        )
+        select log.*, watermark from log join passed using (drop_id)
+    """
+
+
 # Arrival instant that separates the old from the new snapshot: 2024-01-16 12:00 UTC.
 CHANGE_CUT_MS = 1_705_406_400_000
 
@@ -137,10 +162,7 @@ ORACLES: dict[str, str] = {
     "hot_items_report": _report(
         _HOT_ITEMS, "' 商品id = ' || item_id || ' 热门度 = ' || cnt", "chr(10) || chr(10)"),
     "hot_items_changelog": _changes(),
-    "page_views_hourly": f"""
-        select 'pv' as metric, ts_sec // 3600 * 3600000 + 3600000 as window_end, count(*) as cnt
-        from ({_BEHAVIOR}) group by all
-    """,
+    "page_views_hourly": _PAGE_VIEWS,
     "page_counts_sliding": _PAGE_COUNTS,
     "hot_pages_topn": _HOT_PAGES,
     "hot_pages_report": _report(_HOT_PAGES, "' 热门度 = ' || cnt || ' 被访问url = ' || url", "chr(10)"),
@@ -156,4 +178,11 @@ ORACLES: dict[str, str] = {
     "late_page_requests": f"""
         select event_id, arrival_ms, ip, user_id, ts_ms, method, url from ({_DENSE_REQUESTS}) where {_LATE}
     """,
+    "stream_page_views": _closed(_PAGE_VIEWS, f"select max(ts_sec) * 1000 from ({_BEHAVIOR})"),
+    "stream_hot_items": _closed(_HOT_ITEMS, f"select max(ts_sec) * 1000 from ({_BEHAVIOR})"),
+    "stream_hot_items_changelog": _HOT_ITEMS,
+    "stream_hot_pages": _closed(_HOT_PAGES, f"select max(ts_ms) - 1000 - 1 from ({_REQUESTS})"),
+    "stream_late_events": f"""
+        select ip, user_id, ts_ms, method, url from ({_drop(60_000)}) where {_KEPT} and {_LATE}
+    """,
 }

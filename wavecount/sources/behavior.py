@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavecount.sources.parsing import FAILFAST, keep_valid
@@ -34,7 +34,11 @@ def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
     )
 
 
-def render_behavior(rows: DataFrame) -> DataFrame:
+def behavior_line() -> Column:
     """The inverse of ``parse_behavior``, for replaying a table as lines."""
-    return rows.select(F.concat_ws(
-        SEPARATOR, "user_id", "item_id", "category_id", "behavior", "ts_sec").alias("value"))
+    return F.concat_ws(SEPARATOR, "user_id", "item_id", "category_id", "behavior", "ts_sec")
+
+
+def render_behavior(rows: DataFrame) -> DataFrame:
+    """Behaviour records as lines ``value``."""
+    return rows.select(behavior_line().alias("value"))
