@@ -60,12 +60,12 @@ def watermarks(rows: DataFrame, arrival: str, row_id: str, ts_ms: str, delay: in
     A running maximum in two levels: range partitions of the arrival order, which
     split a burst of equal arrivals by row id, and the maxima of all earlier
     partitions. The partition number has to mean the same rows in both levels,
-    hence the checkpoint in the shared folder.
+    hence the table in the shared folder.
     """
     spark = rows.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(spark, rows.repartitionByRange(partitions, arrival, row_id)
-                         .withColumn("_part", F.spark_partition_id()))
+    ranged = materialise(rows.repartitionByRange(partitions, arrival, row_id)
+                         .withColumn("_part", F.spark_partition_id()), "arrival-ranges")
     parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = ranged.groupBy("_part").agg(F.max(ts_ms).alias("_max")).select(
         "_part", F.max("_max").over(parts).alias("_before"))  # one row per partition
@@ -86,12 +86,11 @@ def window_closings(stream: DataFrame, order: Column, ts_ms: Column, size: int,
     """
     if delay < 0 or after < -1:
         raise ValueError("a window cannot close before its end")
-    spark = stream.sparkSession
     reached = stream.select(
         last_end_reached(ts_ms - (delay + after), size, slide).alias("end"), order.alias("arrival")
     ).groupBy("end").agg(F.min("arrival").alias("arrival"))
-    reached = materialise(spark, reached.withColumn(
-        "chunk", F.floor(F.col("end") / F.lit(_CHUNK_WINDOWS * slide)).cast("bigint")))
+    reached = materialise(reached.withColumn(
+        "chunk", F.floor(F.col("end") / F.lit(_CHUNK_WINDOWS * slide)).cast("bigint")), "reached")
 
     # Running minimum from the latest window backwards: over chunks, then inside each.
     chunks = reached.groupBy("chunk").agg(
@@ -129,7 +128,7 @@ def window_closings(stream: DataFrame, order: Column, ts_ms: Column, size: int,
         F.lit(None).cast("decimal(38,0)").alias("closed_after"),
         F.col("closed").alias("prev_closed_after"),
     )
-    return materialise(spark, filled.unionByName(open_end))
+    return materialise(filled.unionByName(open_end), "closings")
 
 
 def _lookup(closings: DataFrame) -> DataFrame:
@@ -154,7 +153,9 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
         order.alias("arrival"),
         first_window_end(ts_ms, size, slide).alias("own_first"),
         last_window_end(ts_ms, size, slide).alias("last_end"),
-    ).filter("own_first <= last_end")
+    )
+    if slide > size:
+        spans = spans.filter("own_first <= last_end")
     first = closings.select(F.col("window_end").alias("own_first"), F.col("closed_after").alias("first_closed"))
     all_open = F.col("first_closed").isNull() | (F.col("arrival") <= F.col("first_closed"))
     ends = (
@@ -175,6 +176,8 @@ def late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: i
               closings: DataFrame) -> DataFrame:
     """Rows that came after all their windows were closed for good, with all their columns."""
     columns = rows.columns
+    if slide > size:  # a row between two windows is in none, so none was closed
+        rows = rows.filter(first_window_end(ts_ms, size, slide) <= last_window_end(ts_ms, size, slide))
     last = _lookup(closings.select(
         F.col("window_end").alias("_last_end"), F.col("closed_after").alias("_closed_after")))
     tagged = rows.withColumn("_last_end", last_window_end(ts_ms, size, slide)).withColumn("_arrival", order)

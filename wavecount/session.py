@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "wavecount", master: str | None = None,
@@ -58,7 +58,13 @@ def new_workdir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(spark: SparkSession, df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    shared_dir(spark)
-    return df.checkpoint(eager=True)
+def materialise(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    Later stages start from the written rows, whatever executors are lost, read
+    only the columns they need, and are planned with the table's real size.
+    """
+    spark = df.sparkSession
+    path = new_workdir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
