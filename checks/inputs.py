@@ -13,6 +13,7 @@ from wavecount.operators.lateness import arrival_order
 from wavecount.sources import behavior
 from wavecount.sources.access_log import TIME_FORMAT
 
+VIEW = "view"
 DROP_MS = 8 * 86_400_000
 SUFFIXES = ("", ".html", ".css", ".js", ".png", ".PNG")
 
@@ -42,14 +43,17 @@ def behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def behaviors_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """item_id, behavior, ts and an arrival up to 99 minutes after the event."""
-    ms = utc_millis(F.col("ts"))
+def item_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """item_id, behavior, ts of every event, and an arrival up to 99 minutes later.
+
+    Columns are only renamed, so that filters reach the scan; the behaviour to
+    count is ``VIEW``.
+    """
     return events(spark, sf_dir).select(
         F.col("user_id").alias("item_id"),
-        F.when(F.col("event_type") == "view", "pv").otherwise(F.col("event_type")).alias("behavior"),
+        F.col("event_type").alias("behavior"),
         utc_instant(F.col("ts")).alias("ts"),
-        (ms + _k() * 60_000).alias("arrival_ms"),
+        (utc_millis(F.col("ts")) + _k() * 60_000).alias("arrival_ms"),
     )
 
 

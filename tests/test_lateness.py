@@ -79,35 +79,35 @@ def test_replay_without_broadcast(spark, monkeypatch):
 
 def test_replay_over_many_chunks(spark, monkeypatch):
     monkeypatch.setattr(lateness, "_CHUNK_WINDOWS", 3)
-    for case in (2, 6):
+    for case in (4, 6):
         size, slide, delay, allowed, rows = CASES[case]
         run = replay(spark, rows, size=size, slide=slide, delay=delay, lateness=allowed)
         assert as_counts(run.counts_on_time()) == dict(model.replay(rows, size, slide, delay, FIRST_COUNT))
         assert {r.id for r in run.late().collect()} == model.late(rows, size, slide, delay, allowed)
 
 
-def outcome(spark, watermark, end=100_000, size=10_000, delay=1_000, allowed=60_000):
-    """Whether a row of the tumbling window ``end`` counts at first, is ranked at first, counts at last, is late."""
-    rows = [("mover", watermark + delay, 1, 1), ("row", end - 1, 2, 2)]
-    run = replay(spark, rows, size=size, slide=size, delay=delay, lateness=allowed)
-    return (
-        ("row", end) in as_counts(run.counts_on_time()),
-        any(r.key == "row" for r in run.top_n_on_time().collect()),
-        ("row", end) in as_counts(run.counts_final()),
-        any(r.key == "row" for r in run.late().collect()),
-    )
-
-
-@pytest.mark.parametrize("offset,expected", [
+BOUNDARIES = [
+    # watermark minus window end -> counted first, ranked first, counted in the end, late
     (-2, (True, True, True, False)),
     (-1, (False, True, True, False)),
     (0, (False, True, True, False)),
     (1, (False, False, True, False)),
     (-1 + 59_999, (False, False, True, False)),
     (-1 + 60_000, (False, False, False, True)),
-])
-def test_boundaries_to_the_millisecond(spark, offset, expected):
-    assert outcome(spark, 100_000 + offset) == expected
+]
+
+
+def test_boundaries_to_the_millisecond(spark):
+    """One row per case just below the end of its window, each after a row that sets the watermark."""
+    rows, expected = [], {}
+    for n, (offset, outcome) in enumerate(BOUNDARIES):
+        end = 1_000_000 * (n + 1)
+        rows += [("mover", end + offset + 1_000, 2 * n, 2 * n), (f"row{n}", end - 1, 2 * n + 1, 2 * n + 1)]
+        expected[f"row{n}"] = outcome
+    run = replay(spark, rows, size=10_000, slide=10_000, delay=1_000, lateness=60_000)
+    outputs = [{r.key for r in frame.collect()} for frame in (
+        run.counts_on_time(), run.top_n_on_time(), run.counts_final(), run.late())]
+    assert {key: tuple(key in output for output in outputs) for key in expected} == expected
 
 
 def test_row_lost_for_its_first_window_only_is_not_late(spark):

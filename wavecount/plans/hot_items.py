@@ -28,11 +28,13 @@ def hot_items(rows: DataFrame, n: int = TOP_N, size: int = SIZE, slide: int = SL
     return top_n(item_counts(rows, size, slide, behavior), "item_id", n)
 
 
-def hot_items_report(rows: DataFrame, n: int = TOP_N, zone: str = "UTC") -> DataFrame:
+def hot_items_report(rows: DataFrame, n: int = TOP_N, zone: str = "UTC",
+                     behavior: str = VIEW_BEHAVIOR) -> DataFrame:
     """window_end and the printed text of each window's ranking."""
-    return item_report(hot_items(rows, n), zone)
+    return item_report(hot_items(rows, n, behavior=behavior), zone)
 
 
-def hot_items_changelog(old_rows: DataFrame, new_rows: DataFrame, n: int = TOP_N) -> DataFrame:
+def hot_items_changelog(old_rows: DataFrame, new_rows: DataFrame, n: int = TOP_N,
+                        behavior: str = VIEW_BEHAVIOR) -> DataFrame:
     """What the ranking retracts and adds when the input grows from old to new."""
-    return changelog(hot_items(old_rows, n), hot_items(new_rows, n))
+    return changelog(hot_items(old_rows, n, behavior=behavior), hot_items(new_rows, n, behavior=behavior))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Behaviour, window and rank limit of the ranking.
+from wavecount.operators.filters import VIEW_BEHAVIOR, keep_behavior
+
+# Window and rank limit of the ranking.
 COUNTS = """
     select item_id, unix_millis(w.end) as window_end, cnt
     from (
         select item_id, window(ts, '1 hour', '5 minutes') as w, count(item_id) as cnt
         from {view}
-        where behavior = 'pv'
+        where behavior = :behavior
         group by item_id, window(ts, '1 hour', '5 minutes')
     )
 """
@@ -26,24 +28,22 @@ RANKED = """
 
 
 def register(rows: DataFrame, view: str = "data_table") -> str:
-    """Make item_id, behavior and ts of a bounded or streaming table available to SQL."""
+    """Make item_id, behavior and ts of a table available to SQL."""
     rows.select("item_id", "behavior", "ts").createOrReplaceTempView(view)
     return view
 
 
-def hot_items_sql(rows: DataFrame, view: str = "data_table") -> DataFrame:
+def hot_items_sql(rows: DataFrame, view: str = "data_table", behavior: str = VIEW_BEHAVIOR) -> DataFrame:
     """One nested statement: count per item and window, rank, cut."""
     counts = "(" + COUNTS.format(view=register(rows, view)) + ")"
-    return rows.sparkSession.sql(RANKED.format(counts=counts))
+    return rows.sparkSession.sql(RANKED.format(counts=counts), args={"behavior": behavior})
 
 
-def hot_items_two_step(rows: DataFrame, view: str = "agg") -> DataFrame:
+def hot_items_two_step(rows: DataFrame, view: str = "agg", behavior: str = VIEW_BEHAVIOR) -> DataFrame:
     """Counts with the DataFrame API, registered as a view, ranked with SQL."""
-    window = F.window("ts", "1 hour", "5 minutes")
     counts = (
-        rows.select("item_id", "behavior", "ts")
-        .filter("behavior = 'pv'")
-        .groupBy("item_id", window.alias("w"))
+        keep_behavior(rows.select("item_id", "behavior", "ts"), behavior)
+        .groupBy("item_id", F.window("ts", "1 hour", "5 minutes").alias("w"))
         .agg(F.count("item_id").alias("cnt"))
         .select("item_id", F.unix_millis("w.end").alias("window_end"), "cnt")
     )

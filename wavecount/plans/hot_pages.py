@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -60,9 +60,14 @@ class Replay:
     slide: int = SLIDE
     delay: int = BOUNDED_DELAY
     lateness: int = ALLOWED_LATENESS
+    _known: dict[int, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def _closings(self, after: int) -> DataFrame:
-        return window_closings(self.stream, self.order, self.ts_ms, self.size, self.slide, self.delay, after)
+        """The closing points, computed once for all outputs that share them."""
+        if after not in self._known:
+            self._known[after] = window_closings(
+                self.stream, self.order, self.ts_ms, self.size, self.slide, self.delay, after)
+        return self._known[after]
 
     def _counts(self, after: int) -> DataFrame:
         spans = open_spans(self.rows, [self.key], self.order, self.ts_ms, self.size, self.slide,
