@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavecount.sources.parsing import FAILFAST, keep_valid
+from wavecount.sources.parsing import FAILFAST, keep_valid, parsed_fields
 
 # The layout of a log line.
 SEPARATOR = " "
@@ -25,14 +25,12 @@ def parse_access_log(lines: DataFrame, mode: str = FAILFAST, zone: str = "UTC",
     """
     fields = lines.select("value", *carry, F.split(F.rtrim("value"), SEPARATOR).alias("f"))
     local_time = F.concat_ws(SEPARATOR, F.get("f", F.lit(TIME)), F.lit(zone))
-    parsed = fields.select(
-        "value",
-        *carry,
+    parsed = fields.select("value", *carry, parsed_fields(
         F.get("f", F.lit(IP)).alias("ip"),
         F.get("f", F.lit(USER)).alias("user_id"),
         F.try_to_timestamp(local_time, F.lit(_PARSE_FORMAT)).alias("ts"),
         F.get("f", F.lit(METHOD)).alias("method"),
         F.get("f", F.lit(URL)).alias("url"),
-    )
+    ))
     valid = F.col("ts").isNotNull() & F.col("url").isNotNull()
     return keep_valid(parsed, valid, F.col("value"), mode).drop("value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wavecount.sources.parsing import FAILFAST, keep_valid
+from wavecount.sources.parsing import FAILFAST, keep_valid, parsed_fields
 
 SEPARATOR = ","
 
@@ -16,14 +16,13 @@ def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
     ``ts_sec`` is in epoch seconds. Fields after the fifth are ignored.
     """
     fields = lines.select("value", F.split("value", SEPARATOR).alias("f"))
-    parsed = fields.select(
-        "value",
+    parsed = fields.select("value", parsed_fields(
         F.get("f", F.lit(0)).try_cast("bigint").alias("user_id"),
         F.get("f", F.lit(1)).try_cast("bigint").alias("item_id"),
         F.get("f", F.lit(2)).try_cast("int").alias("category_id"),
         F.get("f", F.lit(3)).alias("behavior"),
         F.get("f", F.lit(4)).try_cast("bigint").alias("ts_sec"),
-    )
+    ))
     valid = (
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("category_id").isNotNull()
         & F.col("behavior").isNotNull() & F.col("ts_sec").isNotNull()

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -23,15 +23,29 @@ from wavecount.operators.windows import stream_window_counts
 from wavecount.plans import hot_items, hot_pages, page_views
 from wavecount.streaming.sinks import BatchFolder, Progress, WindowCounts
 
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
 RANKED_ITEMS = "item_id bigint, window_end bigint, cnt bigint, row_num int"
 RANKED_PAGES = "url string, window_end bigint, cnt bigint, row_num int"
 ITEM_CHANGES = "insert boolean, " + RANKED_ITEMS
 LATE_REQUESTS = "ip string, user_id string, ts timestamp, method string, url string"
 
 
-def _start(writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
+def _start(spark: SparkSession, writer: DataStreamWriter, checkpoint: str, available_now: bool) -> StreamingQuery:
+    """Start with no more state partitions than cores.
+
+    Every micro-batch visits every state partition, also empty ones, and adaptive
+    execution does not merge them; the number is fixed with the first batch. The
+    query takes its settings when it starts, so the session gets its own back.
+    """
     writer = writer.option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    writer = writer.trigger(availableNow=True) if available_now else writer
+    configured = spark.conf.get(SHUFFLE_PARTITIONS)
+    spark.conf.set(SHUFFLE_PARTITIONS, str(min(int(configured), spark.sparkContext.defaultParallelism)))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, configured)
 
 
 def _each_batch(rows: DataFrame, handle: Callable[[DataFrame, int], None], output_mode: str,
@@ -43,7 +57,7 @@ def _each_batch(rows: DataFrame, handle: Callable[[DataFrame, int], None], outpu
         finally:
             batch.unpersist()
 
-    return _start(rows.writeStream.foreachBatch(run).outputMode(output_mode), checkpoint, available_now)
+    return _start(rows.sparkSession, rows.writeStream.foreachBatch(run).outputMode(output_mode), checkpoint, available_now)
 
 
 def page_views_counts(rows: DataFrame, size: int = page_views.SIZE) -> DataFrame:
@@ -56,7 +70,7 @@ def stream_page_views(rows: DataFrame, out: str, checkpoint: str, available_now:
                       size: int = page_views.SIZE) -> StreamingQuery:
     """Hourly volume appended to a parquet folder, each hour once."""
     writer = page_views_counts(rows, size).writeStream.format("parquet").option("path", out).outputMode("append")
-    return _start(writer, checkpoint, available_now)
+    return _start(rows.sparkSession, writer, checkpoint, available_now)
 
 
 def item_counts_stream(rows: DataFrame, size: int = hot_items.SIZE, slide: int = hot_items.SLIDE) -> DataFrame:
@@ -151,7 +165,7 @@ def stream_hot_pages(requests: DataFrame, store: WindowCounts, progress: Progres
                        checkpoint, available_now)
 
 
-def latest_ranking(out: BatchFolder, spark) -> DataFrame:
+def latest_ranking(out: BatchFolder, spark: SparkSession) -> DataFrame:
     """The newest ranking of every window from the output of ``stream_hot_pages``."""
     ranked = out.read(spark)
     newest = ranked.groupBy("window_end").agg(F.max("batch_id").alias("batch_id"))
