@@ -19,7 +19,7 @@ closing point of their windows, in place, without being shuffled or sorted.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -140,9 +140,9 @@ def window_closings(stream: DataFrame, order: Column, ts_ms: Column, size: int,
     return materialise(filled.unionByName(open_end), "closings")
 
 
-def _lookup(closings: DataFrame) -> DataFrame:
-    """Broadcast the closing points when they are few; otherwise leave the join to Spark."""
-    return F.broadcast(closings) if closings.count() <= BROADCAST_ROWS else closings
+def _lookup_side(closings: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast tables made from the closing points when these are few; else leave the join to Spark."""
+    return F.broadcast if closings.count() <= BROADCAST_ROWS else lambda table: table
 
 
 def _takes(prev_closed: str, closed: str) -> Column:
@@ -162,7 +162,7 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
     the end in the group, so that 120 windows cost 22 lookups. In both steps at most
     one candidate matches. Rows without an open window disappear.
     """
-    closings = _lookup(closings)
+    lookup = _lookup_side(closings)
     phase = size % slide
     per_group = max(1, math.isqrt(size // slide + 1))
     step, group_step = F.lit(slide).cast("bigint"), F.lit(per_group * slide).cast("bigint")
@@ -186,7 +186,7 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
     if slide > size:
         spans = spans.filter("own_first <= last_end")
     all_open = F.col("first_closed").isNull() | (F.col("arrival") <= F.col("first_closed"))
-    tagged = spans.join(first, "own_first", "left").withColumn("all_open", all_open)
+    tagged = spans.join(lookup(first), "own_first", "left").withColumn("all_open", all_open)
 
     second = F.col("own_first") + slide
     candidate_groups = (
@@ -196,14 +196,14 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
     )
     in_group = tagged.select(
         *keys, "arrival", "own_first", "last_end", "all_open", F.explode(candidate_groups).alias("group")
-    ).join(_lookup(groups), "group", "left").filter(
+    ).join(lookup(groups), "group", "left").filter(
         F.col("all_open") | _takes("prev_group_closed", "group_closed"))
 
     candidate_ends = F.when(F.col("all_open"), F.array("own_first")).otherwise(F.sequence(
         F.greatest(second, "group"), F.least("last_end", F.col("group") + (per_group - 1) * slide), step))
     return in_group.select(
         *keys, "arrival", "last_end", "all_open", F.explode(candidate_ends).alias("first_end")
-    ).join(fine, "first_end", "left").filter(
+    ).join(lookup(fine), "first_end", "left").filter(
         F.col("all_open") | _takes("prev_closed_after", "closed_after")).select(*keys, "first_end", "last_end")
 
 
@@ -213,7 +213,6 @@ def late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: i
     columns = rows.columns
     if slide > size:  # a row between two windows is in none, so none was closed
         rows = rows.filter(first_window_end(ts_ms, size, slide) <= last_window_end(ts_ms, size, slide))
-    last = _lookup(closings.select(
-        F.col("window_end").alias("_last_end"), F.col("closed_after").alias("_closed_after")))
+    last = closings.select(F.col("window_end").alias("_last_end"), F.col("closed_after").alias("_closed_after"))
     tagged = rows.withColumn("_last_end", last_window_end(ts_ms, size, slide)).withColumn("_arrival", order)
-    return tagged.join(last, "_last_end").filter(F.col("_closed_after") < F.col("_arrival")).select(*columns)
+    return tagged.join(_lookup_side(closings)(last), "_last_end").filter(F.col("_closed_after") < F.col("_arrival")).select(*columns)

@@ -14,6 +14,17 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of one text file with their place in it: value, block bigint, line bigint.
+
+    (block, line) rises from line to line. A file is read in splits, so the place is
+    the byte offset of the split and the position inside it; nothing is counted
+    across tasks.
+    """
+    return spark.read.text(path).select(
+        "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+
+
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Lines of a folder that keeps receiving text files."""
     reader = spark.readStream.format("text")

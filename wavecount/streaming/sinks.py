@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 DAY = 86_400_000
+LISTED_DAYS = 100
 
 
 def labelled(rows: DataFrame, label: str) -> DataFrame:
@@ -85,11 +86,16 @@ class WindowCounts:
 
     def read(self, spark: SparkSession, first_end: int, last_end: int, batch_id: int) -> DataFrame:
         """Rows of all batches up to ``batch_id`` for windows that end in the given range."""
-        days = ",".join(str(day) for day in range(first_end // DAY, last_end // DAY + 1))
-        stored = spark.read.schema(self.schema).option("basePath", self.path).parquet(
-            f"{self.path}/window_day={{{days}}}")
+        first_day, last_day = first_end // DAY, last_end // DAY
+        if last_day - first_day < LISTED_DAYS:  # list these folders only
+            days = ",".join(str(day) for day in range(first_day, last_day + 1))
+            folders = f"{self.path}/window_day={{{days}}}"
+        else:
+            folders = self.path
+        stored = spark.read.schema(self.schema).option("basePath", self.path).parquet(folders)
         return stored.filter(
-            F.col("window_end").between(first_end, last_end) & (F.col("batch_id") <= batch_id))
+            F.col("window_day").between(first_day, last_day) & F.col("window_end").between(first_end, last_end)
+            & (F.col("batch_id") <= batch_id))
 
     def latest(self, spark: SparkSession, first_end: int, last_end: int, batch_id: int) -> DataFrame:
         """window_end, key, cnt: counts only grow, so the largest is the newest."""
