@@ -52,6 +52,16 @@ def test_hot_items_stream_equals_the_model(spark, tmp_path):
     assert set(result) == expected and len(result) == len(expected)
 
 
+def test_dropped_rows_move_the_watermark_of_a_stream(spark, tmp_path):
+    lines = spark.createDataFrame([("1,5,7,pv,100", 0), ("1,6,7,buy,9999999", 1)], "value string, drop int")
+    out = BatchFolder(str(tmp_path / "out"), jobs.RANKED_ITEMS)
+    replay_in_drops(
+        lines, "drop", str(tmp_path / "in"),
+        lambda live: jobs.stream_hot_items(parse_behavior(live), out, str(tmp_path / "state"), available_now=True))
+    assert {r.item_id for r in out.read(spark).collect()} == {5}
+    assert out.read(spark).count() == 12
+
+
 def test_changelog_of_each_batch_leads_to_its_ranking(spark, tmp_path):
     drops = [[(1, 1000), (2, 1100), (2, 1150)], [(1, 1200), (1, 1210), (1, 1220)], [(3, 1300)]]
     out = BatchFolder(str(tmp_path / "out"), jobs.ITEM_CHANGES)
@@ -109,7 +119,7 @@ def test_late_requests_against_earlier_batches(spark, tmp_path):
             parse_access_log(live), progress, out, str(tmp_path / "state"), available_now=True))
     # watermark 699000: late when last end - 1 + 60000 <= 699000, so last end <= 639001
     late = out.read(spark).select("url", F.unix_millis("ts")).collect()
-    assert sorted(tuple(r) for r in late) == [("/lost", 30_000)]
+    assert sorted(tuple(r) for r in late) == [("/lost", 30_000), ("/lost", 39_000)]
 
 
 def test_rerun_of_a_batch_leaves_the_same_rows(spark, tmp_path):

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wavecount.functions.eventtime import interval, last_window_end
 from wavecount.operators.changelog import changelog
-from wavecount.operators.filters import keep_behavior, keep_page_requests
+from wavecount.operators.filters import is_behavior, is_page_request, keep_above_watermark, keep_page_requests
 from wavecount.operators.lateness import ALLOWED_LATENESS, BOUNDED_DELAY, FIRST_RANKING, lost_after
 from wavecount.operators.ranking import TOP_N, top_n
 from wavecount.operators.windows import stream_window_counts
@@ -75,7 +75,7 @@ def stream_page_views(rows: DataFrame, out: str, checkpoint: str, available_now:
 
 def item_counts_stream(rows: DataFrame, size: int = hot_items.SIZE, slide: int = hot_items.SLIDE) -> DataFrame:
     """item_id, window_end, cnt of viewed items; every row moves the watermark."""
-    views = keep_behavior(rows.withWatermark("ts", interval(0)))
+    views = keep_above_watermark(rows.withWatermark("ts", interval(0)), is_behavior())
     return stream_window_counts(views, ["item_id"], size, slide)
 
 
@@ -125,7 +125,7 @@ def stream_hot_items_changelog(rows: DataFrame, store: WindowCounts, out: BatchF
 def page_counts_stream(requests: DataFrame, size: int = hot_pages.SIZE, slide: int = hot_pages.SLIDE,
                        delay: int = BOUNDED_DELAY, lateness: int = ALLOWED_LATENESS) -> DataFrame:
     """url, window_end, cnt, max_ts_ms of page requests; state is kept for the allowed lateness."""
-    kept = keep_page_requests(requests.withWatermark("ts", interval(delay + lateness)))
+    kept = keep_above_watermark(requests.withWatermark("ts", interval(delay + lateness)), is_page_request())
     window = F.window("ts", interval(size), interval(slide))
     counts = kept.groupBy("url", window.alias("w")).agg(
         F.count(F.lit(1)).alias("cnt"), F.max("ts").alias("max_ts"))
@@ -142,7 +142,8 @@ def stream_hot_pages(requests: DataFrame, store: WindowCounts, progress: Progres
     The query keeps one watermark, so its state lives on for the allowed lateness
     and changed counts leave it at once. What is ranked in a batch is every window
     that the on-time watermark passed since the last batch, and every window passed
-    before that the batch touched.
+    before that the batch touched. Here the watermark follows the page requests; of
+    the other rows a batch shows nothing, so they only limit how long state is kept.
     """
     def handle(changed: DataFrame, batch_id: int) -> None:
         first, _ = _touched_range(changed)
