@@ -59,6 +59,8 @@ def test_hot_pages_job_takes_the_file_order_as_arrival(spark, tmp_path):
     assert sorted(tuple(r) for r in found) == sorted(rows[i][:2] for i in late)
 
 
-def test_a_job_needs_a_source():
+@pytest.mark.parametrize("args", [
+    ["hot-items"], ["hot-pages", "--kafka", "host:9092"], ["replay", "--input", "in.csv"]])
+def test_a_job_needs_its_source(args):
     with pytest.raises(SystemExit):
-        main(["hot-items"])
+        main(args)

@@ -22,7 +22,7 @@ from wavecount.sources.access_log import parse_access_log
 from wavecount.sources.behavior import parse_behavior
 from wavecount.sources.lines import read_lines, read_lines_in_order, replay_to_kafka, stream_kafka_lines
 from wavecount.streaming import jobs
-from wavecount.streaming.sinks import console, labelled
+from wavecount.streaming.sinks import BatchFolder, console, labelled
 
 
 def _emit(result: DataFrame, args: argparse.Namespace, name: str) -> None:
@@ -44,6 +44,10 @@ def _hot_items(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.input:
         _emit(hot_items_report(_behaviors(spark, args), args.n, args.zone), args, "hot items")
         return
+    if args.output:
+        out = BatchFolder(f"{args.output}/hot items", jobs.RANKED_ITEMS)
+        jobs.stream_hot_items(_follow(spark, args), out, f"{args.output}/state", n=args.n).awaitTermination()
+        return
     counts = jobs.item_counts_stream(_follow(spark, args))
     counts.writeStream.outputMode("append").option("checkpointLocation", new_workdir(spark, "hot-items")).foreachBatch(
         lambda batch, _: _emit(item_report(top_n(batch, "item_id", args.n), args.zone), args, "hot items")
@@ -58,6 +62,10 @@ def _page_views(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.input:
         _emit(page_views(_behaviors(spark, args)), args, "page views")
         return
+    if args.output:
+        jobs.stream_page_views(
+            _follow(spark, args), f"{args.output}/page views", f"{args.output}/state").awaitTermination()
+        return
     console(jobs.page_views_counts(_follow(spark, args))).option(
         "checkpointLocation", new_workdir(spark, "page-views")).start().awaitTermination()
 
@@ -85,6 +93,9 @@ JOBS = {
 }
 
 
+FILE_JOBS = ("hot-items-sql", "hot-pages", "replay")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=sorted(JOBS))
@@ -100,6 +111,10 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if not (args.input or args.kafka):
         parser.error("name an --input or a --kafka server")
+    if args.job in FILE_JOBS and not args.input:
+        parser.error(f"{args.job} reads an --input")
+    if args.job == "replay" and not args.kafka:
+        parser.error("replay writes to a --kafka server")
     JOBS[args.job](build_session(args.job), args)
 
 
