@@ -18,7 +18,9 @@ any order among themselves; a null id sorts first; an empty table gives no block
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -36,7 +38,7 @@ from wavecount.session import new_workdir
 #: Ids of one block.
 BLOCK = 65_536
 #: Words a task remembers the ids of; beyond that it starts anew, results are the same.
-CACHED_WORDS = 700_000
+CACHED_WORDS = 1_400_000
 
 _BLOCKS = ("shard int, chunk int, first_id long, n_ids int, first_doc long, continued boolean, open boolean, "
            "doc_ids array<long>, lengths array<int>, planes array<binary>")
@@ -46,9 +48,7 @@ _SEGMENTS = "shard int, doc long, doc_id long, first_id long, n long, crc long"
 def to_planes(ids: np.ndarray, compress) -> list[bytes]:
     """Compressed planes of unsigned ids, lowest bit first."""
     bits = max(1, int(ids.max()).bit_length()) if len(ids) else 0
-    octets = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)[:, : (bits + 7) // 8]
-    matrix = np.unpackbits(octets, axis=1, bitorder="little")[:, :bits]
-    return [compress(np.packbits(plane).tobytes()) for plane in np.ascontiguousarray(matrix.T)]
+    return [compress(np.packbits((ids & ids.dtype.type(1 << k)).astype(bool)).tobytes()) for k in range(bits)]
 
 
 def from_planes(planes: list[bytes], n_ids: int, decompress) -> np.ndarray:
@@ -75,23 +75,26 @@ class _Words:
 
     def _learn(self, words: set[str]) -> None:
         ordered = list(words)
-        encoded = self.tokenizer.encode_batch_fast(ordered, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(ordered, encoded, strict=True))
+        encoded = self.tokenizer.encode_batch_fast([w[1:] if w[:1] == " " else f" {w}" for w in ordered], add_special_tokens=False)
+        code = "H" if self.kind.itemsize == 2 else "I"
+        self.known.update((w, array(code, e.ids).tobytes()) for w, e in zip(ordered, encoded, strict=True))
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
-        import re
-
-        parts = []
-        for value in values:
-            words = re.split(r"(?<! ) (?! )", value) if "  " in value else value.split(" ")
-            first = words[0]
-            words = [f" {w}" for w in words[1:]]
-            parts.append([first, *words] if first else words)
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        if fresh := set().union(*parts) - self.known.keys():
+        rows, fresh, get = [], set(), self.known.get
+        for value in values:
+            words = re.split(r"(?<! ) (?! )", value) if "  " in value else value.split(" ")
+            words[0] = f" {words[0]}"  # marks the one word without a space before it; no other begins with one
+            found = list(map(get, words))
+            if None in found:
+                fresh.update(w for w, ids in zip(words, found, strict=True) if ids is None)
+                rows.append((words, None))
+            else:
+                rows.append((words, found))
+        if fresh:
             self._learn(fresh)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, p)), self.kind) for p in parts]
+        return [np.frombuffer(b"".join(found or map(self.known.__getitem__, words)), self.kind) for words, found in rows]
 
 
 _encoders: dict[int, _Words] = {}
