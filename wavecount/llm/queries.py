@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wavecount.llm import bitplanes, decontamination
+from wavecount.llm import (
+    bitplanes, blob_ledger, decontamination, host_paths, learned_partitions, line_crf, ordinal_toxicity, piece_transducer,
+    signature_trees, surrogates)
 from wavecount.llm.common import read_table, visible_to_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +19,41 @@ def _bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.round_trip(spark, read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_partitions.search(read_table(spark, sf_dir, "embeddings"))
+
+
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordinal_toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def _pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_transducer.model_bytes(public_tokenizers.path("piece_bpe_32k.model"))
+    return piece_transducer.digest(read_table(spark, sf_dir, "documents"), model)
+
+
+def _host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_paths.extract(read_table(spark, sf_dir, "pages"))
+
+
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return blob_ledger.digest(blob_ledger.scan_documents(docs, blob_ledger.new_ledger(spark)))
+
+
+def _similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_trees.similar(read_table(spark, sf_dir, "documents"), words=4, threshold=(85, 100))
+
+
+def _surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = surrogates.replace_entities(read_table(spark, sf_dir, "documents"), key="a key for the test tables")
+    return replaced.select("doc_id", "text", "n_entities")
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = decontamination.scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return decontamination.digest(scanned).drop("spans")
@@ -40,7 +77,15 @@ def oracle_sql() -> dict[str, str]:
 
 _QUERIES: dict[str, Query] = {
     "op1_bit_planes": _bit_planes,
+    "op2_line_crf": _quality,
+    "op3_learned_partitions": _neighbours,
+    "op4_ordinal_toxicity": _toxicity,
+    "op5_piece_transducer": _pieces,
     "op6_benchmark_automaton": _decontamination,
+    "op7_host_paths": _host_paths,
+    "op8_blob_ledger": _secrets,
+    "op9_signature_trees": _similar,
+    "op10_surrogates": _surrogates,
 }
 
 _DECONTAMINATION = r"""
