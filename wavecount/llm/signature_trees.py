@@ -105,16 +105,16 @@ def shingle_set(text: str, words: int) -> np.ndarray:
         return h
     if len(h) < words:
         places = np.resize(_PLACES[:64], len(h))
-        return mix((h * places).sum(dtype=_U, keepdims=True) + _U(len(h)) * _PLACES[64])
+        return mix((h * places).sum(dtype=_U, keepdims=True) + np.full(1, len(h), _U) * _PLACES[64])
     n = len(h) - words + 1
-    total = np.full(n, _U(words) * _PLACES[64])
+    total = np.full(n, words, _U) * _PLACES[64]
     for k in range(words):
         total += h[k : k + n] * _PLACES[k]
     return np.unique(mix(total))
 
 
 def class_id(s: np.ndarray) -> int:
-    return int(mix(mix(s ^ _PLACES[0]).sum(dtype=_U, keepdims=True) + _U(len(s))).view(np.int64)[0])
+    return int(mix(mix(s ^ _PLACES[0]).sum(dtype=_U, keepdims=True) + np.full(1, len(s), _U)).view(np.int64)[0])
 
 
 class Segments:
@@ -136,16 +136,17 @@ class Segments:
         a = len(s)
         first, last = np.searchsorted(self.tops, [a, a * self.den // self.num])
         spread, out = mix(s ^ _PLACES[1]), []
+        by_level = np.arange(int(last) + 1, dtype=_U) * _PLACES[3]
         for level in range(int(first), int(last) + 1):
             most = self.differing(int(self.tops[level]), int(self.tops[level]))
             count = most + 2 + most // 32
             place = ((s >> _U(32)) * _U(count)) >> _U(32)  # rises with the hash, so segments lie together
             starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            seeds = place[starts] * _PLACES[2] + _U(level) * _PLACES[3]
+            seeds = place[starts] * _PLACES[2] + by_level[level]
             out.append(mix(np.add.reduceat(spread, starts) + seeds))
             if count - len(starts) >= count - most:  # empty segments might be all that a close set agrees in
                 empty = np.setdiff1d(np.arange(count, dtype=_U), place[starts])
-                out.append(mix(empty * _PLACES[2] + _U(level) * _PLACES[3]))
+                out.append(mix(empty * _PLACES[2] + by_level[level]))
         return np.concatenate(out)
 
 
@@ -279,7 +280,7 @@ def _clusters(signatures: DataFrame) -> DataFrame:
 def _filter(clusters: DataFrame) -> np.ndarray:
     """A bitmap of fixed size over hashes of the classes in clusters; at most FILTER_BITS / 64 rows are gathered."""
     place = F.pmod(F.col("node"), F.lit(FILTER_BITS))
-    words = clusters.select(F.floor(place / 64).cast("int").alias("word"), F.shiftleft(F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int")).alias("bit"))
+    words = clusters.select(F.floor(place / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(node, 64) as int))").alias("bit"))
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
@@ -314,7 +315,7 @@ def _units(sets: DataFrame, num: int, den: int, unit: int) -> DataFrame:
     """Each set with the units (cluster, block, block) it takes part in."""
     step = 1.1
     reach = math.floor(math.log(den / num) / math.log(step)) + 1  # size classes that may hold a close set
-    sets = sets.withColumn("size_class", F.floor(F.log(F.lit(step), F.col("n_shingles"))).cast("int"))
+    sets = sets.withColumn("size_class", F.floor(F.log(step, F.col("n_shingles"))).cast("int"))
     by_class = sets.groupBy("root", "size_class").agg(F.sum("n_shingles").alias("n"))
     large = by_class.groupBy("root").agg(F.sum("n").alias("all")).where(F.col("all") > unit).select("root")
     blocks = materialise(by_class.join(large, "root").select(

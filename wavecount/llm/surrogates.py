@@ -43,7 +43,7 @@ _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]*+@[A-Za-z0-9-]+(?
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _IP = rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)"
 _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-_CARD = r"(?<![\w+-])[3-6]\d{3}(?:\d{9,12}|([ -])\d{4}\1\d{4}\1\d{4})(?![\w-])"
+_CARD = r"(?<![\w+-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|[3-6]\d{12,18})(?![\w-])"
 _PHONE = (r"(?<![\w+.-])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
           r"|(?:\(\d{2,4}\) ?|\d{3,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])")
 _NAME = rf"(?<=(?<!\p{{L}})(?:{_TITLE})\.? )\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
