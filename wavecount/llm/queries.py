@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +87,7 @@ _QUERIES: dict[str, Query] = {
     "op8_blob_ledger": _secrets,
     "op9_signature_trees": _similar,
     "op10_surrogates": _surrogates,
+    "pipeline": corpus_pipeline.run,
 }
 
 _DECONTAMINATION = r"""
