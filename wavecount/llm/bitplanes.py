@@ -17,6 +17,7 @@ any order among themselves; a null id sorts first; an empty table gives no block
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -38,7 +39,7 @@ from wavecount.session import new_workdir
 #: Ids of one block.
 BLOCK = 65_536
 #: Words a task remembers the ids of; beyond that it starts anew, results are the same.
-CACHED_WORDS = 1_400_000
+CACHED_WORDS = 1_000_000
 
 _BLOCKS = ("shard int, chunk int, first_id long, n_ids int, first_doc long, continued boolean, open boolean, "
            "doc_ids array<long>, lengths array<int>, planes array<binary>")
@@ -158,12 +159,16 @@ def write_planes(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
         words = _encoders.get(key := zlib.crc32(shared.value.encode())) or _encoders.setdefault(key, _Words(shared.value))
         out = _Blocks(TaskContext.get().partitionId(), block)
         end = np.array([end_id], words.kind)
-        for part in slices(batches):
-            for doc_id, ids in zip(part["doc_id"].to_pylist(), words.encode(part["text"].to_pylist()), strict=True):
-                for row in out.add(doc_id, np.concatenate([ids, end])):
-                    yield pa.RecordBatch.from_pylist([row], schema=kind)
-        for row in out.end():
-            yield pa.RecordBatch.from_pylist([row], schema=kind)
+        gc.disable()  # nothing here is cyclic, and the remembered words are many
+        try:
+            for part in slices(batches):
+                for doc_id, ids in zip(part["doc_id"].to_pylist(), words.encode(part["text"].to_pylist()), strict=True):
+                    for row in out.add(doc_id, np.concatenate([ids, end])):
+                        yield pa.RecordBatch.from_pylist([row], schema=kind)
+            for row in out.end():
+                yield pa.RecordBatch.from_pylist([row], schema=kind)
+        finally:
+            gc.enable()
 
     ordered = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(blocks, schema).write.option("compression", "none").parquet(path)
