@@ -14,7 +14,8 @@ from wavecount.sources import behavior
 from wavecount.sources.access_log import TIME_FORMAT
 
 VIEW = "view"
-DROP_MS = 8 * 86_400_000
+DROP_MS = 3 * 86_400_000
+DENSE_DROP_MS = 40 * 60_000
 SUFFIXES = ("", ".html", ".css", ".js", ".png", ".PNG")
 
 
@@ -101,17 +102,22 @@ def dense_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _line(whole).alias("value"), (ms + _k() * 9_000).alias("arrival_ms"), "event_id")
 
 
-def _drop(arrival_ms: Column) -> Column:
-    return F.floor(arrival_ms / F.lit(DROP_MS)).cast("bigint").alias("drop")
+def dense_log_in_order(spark: SparkSession, sf_dir: str, path: str, files: int = 5) -> None:
+    """Write the dense log as text files whose names and lines follow the order of arrival."""
+    lines = dense_log_lines(spark, sf_dir).repartitionByRange(files, "arrival_ms", "event_id")
+    lines.sortWithinPartitions("arrival_ms", "event_id").select("value").write.text(path)
+
+
+def _drop(arrival_ms: Column, drop_ms: int) -> Column:
+    return F.floor(arrival_ms / F.lit(drop_ms)).cast("bigint").alias("drop")
 
 
 def behavior_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Behaviour lines in order of time, in drops of eight days."""
+    """Behaviour lines in order of time, in drops of three days."""
     rows = behaviors(spark, sf_dir)
-    return rows.select(behavior.behavior_line().alias("value"), _drop(F.col("ts_sec") * 1000))
+    return rows.select(behavior.behavior_line().alias("value"), _drop(F.col("ts_sec") * 1000, DROP_MS))
 
 
-def log_drops(spark: SparkSession, sf_dir: str, delay_ms: int) -> DataFrame:
-    """Log lines that arrive ``k * delay_ms`` late, in drops of eight days by arrival."""
-    return events(spark, sf_dir).select(
-        _line(F.col("ts")).alias("value"), _drop(utc_millis(F.col("ts")) + _k() * delay_ms))
+def log_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dense log, up to 15 minutes late, in drops of 40 minutes by arrival."""
+    return dense_log_lines(spark, sf_dir).select("value", _drop(F.col("arrival_ms"), DENSE_DROP_MS))

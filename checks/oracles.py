@@ -110,23 +110,39 @@ def _report(top: str, line: str, tail: str) -> str:
     """
 
 
-def _closed(rows: str, limit: str) -> str:
-    """Rows of windows which the watermark has passed at the end of the input."""
-    return f"select * from ({rows}) where window_end <= ({limit})"
+# The dense log with the watermark that the drops before a row's own have left.
+_DROPPED = f"""
+    with log as (select *, arrival_ms // 2400000 as drop_id from ({_DENSE_LOG})),
+    passed as (
+        select drop_id, max(max(ts_ms)) over (order by drop_id
+            rows between unbounded preceding and 1 preceding) - 1000 as watermark
+        from log group by drop_id
+    )
+    select log.*, watermark from log join passed using (drop_id)
+"""
+_DROPPED_REQUESTS = f"select * from ({_DROPPED}) where {_KEPT}"
 
 
-def _drop(delay: int) -> str:
-    """Log rows with their drop of eight days by arrival and the watermark of earlier drops."""
-    rows = f"select *, (({_MS}) + {_K} * {delay}) // 691200000 as drop_id from events"
-    log = _LOG.replace("from events", "from drops").replace("event_id,", "event_id, drop_id,")
+def _changes_by_drop() -> str:
+    """What each drop of three days changes in the ranking of all rows so far."""
     return f"""
-        with drops as ({rows}), log as ({log}),
-        passed as (
-            select drop_id, max(max(ts_ms)) over (order by drop_id
-                rows between unbounded preceding and 1 preceding) - 1000 as watermark
-            from log group by drop_id
-        )
-        select log.*, watermark from log join passed using (drop_id)
+        with rows as (select item_id, ts_sec * 1000 as ts_ms, ts_sec * 1000 // 259200000 as drop_id
+                      from ({_BEHAVIOR}) where behavior = 'pv'),
+        drops as (select distinct ts_sec * 1000 // 259200000 as drop_id from ({_BEHAVIOR})),
+        numbered as (select drop_id, row_number() over (order by drop_id) - 1 as batch_id from drops),
+        windows as (select item_id, drop_id, unnest(range(ts_ms // 300000 * 300000 + 300000,
+            ts_ms // 300000 * 300000 + 3600001, 300000)) as window_end from rows),
+        counts as (select n.batch_id, item_id, window_end, count(*) as cnt
+            from windows w join numbered n on w.drop_id <= n.drop_id group by all),
+        ranked as (select *, cast(row_number() over (partition by batch_id, window_end order by cnt desc, item_id) as integer) as row_num
+            from counts),
+        top as (select * from ranked where row_num <= 5),
+        later as (select batch_id + 1 as batch_id, item_id, window_end, cnt, row_num from top
+            where batch_id < (select max(batch_id) from numbered)),
+        same as (select batch_id, item_id, window_end, cnt, row_num from top)
+        select true as insert, * from (select * from same except select * from later)
+        union all
+        select false as insert, * from (select * from later except select * from same)
     """
 
 
@@ -166,8 +182,6 @@ ORACLES: dict[str, str] = {
     "page_counts_sliding": _PAGE_COUNTS,
     "hot_pages_topn": _HOT_PAGES,
     "hot_pages_report": _report(_HOT_PAGES, "' 热门度 = ' || cnt || ' 被访问url = ' || url", "chr(10)"),
-    "event_watermark": _with_watermark(_VERY_LATE, 1000),
-    "event_watermark_ascending": _with_watermark(_VERY_LATE, 1),
     "late_events": f"""
         select event_id, ts_ms, arrival_ms from ({_with_watermark(_VERY_LATE, 1000)}) where {_LATE}
     """,
@@ -178,11 +192,10 @@ ORACLES: dict[str, str] = {
     "late_page_requests": f"""
         select event_id, arrival_ms, ip, user_id, ts_ms, method, url from ({_DENSE_REQUESTS}) where {_LATE}
     """,
-    "stream_page_views": _closed(_PAGE_VIEWS, f"select max(ts_sec) * 1000 from ({_BEHAVIOR})"),
-    "stream_hot_items": _closed(_HOT_ITEMS, f"select max(ts_sec) * 1000 from ({_BEHAVIOR})"),
-    "stream_hot_items_changelog": _HOT_ITEMS,
-    "stream_hot_pages": _closed(_HOT_PAGES, f"select max(ts_ms) - 1000 - 1 from ({_REQUESTS})"),
-    "stream_late_events": f"""
-        select ip, user_id, ts_ms, method, url from ({_drop(60_000)}) where {_KEPT} and {_LATE}
-    """,
+    "hot_pages_from_files": _top(_counts(_DENSE_REQUESTS, *_PAGE, _NOT_LOST), "url"),
+    "stream_page_views": _PAGE_VIEWS,
+    "stream_hot_items": _HOT_ITEMS,
+    "stream_hot_items_changelog": _changes_by_drop(),
+    "stream_hot_pages": _top(_counts(_DROPPED_REQUESTS, *_PAGE, _NOT_LOST), "url"),
+    "stream_late_events": f"select ip, user_id, ts_ms, method, url from ({_DROPPED_REQUESTS}) where {_LATE}",
 }

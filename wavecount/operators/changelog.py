@@ -6,13 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def net_changes(marked: DataFrame, columns: list[str]) -> DataFrame:
+    """From rows of the new (``insert`` true) and old snapshot: what came and what is gone.
+
+    One shuffle on the whole row: a row in both snapshots nets to zero.
+    """
+    net = marked.groupBy(*columns).agg(F.sum(F.when(F.col("insert"), 1).otherwise(-1)).alias("sign"))
+    return net.filter(F.col("sign") != 0).select((F.col("sign") > 0).alias("insert"), *columns)
+
+
 def changelog(old: DataFrame, new: DataFrame) -> DataFrame:
     """Rows of ``old`` that are gone (``insert`` false) and rows of ``new`` that came (true).
 
-    Both snapshots have the same columns and no duplicate rows. One shuffle on the
-    whole row: a row in both snapshots nets to zero.
+    Both snapshots have the same columns and no duplicate rows.
     """
     columns = new.columns
-    signed = new.withColumn("sign", F.lit(1)).unionByName(old.select(*columns).withColumn("sign", F.lit(-1)))
-    net = signed.groupBy(*columns).agg(F.sum("sign").alias("sign"))
-    return net.filter(F.col("sign") != 0).select((F.col("sign") > 0).alias("insert"), *columns)
+    marked = new.withColumn("insert", F.lit(True)).unionByName(old.select(*columns).withColumn("insert", F.lit(False)))
+    return net_changes(marked, columns)

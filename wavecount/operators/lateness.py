@@ -19,7 +19,7 @@ closing point of their windows, in place, without being shuffled or sorted.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,9 +43,6 @@ ALLOWED_LATENESS = 1 * MINUTE
 FIRST_COUNT = -1
 FIRST_RANKING = 1
 
-# Closing points are broadcast up to this many rows (roughly 100 bytes each).
-BROADCAST_ROWS = 1_000_000
-
 # Windows per group of the running minimum over closing points.
 _CHUNK_WINDOWS = 2_000
 
@@ -61,27 +58,6 @@ def arrival_order(arrival_ms: Column, row_id: Column) -> Column:
     return (arrival_ms.cast("decimal(18,0)") * shift + row_id.cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
-def watermarks(rows: DataFrame, arrival: str, row_id: str, ts_ms: str, delay: int,
-               partitions: int | None = None) -> DataFrame:
-    """``rows`` with ``watermark`` (ms): the value each row meets on arrival, null for the first.
-
-    A running maximum in two levels: range partitions of the arrival order, which
-    split a burst of equal arrivals by row id, and the maxima of all earlier
-    partitions. The partition number has to mean the same rows in both levels,
-    hence the table in the shared folder.
-    """
-    spark = rows.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = materialise(rows.repartitionByRange(partitions, arrival, row_id)
-                         .withColumn("_part", F.spark_partition_id()), "arrival-ranges")
-    parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = ranged.groupBy("_part").agg(F.max(ts_ms).alias("_max")).select(
-        "_part", F.max("_max").over(parts).alias("_before"))  # one row per partition
-    earlier = Window.partitionBy("_part").orderBy(arrival, row_id).rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.greatest(F.max(ts_ms).over(earlier), F.col("_before"))
-    return ranged.join(F.broadcast(before), "_part").withColumn("watermark", seen - delay).drop("_part", "_before")
-
-
 def window_closings(stream: DataFrame, order: Column, ts_ms: Column, size: int, slide: int,
                     delay: int, after: int) -> DataFrame:
     """window_end, closed_after, prev_closed_after: the last arrival each window takes.
@@ -134,17 +110,12 @@ def window_closings(stream: DataFrame, order: Column, ts_ms: Column, size: int,
     )
     open_end = steps.filter("is_last").select(
         (F.col("end") + slide).alias("window_end"),
-        F.lit(None).cast("decimal(38,0)").alias("closed_after"),
+        F.lit(None).cast(reached.schema["arrival"].dataType).alias("closed_after"),
         F.col("closed").alias("prev_closed_after"),
     )
     return materialise(filled.unionByName(open_end), "closings")
 
 
-def _lookup_side(closings: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Broadcast tables made from the closing points when these are few; else leave the join to Spark."""
-    return F.broadcast if closings.count() <= BROADCAST_ROWS else lambda table: table
-
-
 def _takes(prev_closed: str, closed: str) -> Column:
     """Whether the row is after the closing point before, and not after this one."""
     return (F.col(prev_closed) < F.col("arrival")) & (
@@ -157,12 +128,13 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
 
     Closing points never decrease, so these are the windows from some end onwards.
     For a row which all its windows took - nearly all rows, in practice - that is
-    its first. For the others it is the one end whose closing point is the first
-    not before the row. It is looked up in two steps, first the group of ends, then
-    the end in the group, so that 120 windows cost 22 lookups. In both steps at most
-    one candidate matches. Rows without an open window disappear.
+    its first, and one lookup tells so. Only the others go on: theirs is the one end
+    whose closing point is the first not before the row. It is looked up in two
+    steps, first the group of ends, then the end in the group, so that 120 windows
+    cost 22 lookups. In both steps at most one candidate matches. Rows without an
+    open window disappear. The closing points are a written table, so Spark knows
+    their size and broadcasts them or not by its own threshold.
     """
-    lookup = _lookup_side(closings)
     phase = size % slide
     per_group = max(1, math.isqrt(size // slide + 1))
     step, group_step = F.lit(slide).cast("bigint"), F.lit(per_group * slide).cast("bigint")
@@ -186,25 +158,23 @@ def open_spans(rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Colum
     if slide > size:
         spans = spans.filter("own_first <= last_end")
     all_open = F.col("first_closed").isNull() | (F.col("arrival") <= F.col("first_closed"))
-    tagged = spans.join(lookup(first), "own_first", "left").withColumn("all_open", all_open)
+    tagged = spans.join(first, "own_first", "left")
+    whole = tagged.filter(all_open).select(*keys, F.col("own_first").alias("first_end"), "last_end")
 
     second = F.col("own_first") + slide
-    candidate_groups = (
-        F.when(F.col("all_open"), F.array("own_first"))
-        .when(second <= F.col("last_end"), F.sequence(group_of(second), group_of(F.col("last_end")), group_step))
-        .otherwise(F.array().cast("array<bigint>"))
-    )
-    in_group = tagged.select(
-        *keys, "arrival", "own_first", "last_end", "all_open", F.explode(candidate_groups).alias("group")
-    ).join(lookup(groups), "group", "left").filter(
-        F.col("all_open") | _takes("prev_group_closed", "group_closed"))
+    candidate_groups = F.when(
+        second <= F.col("last_end"), F.sequence(group_of(second), group_of(F.col("last_end")), group_step)
+    ).otherwise(F.array().cast("array<bigint>"))
+    in_group = tagged.filter(~all_open).select(
+        *keys, "arrival", "own_first", "last_end", F.explode(candidate_groups).alias("group")
+    ).join(groups, "group").filter(_takes("prev_group_closed", "group_closed"))
 
-    candidate_ends = F.when(F.col("all_open"), F.array("own_first")).otherwise(F.sequence(
-        F.greatest(second, "group"), F.least("last_end", F.col("group") + (per_group - 1) * slide), step))
-    return in_group.select(
-        *keys, "arrival", "last_end", "all_open", F.explode(candidate_ends).alias("first_end")
-    ).join(lookup(fine), "first_end", "left").filter(
-        F.col("all_open") | _takes("prev_closed_after", "closed_after")).select(*keys, "first_end", "last_end")
+    candidate_ends = F.sequence(
+        F.greatest(second, "group"), F.least("last_end", F.col("group") + (per_group - 1) * slide), step)
+    part = in_group.select(
+        *keys, "arrival", "last_end", F.explode(candidate_ends).alias("first_end")
+    ).join(fine, "first_end").filter(_takes("prev_closed_after", "closed_after")).select(*keys, "first_end", "last_end")
+    return whole.unionByName(part)
 
 
 def late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: int,
@@ -215,4 +185,4 @@ def late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: i
         rows = rows.filter(first_window_end(ts_ms, size, slide) <= last_window_end(ts_ms, size, slide))
     last = closings.select(F.col("window_end").alias("_last_end"), F.col("closed_after").alias("_closed_after"))
     tagged = rows.withColumn("_last_end", last_window_end(ts_ms, size, slide)).withColumn("_arrival", order)
-    return tagged.join(_lookup_side(closings)(last), "_last_end").filter(F.col("_closed_after") < F.col("_arrival")).select(*columns)
+    return tagged.join(last, "_last_end").filter(F.col("_closed_after") < F.col("_arrival")).select(*columns)

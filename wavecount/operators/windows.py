@@ -40,7 +40,11 @@ def count_spans(spans: DataFrame, keys: Sequence[str], size: int, slide: int) ->
     """
     if slide > size:
         spans = spans.filter("first_end <= last_end")
-    per_span = spans.groupBy(*keys, "first_end", "last_end").agg(F.count(F.lit(1)).alias("n"))
+    return unroll_spans(spans.groupBy(*keys, "first_end", "last_end").agg(F.count(F.lit(1)).alias("n")), keys, size, slide)
+
+
+def unroll_spans(per_span: DataFrame, keys: Sequence[str], size: int, slide: int) -> DataFrame:
+    """Count rows per window from ``n`` rows for each key and span."""
     block = -(-BLOCK_SIZES * size // slide) * slide
     return _unroll(_changes(per_span, keys, size, slide, block), keys, slide, block)
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavecount.functions.eventtime import HOUR, MINUTE
-from wavecount.operators.changelog import changelog
+from wavecount.functions.eventtime import HOUR, MINUTE, first_window_end, last_window_end
+from wavecount.operators.changelog import net_changes
 from wavecount.operators.filters import VIEW_BEHAVIOR, keep_behavior
 from wavecount.operators.ranking import TOP_N, item_report, top_n
-from wavecount.operators.windows import sliding_counts
+from wavecount.operators.windows import sliding_counts, unroll_spans
 
 # The window of the item ranking.
 SIZE = 1 * HOUR
@@ -34,7 +34,20 @@ def hot_items_report(rows: DataFrame, n: int = TOP_N, zone: str = "UTC",
     return item_report(hot_items(rows, n, behavior=behavior), zone)
 
 
-def hot_items_changelog(old_rows: DataFrame, new_rows: DataFrame, n: int = TOP_N,
+def hot_items_changelog(rows: DataFrame, is_old: Column, n: int = TOP_N,
                         behavior: str = VIEW_BEHAVIOR) -> DataFrame:
-    """What the ranking retracts and adds when the input grows from old to new."""
-    return changelog(hot_items(old_rows, n, behavior=behavior), hot_items(new_rows, n, behavior=behavior))
+    """What the ranking retracts and adds when the input grows from its ``is_old`` rows to all.
+
+    One pass: each span of windows is counted over all rows and over the old ones.
+    """
+    ts_ms = F.unix_millis("ts")
+    spans = keep_behavior(rows, behavior).groupBy(
+        "item_id", first_window_end(ts_ms, SIZE, SLIDE).alias("first_end"), last_window_end(ts_ms, SIZE, SLIDE).alias("last_end"),
+    ).agg(F.count(F.lit(1)).alias("new"), F.count(F.when(is_old, 1)).alias("old"))
+    sides = F.array(F.struct(F.lit(True).alias("insert"), F.col("new").alias("n")),
+                    F.struct(F.lit(False).alias("insert"), F.col("old").alias("n")))
+    spans = spans.select("item_id", "first_end", "last_end", F.inline(sides)).filter("n > 0")
+    counts = unroll_spans(spans, ["insert", "item_id"], SIZE, SLIDE)
+    place = Window.partitionBy("insert", "window_end").orderBy(F.desc("cnt"), "item_id")
+    ranked = counts.withColumn("row_num", F.row_number().over(place)).filter(F.col("row_num") <= n)
+    return net_changes(ranked, ["item_id", "window_end", "cnt", "row_num"])

@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wavecount.functions.eventtime import interval
 from wavecount.operators.filters import VIEW_BEHAVIOR, keep_behavior
+from wavecount.operators.ranking import TOP_N
+from wavecount.plans.hot_items import SIZE, SLIDE
 
-# Window and rank limit of the ranking.
 COUNTS = """
     select item_id, unix_millis(w.end) as window_end, cnt
     from (
-        select item_id, window(ts, '1 hour', '5 minutes') as w, count(item_id) as cnt
+        select item_id, window(ts, '{size}', '{slide}') as w, count(item_id) as cnt
         from {view}
         where behavior = :behavior
-        group by item_id, window(ts, '1 hour', '5 minutes')
+        group by item_id, window(ts, '{size}', '{slide}')
     )
 """
 
@@ -23,7 +25,7 @@ RANKED = """
         select *, row_number() over (partition by window_end order by cnt desc, item_id) as row_num
         from {counts}
     )
-    where row_num <= 5
+    where row_num <= :n
 """
 
 
@@ -33,19 +35,21 @@ def register(rows: DataFrame, view: str = "data_table") -> str:
     return view
 
 
-def hot_items_sql(rows: DataFrame, view: str = "data_table", behavior: str = VIEW_BEHAVIOR) -> DataFrame:
+def hot_items_sql(rows: DataFrame, view: str = "data_table", behavior: str = VIEW_BEHAVIOR, n: int = TOP_N,
+                  size: int = SIZE, slide: int = SLIDE) -> DataFrame:
     """One nested statement: count per item and window, rank, cut."""
-    counts = "(" + COUNTS.format(view=register(rows, view)) + ")"
-    return rows.sparkSession.sql(RANKED.format(counts=counts), args={"behavior": behavior})
+    counts = COUNTS.format(view=register(rows, view), size=interval(size), slide=interval(slide))
+    return rows.sparkSession.sql(RANKED.format(counts=f"({counts})"), args={"behavior": behavior, "n": n})
 
 
-def hot_items_two_step(rows: DataFrame, view: str = "agg", behavior: str = VIEW_BEHAVIOR) -> DataFrame:
+def hot_items_two_step(rows: DataFrame, view: str = "agg", behavior: str = VIEW_BEHAVIOR, n: int = TOP_N,
+                       size: int = SIZE, slide: int = SLIDE) -> DataFrame:
     """Counts with the DataFrame API, registered as a view, ranked with SQL."""
     counts = (
         keep_behavior(rows.select("item_id", "behavior", "ts"), behavior)
-        .groupBy("item_id", F.window("ts", "1 hour", "5 minutes").alias("w"))
+        .groupBy("item_id", F.window("ts", interval(size), interval(slide)).alias("w"))
         .agg(F.count("item_id").alias("cnt"))
         .select("item_id", F.unix_millis("w.end").alias("window_end"), "cnt")
     )
     counts.createOrReplaceTempView(view)
-    return rows.sparkSession.sql(RANKED.format(counts=view))
+    return rows.sparkSession.sql(RANKED.format(counts=view), args={"n": n})

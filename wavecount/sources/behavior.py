@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from wavecount.sources.parsing import FAILFAST, keep_valid, parsed_fields
 
 SEPARATOR = ","
+#: Seconds that a timestamp has room for, either way from 1970.
+TIME_LIMIT = 9_000_000_000_000
 
 
 def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
@@ -25,11 +27,12 @@ def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
     ))
     valid = (
         F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("category_id").isNotNull()
-        & F.col("behavior").isNotNull() & F.col("ts_sec").isNotNull()
+        & F.col("behavior").isNotNull() & F.col("ts_sec").between(-TIME_LIMIT, TIME_LIMIT)
     )
+    in_range = F.greatest(F.least("ts_sec", F.lit(TIME_LIMIT)), F.lit(-TIME_LIMIT))  # other rows are gone or stop the job
     return keep_valid(parsed, valid, F.col("value"), mode).select(
         "user_id", "item_id", "category_id", "behavior", "ts_sec",
-        F.timestamp_seconds("ts_sec").alias("ts"),
+        F.timestamp_seconds(in_range).alias("ts"),
     )
 
 

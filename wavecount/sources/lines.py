@@ -15,14 +15,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_lines_in_order(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one text file with their place in it: value, block bigint, line bigint.
+    """Lines of text files with their place: value and ``place``, which rises from line to line.
 
-    (block, line) rises from line to line. A file is read in splits, so the place is
-    the byte offset of the split and the position inside it; nothing is counted
-    across tasks.
+    Files follow each other by name. A file is read in splits, so the place is the
+    file, the byte offset of the split and the position inside it; nothing is
+    counted across tasks.
     """
-    return spark.read.text(path).select(
-        "value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(path).select("value", F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line")).alias("place"))
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:

@@ -8,17 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from wavecount.sources.lines import replay_to_files, stream_lines
+from wavecount.sources.lines import stream_lines
 
 
 def replay_in_drops(lines: DataFrame, drop: str, inbox: str,
                     start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Write the lines of each drop to ``inbox`` and let the query catch up.
+    """Hand the lines of each drop to ``inbox`` and let the query catch up.
 
     ``drop`` numbers the drops in order of arrival; the caller chooses how many
-    there are. A drop is written by as many tasks as read it. ``start`` gets the
-    streamed lines and starts the query with ``available_now`` on one checkpoint.
+    there are. All drops are written once, each to a folder of its own, which then
+    moves to the inbox. ``start`` gets the streamed lines and starts the query with
+    ``available_now`` on one checkpoint.
     """
-    for (number,) in lines.select(drop).distinct().orderBy(drop).collect():
-        replay_to_files(lines.filter(F.col(drop) == number), inbox)
-        start(stream_lines(lines.sparkSession, inbox)).awaitTermination()
+    spark = lines.sparkSession
+    jvm, waiting = spark.sparkContext._jvm, f"{inbox}-waiting"
+    lines.select("value", F.col(drop).alias("drop")).write.partitionBy("drop").text(waiting)
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(inbox).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(inbox))
+    numbers = sorted(int(f.getPath().getName().partition("=")[2]) for f in files.listStatus(path(waiting)) if f.isDirectory())
+    for number in numbers:
+        files.rename(path(f"{waiting}/drop={number}"), path(f"{inbox}/drop={number}"))
+        start(stream_lines(spark, f"{inbox}/*").select("value")).awaitTermination()

@@ -6,23 +6,27 @@ run again after a failure leaves the same rows behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-DAY = 86_400_000
-LISTED_DAYS = 100
-
 
 def labelled(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` with the name of the output they belong to."""
     return rows.select(F.lit(label).alias("output"), *rows.columns)
 
 
+def print_rows(rows: DataFrame, label: str | None = None, limit: int | None = None) -> None:
+    """Print every row, or the first ``limit``; the driver holds one partition at a time."""
+    shown = rows if limit is None else rows.limit(limit)
+    for row in shown.toLocalIterator():
+        text = ",".join("" if value is None else str(value) for value in row)
+        print(f"{label}> {text}" if label else text)
+
+
 def console(rows: DataFrame, output_mode: str = "append", label: str | None = None) -> DataStreamWriter:
-    """A writer that prints every batch of a stream."""
-    shown = labelled(rows, label) if label else rows
-    return shown.writeStream.format("console").outputMode(output_mode).option("truncate", "false")
+    """A writer that prints all rows of every batch of a stream."""
+    return rows.writeStream.outputMode(output_mode).foreachBatch(lambda batch, _: print_rows(batch, label))
 
 
 class BatchFolder:
@@ -43,9 +47,18 @@ class BatchFolder:
     def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         return spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
 
+    def forget(self, spark: SparkSession, batch_id: int) -> None:
+        """Remove the rows of a batch that no later one reads."""
+        if batch_id >= 0:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/batch_id={batch_id}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 class Progress:
-    """The largest event time up to each micro-batch, carried from batch to batch."""
+    """The largest event time up to each micro-batch, carried from batch to batch.
+
+    Kept for the batch that may be repeated and the one before it.
+    """
 
     def __init__(self, path: str):
         self._folder = BatchFolder(path, "max_ts_ms bigint")
@@ -59,45 +72,31 @@ class Progress:
         spark = rows.sparkSession
         earlier = F.lit(self.before(spark, batch_id)).cast("bigint")
         self._folder.write(rows.agg(F.greatest(F.max(ts_ms), earlier).alias("max_ts_ms")), batch_id)
+        self._folder.forget(spark, batch_id - 2)
         return self._folder.read_batch(spark, batch_id).first()[0]
 
 
-class WindowCounts:
-    """Counts per window and key that later micro-batches replace by larger ones.
+class OpenSpans:
+    """Counts per key and span of windows that may still be ranked, as of each micro-batch.
 
-    Laid out by the day of the window, so that a batch reads the days it needs and
-    old days can be dropped as folders.
+    A batch reads the version of the batch before it and writes its own, merged and
+    without the spans whose last window is past; the version that a repeat of this
+    batch needs is the only other one kept.
     """
 
     def __init__(self, path: str, key: str, key_type: str):
-        self.path = path
         self.key = key
-        self.schema = f"{key} {key_type}, window_end bigint, cnt bigint, window_day bigint, batch_id bigint"
-
-    def upsert(self, changed: DataFrame, batch_id: int) -> None:
-        """Store the changed counts of one batch."""
-        rows = changed.select(
-            self.key, "window_end", "cnt",
-            F.floor(F.col("window_end") / F.lit(DAY)).cast("bigint").alias("window_day"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-        )
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "window_day", "batch_id").parquet(self.path)
-
-    def read(self, spark: SparkSession, first_end: int, last_end: int, batch_id: int) -> DataFrame:
-        """Rows of all batches up to ``batch_id`` for windows that end in the given range."""
-        first_day, last_day = first_end // DAY, last_end // DAY
-        if last_day - first_day < LISTED_DAYS:  # list these folders only
-            days = ",".join(str(day) for day in range(first_day, last_day + 1))
-            folders = f"{self.path}/window_day={{{days}}}"
-        else:
-            folders = self.path
-        stored = spark.read.schema(self.schema).option("basePath", self.path).parquet(folders)
-        return stored.filter(
-            F.col("window_day").between(first_day, last_day) & F.col("window_end").between(first_end, last_end)
-            & (F.col("batch_id") <= batch_id))
-
-    def latest(self, spark: SparkSession, first_end: int, last_end: int, batch_id: int) -> DataFrame:
-        """window_end, key, cnt: counts only grow, so the largest is the newest."""
-        return self.read(spark, first_end, last_end, batch_id).groupBy("window_end", self.key).agg(
-            F.max("cnt").alias("cnt"))
+        self.schema = f"{key} {key_type}, first_end bigint, last_end bigint, n bigint"
+        self._folder = BatchFolder(path, self.schema)
+
+    def before(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        return self._folder.read_batch(spark, batch_id - 1) if batch_id else spark.createDataFrame([], self.schema)
+
+    def add(self, spans: DataFrame, batch_id: int, still_needed: Column) -> DataFrame:
+        """All spans including those of this batch; of them the needed ones are kept for the next."""
+        spark = spans.sparkSession
+        merged = self.before(spark, batch_id).unionByName(spans).groupBy(self.key, "first_end", "last_end").agg(
+            F.sum("n").alias("n"))
+        self._folder.write(merged.filter(still_needed), batch_id)
+        self._folder.forget(spark, batch_id - 2)
+        return merged
