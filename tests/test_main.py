@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import reference_model as model
 from wavecount.main import main
-from wavecount.operators.lateness import FIRST_RANKING, arrival_order, lost_after
+from wavecount.operators.lateness import FIRST_RANKING, lost_after
 from wavecount.sources.lines import read_lines_in_order
 
 
@@ -19,7 +19,7 @@ def test_lines_keep_their_order_over_many_splits(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
         lines = read_lines_in_order(spark, str(tmp_path / "one.txt"))
         assert lines.rdd.getNumPartitions() > 5
-        ordered = lines.orderBy(arrival_order(F.col("block"), F.col("line"))).collect()
+        ordered = lines.orderBy("place").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert [r.value for r in ordered] == text
@@ -35,9 +35,53 @@ def test_behavior_jobs_on_a_file(spark, tmp_path, capsys):
     main(["hot-items-sql", "--input", source, "--output", str(tmp_path / "sql")])
     assert {(r.item_id, r.cnt) for r in spark.read.parquet(str(tmp_path / "sql/hot items")).collect()} == {(501, 2)}
     main(["page-views", "--input", source])
-    assert "|page views|pv    |1511661600000|3  |" in capsys.readouterr().out
+    assert "page views> pv,1511661600000,3\n" in capsys.readouterr().out
+    (tmp_path / "more.csv").write_text("".join(f"1,{item},7,pv,1511658000\n" for item in range(9)))
+    main(["hot-items-sql", "--input", str(tmp_path / "more.csv"), "--output", str(tmp_path / "two"), "--n", "2"])
+    assert spark.read.parquet(str(tmp_path / "two/hot items")).agg(F.max("row_num")).first()[0] == 2
 
 
+def test_every_row_is_printed(spark, tmp_path, capsys):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.csv").write_text("".join(f"1,5,7,pv,{hour * 3600}\n" for hour in range(61)))
+    main(["page-views", "--input", str(tmp_path / "in")])
+    assert capsys.readouterr().out.count("page views> ") == 61
+    main(["page-views", "--input", str(tmp_path / "in"), "--rows", "7"])
+    assert capsys.readouterr().out.count("page views> ") == 7
+    for job, lines in (("page-views", 60), ("hot-items", 60 * 12), ("hot-items-sql", 61 * 12)):
+        follow = [job, "--follow", str(tmp_path / "in"), "--state", str(tmp_path / job), "--once"]
+        main(follow)
+        label = {"page-views": "page views> ", "hot-items": "hot items> ", "hot-items-sql": "hot items changes> "}[job]
+        assert capsys.readouterr().out.count(label) == lines
+        main(follow)  # goes on from its state: nothing is left
+        assert capsys.readouterr().out.count(label) == 0
+
+
+def test_files_of_a_folder_arrive_by_name(spark, tmp_path):
+    """The first file is smaller, so places inside the files would mix them."""
+    line = "h u - 01/01/1970:{:02}:{:02}:{:02} +0000 GET {}"
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/log.1").write_text(line.format(0, 0, 1, "/first") + "\n")
+    (tmp_path / "in/log.2").write_text("".join(line.format(1, n // 60, n % 60, "/a") + "\n" for n in range(900)))
+    main(["hot-pages", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out")])
+    assert spark.read.parquet(str(tmp_path / "out/late data")).count() == 0
+    assert any("/first" in r.report for r in spark.read.parquet(str(tmp_path / "out/hot pages")).collect())
+
+
+def test_hot_pages_follow_a_folder(spark, tmp_path, capsys):
+    """Rankings, a refinement and a late row from one command, over several starts."""
+    line = "h u - 01/01/1970:{:02}:{:02}:{:02} +0000 GET {}\n"
+    (tmp_path / "in").mkdir()
+    follow = ["hot-pages", "--follow", str(tmp_path / "in"), "--state", str(tmp_path / "state"), "--once"]
+    seen = []
+    for n, rows in enumerate(([(0, 0, 1, "/a")], [(0, 10, 20, "/b")], [(0, 0, 2, "/c"), (0, 30, 0, "/d")], [(0, 0, 3, "/late")])):
+        (tmp_path / f"in/{n}.log").write_text("".join(line.format(*r) for r in rows))
+        main(follow)
+        seen.append(capsys.readouterr().out)
+    assert "hot pages> " not in seen[0] and "被访问url = /a" in seen[1] and "/c" not in seen[1]
+    assert "被访问url = /c" in seen[2] and "late data> " not in seen[2]
+    assert "late data> h,u," in seen[3] and "/late" in seen[3] and "被访问url = /late" not in seen[3]
+
 def test_hot_pages_job_takes_the_file_order_as_arrival(spark, tmp_path):
     rng, rows, lines = random.Random(11), [], []
     for n in range(120):
@@ -60,7 +104,7 @@ def test_hot_pages_job_takes_the_file_order_as_arrival(spark, tmp_path):
 
 
 @pytest.mark.parametrize("args", [
-    ["hot-items"], ["hot-pages", "--kafka", "host:9092"], ["replay", "--input", "in.csv"]])
+    ["hot-items"], ["hot-pages", "--kafka", "host:9092"], ["page-views", "--follow", "in"], ["replay", "--input", "in.csv"]])
 def test_a_job_needs_its_source(args):
     with pytest.raises(SystemExit):
         main(args)

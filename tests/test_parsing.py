@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from wavecount.sources.access_log import parse_access_log
 from wavecount.sources.behavior import parse_behavior, render_behavior
@@ -77,3 +78,11 @@ def test_malformed_log(spark, bad):
     assert parse_access_log(lines(spark, good, bad), "permissive").count() == 1
     with pytest.raises(Exception, match="malformed line"):
         parse_access_log(lines(spark, good, bad)).collect()
+
+
+def test_times_out_of_range_are_malformed(spark):
+    far = ["1,2,3,pv,99999999999999", "1,2,3,pv,-99999999999999"]
+    rows = parse_behavior(lines(spark, "1,2,3,pv,4", *far), "permissive")
+    assert [r.ts_sec for r in rows.select("ts_sec", F.unix_millis("ts")).collect()] == [4]
+    with pytest.raises(Exception, match="malformed line"):
+        parse_behavior(lines(spark, far[0])).collect()

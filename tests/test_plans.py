@@ -17,7 +17,9 @@ def plan(frame):
         frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
 
 
-BATCH = [name for name in driver.queries() if not name.startswith("stream_") and name != "replay_lines"]
+LLM = driver.llm.queries() if driver.llm else {}
+WRITE_FIRST = ("replay_lines", "hot_pages_from_files")
+BATCH = [name for name in driver.queries() if not name.startswith("stream_") and name not in WRITE_FIRST and name not in LLM]
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -58,3 +60,8 @@ def test_replay_neither_sorts_nor_shuffles_the_rows(spark, sf_dir):
     text = plan(late)
     assert "BroadcastHashJoin" in text
     assert "SortMergeJoin" not in text and "hashpartitioning" not in text and "rangepartitioning" not in text
+
+
+def test_changelog_reads_the_table_once(spark, sf_dir):
+    text = plan(driver.queries()["hot_items_changelog"](spark, sf_dir))
+    assert text.count("Scan parquet") == text.count("(1) Scan parquet") + 1 or text.count("\nLocation:") == 1

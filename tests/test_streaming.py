@@ -1,8 +1,5 @@
 from __future__ import annotations
 
-import contextlib
-import io
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +9,7 @@ from wavecount.sources.access_log import parse_access_log
 from wavecount.sources.behavior import parse_behavior
 from wavecount.streaming import jobs
 from wavecount.streaming.replay import replay_in_drops
-from wavecount.streaming.sinks import BatchFolder, Progress, WindowCounts, console, labelled
+from wavecount.streaming.sinks import BatchFolder, OpenSpans, Progress, console, labelled
 
 HOUR = 3_600_000
 
@@ -65,11 +62,11 @@ def test_dropped_rows_move_the_watermark_of_a_stream(spark, tmp_path):
 def test_changelog_of_each_batch_leads_to_its_ranking(spark, tmp_path):
     drops = [[(1, 1000), (2, 1100), (2, 1150)], [(1, 1200), (1, 1210), (1, 1220)], [(3, 1300)]]
     out = BatchFolder(str(tmp_path / "out"), jobs.ITEM_CHANGES)
-    store = WindowCounts(str(tmp_path / "counts"), "item_id", "bigint")
+    store, progress = OpenSpans(str(tmp_path / "spans"), "item_id", "bigint"), Progress(str(tmp_path / "progress"))
     replay_in_drops(
         behavior_lines(spark, *drops), "drop", str(tmp_path / "in"),
         lambda live: jobs.stream_hot_items_changelog(
-            parse_behavior(live), store, out, str(tmp_path / "state"), available_now=True, n=1))
+            parse_behavior(live), store, progress, out, str(tmp_path / "state"), available_now=True, n=1))
     changes, batches = out.read(spark).collect(), set()
     ranking = set()
     for batch in sorted({c.batch_id for c in changes}):
@@ -88,7 +85,7 @@ def test_hot_pages_refine_a_closed_window(spark, tmp_path):
     rows = [(log_line(ms, url), n) for n, drop in enumerate(drops) for ms, url in drop]
     rows += [(log_line(499_000, "/x.png"), 3), (log_line(499_000, "/p", "POST"), 3)]
     out = BatchFolder(str(tmp_path / "out"), jobs.RANKED_PAGES)
-    store, progress = WindowCounts(str(tmp_path / "counts"), "url", "string"), Progress(str(tmp_path / "progress"))
+    store, progress = OpenSpans(str(tmp_path / "spans"), "url", "string"), Progress(str(tmp_path / "progress"))
     replay_in_drops(
         spark.createDataFrame(rows, "value string, drop int"), "drop", str(tmp_path / "in"),
         lambda live: jobs.stream_hot_pages(
@@ -122,33 +119,69 @@ def test_late_requests_against_earlier_batches(spark, tmp_path):
     assert sorted(tuple(r) for r in late) == [("/lost", 30_000), ("/lost", 39_000)]
 
 
+def test_all_rows_move_the_watermark_of_hot_pages(spark, tmp_path):
+    rows = [(log_line(1_000, "/a"), 0), (log_line(500_000, "/p", "POST"), 1), (log_line(501_000, "/x.png"), 2)]
+    out = BatchFolder(str(tmp_path / "out"), jobs.RANKED_PAGES)
+    store, progress = OpenSpans(str(tmp_path / "spans"), "url", "string"), Progress(str(tmp_path / "progress"))
+    replay_in_drops(
+        spark.createDataFrame(rows, "value string, drop int"), "drop", str(tmp_path / "in"),
+        lambda live: jobs.stream_hot_pages(
+            parse_access_log(live), store, progress, out, str(tmp_path / "state"), available_now=True, size=10_000, slide=5_000))
+    assert {(r.url, r.window_end) for r in out.read(spark).collect()} == {("/a", 5_000), ("/a", 10_000)}
+
+
+def test_finish_ranks_what_is_still_open(spark, tmp_path):
+    drops = [[(1, 10), (2, 3599)], [(1, 3700)]]
+    lines = behavior_lines(spark, *drops)
+    replay_in_drops(
+        lines, "drop", str(tmp_path / "in"),
+        lambda live: jobs.stream_page_views(parse_behavior(live), str(tmp_path / "out"), str(tmp_path / "state"), available_now=True))
+    jobs.finish_page_views(spark, str(tmp_path / "rest"), str(tmp_path / "state"))
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "rest")).collect()} == {("pv", 2 * HOUR, 1)}
+    out = BatchFolder(str(tmp_path / "items"), jobs.RANKED_ITEMS)
+    replay_in_drops(
+        lines, "drop", str(tmp_path / "in2"),
+        lambda live: jobs.stream_hot_items(parse_behavior(live), out, str(tmp_path / "state2"), available_now=True))
+    jobs.finish_hot_items(spark, out, str(tmp_path / "state2"))
+    rows = [(item, sec * 1000) for drop in drops for item, sec in drop]
+    assert {tuple(r) for r in out.read(spark).drop("batch_id").collect()} == model.ranked(model.counts(rows, HOUR, 300_000), 5)
+
+
 def test_rerun_of_a_batch_leaves_the_same_rows(spark, tmp_path):
     out = BatchFolder(str(tmp_path / "out"), "id bigint")
-    store = WindowCounts(str(tmp_path / "counts"), "url", "string")
     progress = Progress(str(tmp_path / "progress"))
-    changed = spark.createDataFrame([("/a", 10_000, 3), ("/b", 200_000_000, 1)], "url string, window_end bigint, cnt bigint")
     for _ in range(2):
         out.write(spark.range(3), 0)
-        store.upsert(changed, 0)
         assert progress.advance(spark.range(5), "id", 0) == 4
-    store.upsert(changed.filter("url = '/a'").withColumn("cnt", F.lit(5).cast("bigint")), 1)
     assert out.read(spark).count() == 3
     assert progress.before(spark, 0) is None and progress.before(spark, 1) == 4
     assert progress.advance(spark.range(2), "id", 1) == 4
-    assert {(r.url, r.cnt) for r in store.latest(spark, 0, 300_000_000, 1).collect()} == {("/a", 5), ("/b", 1)}
-    assert {(r.url, r.cnt) for r in store.latest(spark, 0, 300_000_000, 0).collect()} == {("/a", 3), ("/b", 1)}
-    assert {r.url for r in store.latest(spark, 0, 20_000, 1).collect()} == {"/a"}
 
 
-def test_console_and_label(spark, tmp_path):
+def test_open_spans_hold_what_is_needed_and_one_version_more(spark, tmp_path):
+    store = OpenSpans(str(tmp_path / "spans"), "url", "string")
+    for batch in range(50):
+        spans = spark.createDataFrame([("/a", batch, batch + 3, 1), ("/b", batch, batch + 3, 2)], store.schema)
+        for _ in range(2):  # a repeated batch leaves the same rows
+            merged = store.add(spans, batch, F.col("last_end") > batch)
+        assert merged.count() == 2 * min(batch + 1, 4)
+    live = {(r.url, r.first_end, r.n) for r in store.before(spark, 50).collect()}
+    assert live == {(u, k, n) for k in (47, 48, 49) for u, n in (("/a", 1), ("/b", 2))}
+    assert sorted(p.name for p in (tmp_path / "spans").iterdir()) == ["batch_id=48", "batch_id=49"]
+
+
+def test_console_prints_every_row(spark, tmp_path, capsys):
     rows = spark.createDataFrame([("/a",)], "url string")
     assert labelled(rows, "late data").collect() == [("late data", "/a")]
     (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.txt").write_text("".join(f"row {n}\n" for n in range(60)))
     live = spark.readStream.text(str(tmp_path / "in"))
     query = console(live, label="late data").option("checkpointLocation", str(tmp_path / "state")).trigger(
         availableNow=True).start()
     query.awaitTermination()
     assert query.exception() is None
+    printed = [line for line in capsys.readouterr().out.split("\n") if line.startswith("late data> row ")]
+    assert len(printed) == 60
 
 
 def test_sql_form_on_lines(spark):
