@@ -11,8 +11,8 @@
    bitmaps and the range of their sizes. A dual traversal, from the leaves up, drops
    node pairs whose largest possible overlap is too small, and pairs that are linked
    already; what is left is compared exactly. A cluster beyond ``UNIT`` shingles is cut
-   into blocks by size, and compatible pairs of blocks are separate units, so no task
-   holds more than two blocks.
+   by size, and a class of size beyond it into blocks that meet pairwise, so no task
+   holds more than a unit.
 4. Links make components; all documents of their classes belong to them.
 
 No pair is lost: step 2 finds every pair that reaches the threshold, and step 3 skips
@@ -28,12 +28,11 @@ rows with a null id get the least id of their component; an empty table gives no
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wavecount.llm.common import slices, texts
@@ -43,7 +42,9 @@ from wavecount.session import materialise
 WORDS = 5
 THRESHOLD = (80, 100)
 #: Shingles in one unit of comparison, as 8 octets each.
-UNIT = 3_000_000
+UNIT = 8_000_000
+#: Bits of all bitmaps of a unit, roughly.
+BITMAPS = 1 << 28
 #: Signatures that a task combines before it sends them on.
 BUFFER = 1_000_000
 #: Bits of the filter that tells candidate classes; its size is fixed.
@@ -163,7 +164,8 @@ class Tree:
         self.order = sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k]), k))  # alike sets side by side
         self.sets = [sets[k] for k in self.order]
         sizes = np.array([len(s) for s in self.sets], np.int64)
-        width = max(256, 1 << int(2 * sizes.max() - 1).bit_length())
+        width = min(1 << int(2 * sizes.max() - 1).bit_length(), 1 << (BITMAPS // len(sets)).bit_length())
+        width = max(256, width)  # fewer bits than shingles only weaken the bound
         bits = np.zeros((len(sets), width // 64), _U)
         for row, s in zip(bits, self.sets, strict=True):
             np.bitwise_or.at(row, ((s & _U(width - 1)) >> _U(6)).astype(np.int64), _U(1) << (s & _U(63)))
@@ -312,25 +314,29 @@ def _members(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
 
 
 def _units(sets: DataFrame, num: int, den: int, unit: int) -> DataFrame:
-    """Each set with the units (cluster, block, block) it takes part in."""
-    step = 1.1
-    reach = math.floor(math.log(den / num) / math.log(step)) + 1  # size classes that may hold a close set
-    sets = sets.withColumn("size_class", F.floor(F.log(step, F.col("n_shingles"))).cast("int"))
-    by_class = sets.groupBy("root", "size_class").agg(F.sum("n_shingles").alias("n"))
-    large = by_class.groupBy("root").agg(F.sum("n").alias("all")).where(F.col("all") > unit).select("root")
-    blocks = materialise(by_class.join(large, "root").select(
-        "root", "size_class", F.ceil(F.col("n") * 2 / unit).cast("int").alias("salts")), "blocks")
-    salted = sets.join(blocks, ["root", "size_class"], "left")
-    whole = salted.where(F.col("salts").isNull()).select("root", F.lit("").alias("unit"), "cid", "shingles")
-    named = blocks.select("root", "size_class", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    other = named.toDF("root", "other_class", "other_salt")
-    near = named.join(other, "root").where(F.abs(F.col("size_class") - F.col("other_class")) <= reach)
-    mine, theirs = F.struct("size_class", "salt"), F.struct("other_class", "other_salt")
-    near = near.withColumn("unit", F.when(mine <= theirs, F.concat_ws("/", "size_class", "salt", "other_class", "other_salt"))
-                           .otherwise(F.concat_ws("/", "other_class", "other_salt", "size_class", "salt")))
-    dealt = salted.where(F.col("salts").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("cid"), F.col("salts")).cast("int"))
-    dealt = dealt.join(near.select("root", "size_class", "salt", "unit"), ["root", "size_class", "salt"])
-    return whole.unionByName(dealt.select("root", "unit", "cid", "shingles"))
+    """Each set with the units (cluster, part) it takes part in.
+
+    A large cluster is cut by classes of size. A set is compared in the class of the
+    larger set of a pair, so it visits its own class and those that sets up to its
+    size divided by the threshold lie in: mostly its own alone. A class beyond the
+    unit is dealt into blocks, of which every two meet.
+    """
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(1.6, n)).cast("int")
+
+    largest = F.floor(F.col("n_shingles") * den / F.lit(num))
+    sets = sets.withColumn("own", size_class(F.col("n_shingles"))).withColumn("last", size_class(largest))
+    large = sets.groupBy("root").agg(F.sum("n_shingles").alias("n")).where(F.col("n") > unit).select("root")
+    classes = sets.select("root", "n_shingles", F.explode(F.sequence("own", "last")).alias("class"))
+    blocks = classes.join(large, "root").groupBy("root", "class").agg(F.sum("n_shingles").alias("n")).select(
+        "root", "class", F.when(F.col("n") <= unit, 1).otherwise(F.ceil(F.col("n") * 2 / unit)).cast("int").alias("blocks"))
+    blocks = materialise(blocks, "blocks")
+    cut = sets.join(blocks.withColumnRenamed("root", "of"), (F.col("root") == F.col("of")) & F.col("class").between(F.col("own"), F.col("last")), "left")
+    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.concat_ws(
+        "/", F.col("class"), F.least(block, other), F.greatest(block, other)))
+    parts = F.when(F.col("of").isNull(), F.array(F.lit(""))).otherwise(met)
+    return cut.select("root", F.explode(parts).alias("unit"), "cid", "shingles")
 
 
 def _links(units: DataFrame, num: int, den: int) -> DataFrame:
