@@ -18,6 +18,7 @@ any order among themselves; a null id sorts first; an empty table gives no block
 from __future__ import annotations
 
 import gc
+import json
 import os
 import re
 import zlib
@@ -28,6 +29,7 @@ from itertools import accumulate
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,11 +61,18 @@ def from_planes(planes: list[bytes], n_ids: int, decompress) -> np.ndarray:
     return ids
 
 
+# Fixed value: how the byte-level pre-tokenizer cuts a text before merging.
+_CUT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
+
+
 class _Words:
     """Ids of whole texts, encoded by the library word by word and remembered.
 
     The byte-level pre-tokenizer always cuts before a single space that stands between
-    two other characters, so the parts between such spaces can be encoded alone.
+    two other characters, so the parts between such spaces can be encoded alone; of a
+    new word the pre-tokenizer's own parts are given to the library, which then merges
+    without cutting again. Words with an added token and other kinds of tokenizers are
+    left to the library as they are.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -73,20 +82,50 @@ class _Words:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
+        made = json.loads(tokenizer_json)
+        cutter = made["pre_tokenizer"] or {}
+        self.added = [t["content"] for t in made["added_tokens"]]
+        self.by_word = cutter.get("type") == "ByteLevel" and cutter["use_regex"] and not cutter["add_prefix_space"] and not made["normalizer"]
+        if self.by_word:
+            made |= {"pre_tokenizer": cutter | {"use_regex": False}, "added_tokens": [], "post_processor": None}
+            self.merger = Tokenizer.from_str(json.dumps(made))
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+
+    @staticmethod
+    def _key(part: str) -> str:
+        """A word is known without the space before it; what has none, or two, is marked by one more."""
+        return part[1:] if part[0] == " " and part[1:2] != " " else f" {part}"
+
+    @staticmethod
+    def _text(key: str) -> str:
+        return key[1:] if key[:1] == " " else f" {key}"
 
     def _learn(self, words: set[str]) -> None:
-        ordered = list(words)
-        encoded = self.tokenizer.encode_batch_fast([w[1:] if w[:1] == " " else f" {w}" for w in ordered], add_special_tokens=False)
-        code = "H" if self.kind.itemsize == 2 else "I"
-        self.known.update((w, array(code, e.ids).tobytes()) for w, e in zip(ordered, encoded, strict=True))
+        parts, known = {}, self.known
+        fresh = {w for w in words if w.isalpha()}  # one part each
+        for word in words - fresh:
+            text = self._text(word)
+            if any(t in text for t in self.added):
+                known[word] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            else:
+                parts[word] = [self._key(p) for p in _CUT(text)]
+        ordered = [w for w in fresh.union(*parts.values()) if w not in known]
+        encoded = self.merger.encode_batch_fast([self._text(w) for w in ordered], add_special_tokens=False)
+        known.update((w, self._bytes(e.ids)) for w, e in zip(ordered, encoded, strict=True))
+        known.update((w, b"".join(map(known.__getitem__, p))) for w, p in parts.items() if p != [w])
 
     def encode(self, values: list[str]) -> list[np.ndarray]:
+        if not self.by_word:
+            encoded = self.tokenizer.encode_batch_fast(values, add_special_tokens=False)
+            return [np.array(e.ids, self.kind) for e in encoded]
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         rows, fresh, get = [], set(), self.known.get
         for value in values:
             words = re.split(r"(?<! ) (?! )", value) if "  " in value else value.split(" ")
-            words[0] = f" {words[0]}"  # marks the one word without a space before it; no other begins with one
+            words[0] = f" {words[0]}"  # no space before it
             found = list(map(get, words))
             if None in found:
                 fresh.update(w for w, ids in zip(words, found, strict=True) if ids is None)
