@@ -83,48 +83,47 @@ class Transducer:
             return known
         border, parts, cost = len(left), list(left + right), self.cost
         while len(parts) > 1:
-            best = min(((cost[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in cost), default=None)
+            best, at = None, 0
+            for k in range(len(parts) - 1):
+                c = cost.get(parts[k] + parts[k + 1])
+                if c is not None and (best is None or c < best):
+                    best, at = c, k
             if best is None:
                 break
-            parts[best[1] : best[1] + 2] = [parts[best[1]] + parts[best[1] + 1]]
-            at = 0
-            for p in parts:
-                at += len(p)
-                if at >= border:
-                    break
-            if at != border:  # merged across the border
+            if sum(map(len, parts[: at + 1])) == border:  # merges across the border
+                parts = []
                 break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
         self.pairs[key] = known = parts == [left, right]
         return known
 
     def shortest_path(self, word: str) -> list[str]:
-        """Pieces of the best path through the composed machine; its states are (position, last piece)."""
-        cost, unknown = self.cost, self.unknown_cost
-        states: list[dict[str, tuple[float, str | None]]] = [{} for _ in range(len(word) + 1)]
-        states[0][""] = (0.0, None)
-        for end in range(1, len(word) + 1):
-            here = states[end]
+        """Pieces of the best path through the composed machine.
+
+        States are positions with their last piece. With the pair machine each position
+        has one state that can be reached, as the pieces before it are what merging makes
+        of that beginning; without it the cheapest one is all that can be on a best path.
+        """
+        cost, merges, size = self.cost, self.merges, len(word)
+        total, last = [0.0] + [float("inf")] * size, [""] * (size + 1)
+        for end in range(1, size + 1):
             for start in range(max(0, end - self.longest), end):
                 piece = word[start:end]
                 weight = cost.get(piece)
                 if weight is None:
                     if end - start > 1:
                         continue
-                    weight = unknown
-                for last, (total, _) in states[start].items():
-                    if last and self.merges and not self._may_follow(last, piece):
-                        continue
-                    old = here.get(piece)
-                    if old is None or total + weight < old[0]:
-                        here[piece] = (total + weight, last)
-            if not self.merges and len(here) > 1:  # without the pair machine all these are one state
-                best = min(here, key=lambda p: here[p][0])
-                states[end] = {best: here[best]}
-        path, at = [], len(word)
-        piece = min(states[at], key=lambda p: states[at][p][0]) if at else None
+                    weight = self.unknown_cost
+                if merges and start and not self._may_follow(last[start], piece):
+                    continue
+                if total[start] + weight < total[end]:
+                    total[end], last[end] = total[start] + weight, piece
+                if merges:
+                    break
+        path, at = [], size
         while at:
-            path.append(piece)
-            at, piece = at - len(piece), states[at][piece][1]
+            path.append(last[at])
+            at -= len(last[at])
         return path[::-1]
 
     def _solve(self, word: str) -> bytes:
@@ -152,7 +151,7 @@ class Transducer:
         if len(known) > CACHED or len(self.pairs) > CACHED:
             known.clear()
             self.pairs.clear()
-        for word in set(words) - known.keys():
+        for word in {w for w in words if w not in known}:
             # a second mark says that the word is not one behind a single mark
             known[word] = self._solve(word[1:] if word[0] == MARK else MARK + word)
         return np.frombuffer(b"".join(map(known.__getitem__, words)), self.kind)
