@@ -46,10 +46,11 @@ _SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 _CARD = r"(?<![\w+-])(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{4}|[3-6]\d{12,18})(?![\w-])"
 _PHONE = (r"(?<![\w+.-])(?:\+\d{1,3}(?:[ .-]?\(\d{1,4}\)|[ .-]?\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
           r"|(?:\(\d{2,4}\) ?|\d{3,4}[ .-])\d{3,4}[ .-]\d{3,4})(?![\w-])")
-_NAME = rf"(?<=(?<!\p{{L}})(?:{_TITLE})\.? )\p{{Lu}}[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
-PATTERN = "|".join((_EMAIL, _IP, _SSN, _CARD, _PHONE, _NAME))
-#: What every entity has; a cheap test before the pattern.
-_HINT = rf"[@0-9]|(?:{_TITLE})\.? \p{{Lu}}"
+# the capital comes first, so that titles are looked for behind capitals alone
+_NAME = rf"\p{{Lu}}(?<=(?<!\p{{L}})(?:{_TITLE})\.? \p{{Lu}})[\p{{L}}'’-]+(?: \p{{Lu}}[\p{{L}}'’-]+)?"
+PATTERN = "|".join((_EMAIL, rf"(?=[\d+(])(?:{_IP}|{_SSN}|{_CARD}|{_PHONE})", _NAME))
+#: What every entity has, one or the other; cheap tests before the pattern.
+_HINTS = ("[@0-9]", rf"(?<!\p{{L}})(?=[{''.join(sorted({t[0] for t in (*MALE, *FEMALE, *NEUTRAL)}))}])(?:{_TITLE})\.? \p{{Lu}}")
 
 _VOWELS, _CONSONANTS = "aeiou", "bdfghklmnprstvz"
 _CYR_VOWELS, _CYR_CONSONANTS = "аеиоу", "бвгдклмнпрст"
@@ -207,7 +208,8 @@ def _mentions(found: DataFrame) -> DataFrame:
 def replace_entities(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with every entity in ``text`` replaced, and ``n_entities`` beside it."""
     plain = docs.drop("n_entities")
-    hit = F.coalesce(F.col("text").rlike(_HINT) & F.col("text").rlike(PATTERN), F.lit(False))
+    hinted = F.col("text").rlike(_HINTS[0]) | F.col("text").rlike(_HINTS[1])
+    hit = F.coalesce(hinted & F.col("text").rlike(PATTERN), F.lit(False))
     whole = F.struct(*[F.col(f"`{c}`") for c in plain.columns])
     parts = F.split("text", PATTERN, -1)
     found = plain.where(hit).select(
