@@ -483,3 +483,25 @@ def test_surrogates_stay_distinct(spark):
 def test_surrogates_use_no_python(spark):
     plan = surrogates.replace_entities(documents(spark, ODD), "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_trees_connect_what_close_pairs_connect():
+    rng = np.random.default_rng(11)
+
+    def connected(n, links):
+        root = list(range(n))
+        for a, b in links:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+        return root
+
+    for _ in range(10):
+        sets = []
+        for _ in range(20):
+            base = rng.integers(0, 1 << 64, int(rng.integers(1, 60)), dtype=np.uint64)
+            for _ in range(int(rng.integers(1, 12))):
+                extra = rng.integers(0, 1 << 64, int(rng.integers(0, 6)), dtype=np.uint64)
+                sets.append(np.unique(np.concatenate([base[rng.random(len(base)) > rng.random() * 0.2], extra])))
+        sets = [s for s in sets if len(s)]
+        pairs = [(a, b) for a in range(len(sets)) for b in range(a) if signature_trees.close(sets[a], sets[b], 80, 100)]
+        assert connected(len(sets), signature_trees.Tree(sets, 80, 100).find_links()) == connected(len(sets), pairs)

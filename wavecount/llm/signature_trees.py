@@ -42,7 +42,7 @@ from wavecount.session import materialise
 WORDS = 5
 THRESHOLD = (80, 100)
 #: Shingles in one unit of comparison, as 8 octets each.
-UNIT = 8_000_000
+UNIT = 12_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 28
 #: Signatures that a task combines before it sends them on.
@@ -176,18 +176,33 @@ class Tree:
             at = np.arange(0, len(bits), FANOUT)
             self.levels.append((np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(slack, at)))
-        self.root = np.arange(len(sets))
+        self.parent = np.arange(len(sets))  # of sets that links connect, towards the least
         self.links: list[tuple[int, int]] = []
 
+    def _find(self, a: int) -> int:
+        parent = self.parent
+        while parent[a] != a:
+            parent[a] = a = parent[parent[a]]
+        return int(a)
+
+    def _roots(self) -> np.ndarray:
+        """The root of every set; all paths are as short as can be afterwards."""
+        while True:
+            up = self.parent[self.parent]
+            if (up == self.parent).all():
+                return self.parent
+            self.parent = up
+
     def _possible(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which node pairs may hold a close pair that is not connected yet."""
         bits, low, high, slack = self.levels[level]
         keep = (high[i] * self.den >= self.num * low[j]) & (high[j] * self.den >= self.num * low[i])
+        roots = self._roots()
         if level == 0:
-            keep &= self.root[i] != self.root[j]
+            keep &= roots[i] != roots[j]
         else:
-            at = np.arange(0, len(self.root), FANOUT**level)
-            least, most = np.minimum.reduceat(self.root, at), np.maximum.reduceat(self.root, at)
+            at = np.arange(0, len(roots), FANOUT**level)
+            least, most = np.minimum.reduceat(roots, at), np.maximum.reduceat(roots, at)
             keep &= ~((least[i] == most[i]) & (least[j] == most[j]) & (least[i] == least[j]))
         left, step = np.flatnonzero(keep), max(1, (1 << 22) // bits.shape[1])
         for k in range(0, len(left), step):
@@ -217,13 +232,15 @@ class Tree:
         while len(i):
             now = min(len(i), 64)
             for a, b in zip(i[:now].tolist(), j[:now].tolist(), strict=True):
-                if self.root[a] != self.root[b] and close(self.sets[a], self.sets[b], self.num, self.den):
+                low, high = sorted((self._find(a), self._find(b)))
+                if low != high and close(self.sets[a], self.sets[b], self.num, self.den):
                     self.links.append((self.order[a], self.order[b]))
-                    low, high = sorted((self.root[a], self.root[b]))
-                    self.root[self.root == high] = low
+                    self.parent[high] = low
             i, j = i[now:], j[now:]
-            apart = self.root[i] != self.root[j]
-            i, j = i[apart], j[apart]
+            if len(i):
+                roots = self._roots()
+                apart = roots[i] != roots[j]
+                i, j = i[apart], j[apart]
 
     def find_links(self) -> list[tuple[int, int]]:
         """Links that connect all sets which chains of close pairs connect."""
@@ -313,30 +330,31 @@ def _members(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
     return texts(docs).mapInArrow(listed, "doc_id long, n_shingles long, cid long, shingles binary")
 
 
-def _units(sets: DataFrame, num: int, den: int, unit: int) -> DataFrame:
-    """Each set with the units (cluster, part) it takes part in.
+def _units(classes: DataFrame, num: int, den: int, unit: int) -> DataFrame:
+    """cid, root and the names of the units (parts of a cluster) that each set takes part in.
 
-    A large cluster is cut by classes of size. A set is compared in the class of the
-    larger set of a pair, so it visits its own class and those that sets up to its
-    size divided by the threshold lie in: mostly its own alone. A class beyond the
-    unit is dealt into blocks, of which every two meet.
+    ``classes`` has cid, root and n_shingles. A large cluster is cut by classes of
+    size. A set is compared in the class of the larger set of a pair, so it visits its
+    own class and those that sets up to its size divided by the threshold lie in:
+    mostly its own alone. A class beyond the unit is dealt into blocks, of which every
+    two meet.
     """
     def size_class(n: Column) -> Column:
         return F.floor(F.log(1.6, n)).cast("int")
 
     largest = F.floor(F.col("n_shingles") * den / F.lit(num))
-    sets = sets.withColumn("own", size_class(F.col("n_shingles"))).withColumn("last", size_class(largest))
-    large = sets.groupBy("root").agg(F.sum("n_shingles").alias("n")).where(F.col("n") > unit).select("root")
-    classes = sets.select("root", "n_shingles", F.explode(F.sequence("own", "last")).alias("class"))
-    blocks = classes.join(large, "root").groupBy("root", "class").agg(F.sum("n_shingles").alias("n")).select(
+    placed = classes.withColumn("own", size_class(F.col("n_shingles"))).withColumn("last", size_class(largest))
+    large = placed.groupBy("root").agg(F.sum("n_shingles").alias("n")).where(F.col("n") > unit).select("root")
+    visits = placed.select("root", "n_shingles", F.explode(F.sequence("own", "last")).alias("class"))
+    blocks = visits.join(large, "root").groupBy("root", "class").agg(F.sum("n_shingles").alias("n")).select(
         "root", "class", F.when(F.col("n") <= unit, 1).otherwise(F.ceil(F.col("n") * 2 / unit)).cast("int").alias("blocks"))
-    blocks = materialise(blocks, "blocks")
-    cut = sets.join(blocks.withColumnRenamed("root", "of"), (F.col("root") == F.col("of")) & F.col("class").between(F.col("own"), F.col("last")), "left")
+    blocks = materialise(blocks, "blocks").withColumnRenamed("root", "of")
+    cut = placed.join(blocks, (F.col("root") == F.col("of")) & F.col("class").between(F.col("own"), F.col("last")), "left")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.concat_ws(
         "/", F.col("class"), F.least(block, other), F.greatest(block, other)))
     parts = F.when(F.col("of").isNull(), F.array(F.lit(""))).otherwise(met)
-    return cut.select("root", F.explode(parts).alias("unit"), "cid", "shingles")
+    return cut.select("cid", "root", F.explode(parts).alias("unit")).groupBy("cid", "root").agg(F.collect_set("unit").alias("units"))
 
 
 def _links(units: DataFrame, num: int, den: int) -> DataFrame:
@@ -369,9 +387,12 @@ def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = TH
     num, den = threshold
     clusters = materialise(_clusters(_signatures(docs, words, num, den)), "clusters")
     members = materialise(_members(docs, words, _filter(clusters)), "members")
-    sets = members.where(F.col("shingles").isNotNull()).select("cid", "n_shingles", "shingles").dropDuplicates(["cid"])
-    sets = materialise(sets.join(clusters.withColumnRenamed("node", "cid"), "cid"), "sets")
-    labels = components(_links(_units(sets, num, den, unit), num, den))
+    held = members.where(F.col("shingles").isNotNull())
+    classes = held.select("cid", "n_shingles").distinct().join(clusters.withColumnRenamed("node", "cid"), "cid")
+    units = materialise(_units(materialise(classes, "classes"), num, den, unit), "units")
+    sets = held.select("cid", "shingles").dropDuplicates(["cid"]).join(units, "cid")
+    sets = sets.select("root", F.explode("units").alias("unit"), "cid", "shingles")
+    labels = components(_links(sets, num, den))
     rows = members.select("doc_id", "n_shingles", "cid")
     rows = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "cid").alias("root"))
