@@ -211,11 +211,11 @@ def _against_all(rows: DataFrame, queries: list, k: int) -> DataFrame:
     ids, q = np.array([r["vec_id"] for r in queries]), np.array([r["vector"] for r in queries], np.float64)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("part", pa.int32())])
         for batch in slices(batches, 4096):
-            found = list(best_of_block(ids, q, np.array(batch["vec_id"]), _matrix(batch["vector"]), k))
-            yield pa.RecordBatch.from_pylist([{"query_id": a, "vec_id": b, "score": s, "part": p} for (a, b, s), p in
-                                              ((f, dict(zip(batch["vec_id"].to_pylist(), batch["part"].to_pylist()))[f[1]]) for f in found)],
-                                             schema=pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("part", pa.int32())]))
+            part_of = dict(zip(batch["vec_id"].to_pylist(), batch["part"].to_pylist(), strict=True))
+            found = best_of_block(ids, q, np.array(batch["vec_id"]), _matrix(batch["vector"]), k)
+            yield pa.RecordBatch.from_pylist([{"query_id": a, "vec_id": b, "score": s, "part": part_of[b]} for a, b, s in found], schema=kind)
 
     return rows.mapInArrow(compared, "query_id long, vec_id long, score double, part int")
 
