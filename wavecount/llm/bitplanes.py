@@ -41,7 +41,7 @@ from wavecount.session import new_workdir
 #: Ids of one block.
 BLOCK = 65_536
 #: Words a task remembers the ids of; beyond that it starts anew, results are the same.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 800_000
 
 _BLOCKS = ("shard int, chunk int, first_id long, n_ids int, first_doc long, continued boolean, open boolean, "
            "doc_ids array<long>, lengths array<int>, planes array<binary>")
@@ -140,6 +140,12 @@ class _Words:
 _encoders: dict[int, _Words] = {}
 
 
+def _encoder(tokenizer_json: str) -> _Words:
+    """The encoder of this Python worker; as a function of the module it is found there and not sent with each task."""
+    key = zlib.crc32(tokenizer_json.encode())
+    return _encoders.get(key) or _encoders.setdefault(key, _Words(tokenizer_json))
+
+
 class _Blocks:
     """Cuts a shard's documents into blocks; holds one block and one document."""
 
@@ -195,7 +201,7 @@ def write_planes(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
         from pyspark.sql.pandas.types import to_arrow_schema
 
         kind = to_arrow_schema(schema)
-        words = _encoders.get(key := zlib.crc32(shared.value.encode())) or _encoders.setdefault(key, _Words(shared.value))
+        words = _encoder(shared.value)
         out = _Blocks(TaskContext.get().partitionId(), block)
         end = np.array([end_id], words.kind)
         gc.disable()  # nothing here is cyclic, and the remembered words are many
