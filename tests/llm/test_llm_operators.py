@@ -80,6 +80,20 @@ def test_bit_planes_of_nothing(spark, tmp_path):
     assert bitplanes.read_documents(chunks).collect() == []
 
 
+def test_words_match_the_library_in_mixed_white_space():
+    """No space within a run of white space is a border: some tokens span spaces and U+00A0."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, words = Tokenizer.from_file(path), bitplanes._Words(open(path, encoding="utf-8").read())
+    rng, signs = np.random.default_rng(12), [" ", " ", "\xa0", "\t", "\n", "\r\n", "\x1c", "\x85", "\u2003", "\u3000", "\u180e", "a", "b1", "."]
+    values = ["a \xa0 \xa0 b", " \xa0 \xa0", "\xa0 \xa0 \xa0 x", "x \xa0 y", "a \t \t b", " ", "", "  a", "a  "]
+    values += ["".join(rng.choice(signs, int(rng.integers(1, 16)))) for _ in range(5_000)]
+    values += [f"a {chr(c)} {chr(c)} b{chr(c)} " for c in range(0x3100) if chr(c).isspace() or not chr(c).isprintable()]
+    for value, ids in zip(values, words.encode(values), strict=True):
+        assert ids.tolist() == library.encode(value, add_special_tokens=False).ids, repr(value)
+
+
 # ---- 2: line classifier
 
 

@@ -64,13 +64,26 @@ def from_planes(planes: list[bytes], n_ids: int, decompress) -> np.ndarray:
 # Fixed value: how the byte-level pre-tokenizer cuts a text before merging.
 _CUT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
 
+#: Every white space of any reader of Unicode; a space beside one is no border.
+_WHITE = [c for c in map(chr, range(0x10000)) if c.isspace() or c == "\u180e"]
+_BORDER = re.compile(f" (?<![{''.join(_WHITE)}] )(?![{''.join(_WHITE)}])")
+
+
+def _parts(value: str) -> list[str]:
+    """What lies between the spaces that touch no white space."""
+    for c in _WHITE:
+        if c in value and (f" {c}" in value or f"{c} " in value):
+            return _BORDER.split(value)
+    return value.split(" ")
+
 
 class _Words:
     """Ids of whole texts, encoded by the library word by word and remembered.
 
     The byte-level pre-tokenizer always cuts before a single space that stands between
-    two other characters, so the parts between such spaces can be encoded alone; of a
-    new word the pre-tokenizer's own parts are given to the library, which then merges
+    two characters that are no white space, so the parts between such spaces can be
+    encoded alone; a run of mixed white space may be one token and stays whole. Of a new
+    word the pre-tokenizer's own parts are given to the library, which then merges
     without cutting again. Words with an added token and other kinds of tokenizers are
     left to the library as they are.
     """
@@ -124,7 +137,7 @@ class _Words:
             self.known.clear()
         rows, fresh, get = [], set(), self.known.get
         for value in values:
-            words = re.split(r"(?<! ) (?! )", value) if "  " in value else value.split(" ")
+            words = _parts(value)
             words[0] = f" {words[0]}"  # no space before it
             found = list(map(get, words))
             if None in found:
