@@ -286,6 +286,16 @@ def test_contamination_equals_search(spark, limit):
     assert Counter(r.doc_id for r in clean.collect()) == Counter(k for k, t in rows if not _contamination(t, items)[-1])
 
 
+def test_items_without_an_id_contaminate_unnamed(spark):
+    bench = spark.createDataFrame([(None, "hidden item here"), (None, "both know this"), (7, "both know this")], "item_id long, text string")
+    docs = documents(spark, [(1, "a hidden item, here"), (2, "Both know this!"), (3, "hidden here")])
+    for limit in (8_000_000, 20):
+        got = {r.doc_id: r for r in decontamination.digest(decontamination.scan(docs, bench, limit)).collect()}
+        assert {k: (r.n_hit, r.n_items, r.contaminated) for k, r in got.items()} == {1: (3, 0, True), 2: (3, 1, True), 3: (0, 0, False)}
+        assert got[2].items_sha256 == hashlib.sha256(b"7").hexdigest() and got[1].items_sha256 == hashlib.sha256(b"").hexdigest()
+        assert [r.doc_id for r in decontamination.keep_clean(docs, bench, limit).collect()] == [3]
+
+
 def test_no_benchmark(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in decontamination.digest(decontamination.scan(documents(spark, ODD), bench)).collect())

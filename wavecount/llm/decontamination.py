@@ -11,8 +11,9 @@ into several, one scan each, when the windows exceed ``AUTOMATON_CHARS``: what i
 broadcast is bounded whatever the size of the benchmark, and no window is dropped.
 
 Defined results: null and empty texts have no words and no hits; items without words
-match nothing; equal items are all named; an empty benchmark hits nothing; repeated
-documents are answered each for itself.
+match nothing; equal items are all named; an item with a null id hits and contaminates,
+but is neither named nor counted; an empty benchmark hits nothing; repeated documents
+are answered each for itself.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def item_windows(items: DataFrame, key: str = "item_id", text: str = "text", win
                                               pa.array([w for _, w in found], pa.binary())], names=["item", "window"])
 
     named = items.select(F.col(key).cast("string").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
-    return named.where(F.col(key).isNotNull()).mapInArrow(windows, "item string, window binary").distinct()
+    return named.mapInArrow(windows, "item string, window binary").distinct()
 
 
 class _Scanner:
