@@ -427,6 +427,25 @@ def test_similar_equals_all_pairs(spark, words, threshold, unit):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == _similar(rows, words, *threshold)
 
 
+@pytest.mark.parametrize("words,threshold,unit", [(4, (85, 100), 3_000_000), (2, (50, 100), 400), (3, (60, 100), 2_000)])
+def test_links_equal_all_pairs(spark, words, threshold, unit):
+    rows = [r for r in ODD if r[0]] + _copies() + [(3_000 + k, " ".join([*WORDS[:k], "odd", *WORDS])) for k in range(9)] * 2
+    sets, (num, den) = [_shingles(t, words) for _, t in rows], threshold
+    near = [sum(a != b and den * len(s & r) >= num * len(s | r) for b, r in enumerate(sets) if s and r) for a, s in enumerate(sets)]
+    assert max(near) > 5
+    got = signature_trees.similar(documents(spark, rows), words, threshold, unit).collect()
+    assert Counter((r.doc_id, r.n_links) for r in got) == Counter((k, n) for (k, _), n in zip(rows, near, strict=True))
+
+
+def test_trees_count_every_close_pair():
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 1 << 64, 80, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[rng.random(80) > 0.06], rng.integers(0, 1 << 64, 2, dtype=np.uint64)])) for _ in range(120)]
+    weights = rng.integers(1, 5, 120).tolist()
+    want = [sum(w for b, (r, w) in enumerate(zip(sets, weights)) if a != b and signature_trees.close(s, r, 85, 100)) for a, s in enumerate(sets)]
+    assert signature_trees.Tree(sets, 85, 100).count_links(weights).tolist() == want and sum(want) > 1_000
+
+
 def test_keep_one(spark):
     rows = [r for r in ODD if r[0]] + _copies()
     docs = documents(spark, rows)

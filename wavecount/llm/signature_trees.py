@@ -9,21 +9,24 @@
    on the level alone.
 3. The sets of a cluster form a signature tree: each node holds the OR of its sets'
    bitmaps and the range of their sizes. A dual traversal, from the leaves up, drops
-   node pairs whose largest possible overlap is too small, and pairs that are linked
-   already; what is left is compared exactly. A cluster beyond ``UNIT`` shingles is cut
-   by size, and a class of size beyond it into blocks that meet pairwise, so no task
-   holds more than a unit.
-4. Links make components; all documents of their classes belong to them.
+   node pairs whose largest possible overlap is too small; what is left is compared
+   exactly. Where components alone are asked for, pairs that are connected already are
+   dropped too. A cluster beyond ``UNIT`` shingles is cut by size, and a class of size
+   beyond it into blocks that meet pairwise, so no task holds more than a unit. A pair
+   that meets in several units counts in one of them.
+4. Links make components; all documents of their classes belong to them. The links of a
+   class are counted in its unit, weighted by the documents of the classes, so a group
+   of close texts sends one row for each text and not one for each pair.
 
 No pair is lost: step 2 finds every pair that reaches the threshold, and step 3 skips
-only pairs it has proved too far apart or knows to be connected. Threshold tests are
-in whole numbers.
+only pairs it has proved too far apart or, for components alone, knows to be connected.
+Threshold tests are in whole numbers.
 
 Copies cost one row per task; shared segments are combined per task before the shuffle.
 
 Defined results: null and empty texts and texts without words have no shingles and link
-with nothing; fewer words than a shingle make one; repeated documents share a class;
-rows with a null id get the least id of their component; an empty table gives none.
+with nothing; fewer words than a shingle make one; repeated documents share a class and
+are linked with each other; rows with a null id get the least id of their component; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -178,6 +181,7 @@ class Tree:
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(slack, at)))
         self.parent = np.arange(len(sets))  # of sets that links connect, towards the least
         self.links: list[tuple[int, int]] = []
+        self.all_pairs = False
 
     def _find(self, a: int) -> int:
         parent = self.parent
@@ -194,11 +198,13 @@ class Tree:
             self.parent = up
 
     def _possible(self, level: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """Which node pairs may hold a close pair that is not connected yet."""
+        """Which node pairs may hold a close pair; without ``all_pairs``, one that is not connected yet."""
         bits, low, high, slack = self.levels[level]
         keep = (high[i] * self.den >= self.num * low[j]) & (high[j] * self.den >= self.num * low[i])
-        roots = self._roots()
-        if level == 0:
+        roots = None if self.all_pairs else self._roots()
+        if self.all_pairs:
+            pass
+        elif level == 0:
             keep &= roots[i] != roots[j]
         else:
             at = np.arange(0, len(roots), FANOUT**level)
@@ -219,7 +225,7 @@ class Tree:
         if not len(i):
             return
         if level == 0:
-            self._compare(i, j)
+            self._count(i, j) if self.all_pairs else self._compare(i, j)
             return
         below, step = len(self.levels[level - 1][0]), 1 << 14
         for k in range(0, len(i), step):
@@ -242,6 +248,55 @@ class Tree:
                 apart = roots[i] != roots[j]
                 i, j = i[apart], j[apart]
 
+    def _count(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Compares all pairs exactly, one set with all its partners at a time."""
+        order = np.argsort(i, kind="stable")
+        i, j = i[order], j[order]
+        borders = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1], [True]]))
+        for first, last in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+            a = int(i[first])
+            self.marked[self.places[self.starts[a] : self.starts[a + 1]]] = True
+            for at in range(first, last, 4096):
+                self._count_with(a, j[at : min(at + 4096, last)])
+            self.marked[self.places[self.starts[a] : self.starts[a + 1]]] = False
+
+    def _count_with(self, a: int, others: np.ndarray) -> None:
+        sizes = self.starts[others + 1] - self.starts[others]
+        ends = np.cumsum(sizes)
+        read = np.arange(ends[-1]) + np.repeat(self.starts[others] - (ends - sizes), sizes)
+        both = np.add.reduceat(self.marked[self.places[read]], ends - sizes, dtype=np.int64)
+        own = self.starts[a + 1] - self.starts[a]
+        near = others[self.den * both >= self.num * (own + sizes - both)]
+        if not len(near):
+            return
+        counted = near if self.counted is None else near[self.counted(self.order[a], self.where[near])]
+        self.n_links[a] += self.weights[counted].sum()
+        self.n_links[counted] += self.weights[a]
+        for b in near[np.unique(self.parent[near], return_index=True)[1]].tolist():
+            low, high = sorted((self._find(a), self._find(b)))
+            if low != high:
+                self.links.append((self.order[a], self.order[b]))
+                self.parent[high] = low
+        self.parent[near] = self._find(a)
+
+    def count_links(self, weights: list[int], counted=None) -> np.ndarray:
+        """Per set the weights of all sets close to it; ``links`` then connects what chains of close pairs connect.
+
+        ``counted(a, others)`` tells which pairs of sets (by their places in the list given)
+        count here; the others only connect.
+        """
+        self.where, self.counted = np.array(self.order), counted
+        self.weights = np.array(weights, np.int64)[self.where]
+        self.n_links = np.zeros(len(self.sets), np.int64)
+        self.starts = np.concatenate([[0], np.cumsum([len(s) for s in self.sets])])
+        shingles, self.places = np.unique(np.concatenate(self.sets), return_inverse=True)
+        self.marked = np.zeros(len(shingles), bool)
+        self.all_pairs = True
+        self.find_links()
+        out = np.zeros(len(self.sets), np.int64)
+        out[self.where] = self.n_links
+        return out
+
     def find_links(self) -> list[tuple[int, int]]:
         """Links that connect all sets which chains of close pairs connect."""
         for level, (nodes, *_) in enumerate(self.levels[:-1]):
@@ -331,7 +386,10 @@ def _members(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
 
 
 def _units(classes: DataFrame, num: int, den: int, unit: int) -> DataFrame:
-    """cid, root and the names of the units (parts of a cluster) that each set takes part in.
+    """cid, root, own class of size and the units (parts of a cluster) that each set takes part in.
+
+    A unit has a name, its class of size, the blocks that meet in it and the set's block;
+    the name of a whole cluster is empty.
 
     ``classes`` has cid, root and n_shingles. A large cluster is cut by classes of
     size. A set is compared in the class of the larger set of a pair, so it visits its
@@ -351,54 +409,93 @@ def _units(classes: DataFrame, num: int, den: int, unit: int) -> DataFrame:
     blocks = materialise(blocks, "blocks").withColumnRenamed("root", "of")
     cut = placed.join(blocks, (F.col("root") == F.col("of")) & F.col("class").between(F.col("own"), F.col("last")), "left")
     block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.concat_ws(
-        "/", F.col("class"), F.least(block, other), F.greatest(block, other)))
-    parts = F.when(F.col("of").isNull(), F.array(F.lit(""))).otherwise(met)
-    return cut.select("cid", "root", F.explode(parts).alias("unit")).groupBy("cid", "root").agg(F.collect_set("unit").alias("units"))
+    def unit_of(name: Column, size: Column, low: Column, high: Column, held: Column) -> Column:
+        numbers = (c.cast("int").alias(n) for n, c in (("size", size), ("low", low), ("high", high), ("block", held)))
+        return F.struct(name.alias("name"), *numbers)
 
+    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: unit_of(
+        F.concat_ws("/", F.col("class"), F.least(block, other), F.greatest(block, other)),
+        F.col("class"), F.least(block, other), F.greatest(block, other), block))
+    whole = F.array(unit_of(F.lit(""), *[F.lit(None)] * 4))
+    parts = F.when(F.col("of").isNull(), whole).otherwise(met)
+    return cut.select("cid", "root", "own", "copies", F.explode(parts).alias("unit")).groupBy("cid", "root", "own", "copies").agg(
+        F.collect_set("unit").alias("units"))
 
-def _links(units: DataFrame, num: int, den: int) -> DataFrame:
-    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, current, ids, sets = [], None, [], []
 
-        def finish() -> None:
-            if len(ids) > 1:
-                out.extend((ids[a], ids[b]) for a, b in Tree(sets, num, den).find_links())
+def _links(units: DataFrame, num: int, den: int, count: bool) -> DataFrame:
+    """Links (u, v) that connect, and with ``count`` rows (u, n) of the documents close to class u, in one or more units."""
+    def rows(u: list, v: list, n: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (u, v, n)], names=["u", "v", "n"])
 
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, ids, sets, copies, places = None, [], [], [], []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if len(ids) < 2:
+                return
+            tree = Tree(sets, num, den)
+            if count:
+                size, low, high = current[2:]
+                own, block = (np.array(x) for x in zip(*places, strict=True))
+
+                def counted(a: int, others: np.ndarray) -> np.ndarray:
+                    """In the class of the larger set, and where the blocks of both are those that meet."""
+                    return ((np.maximum(own[a], own[others]) == size) & (np.minimum(block[a], block[others]) == low)
+                            & (np.maximum(block[a], block[others]) == high))
+
+                n = tree.count_links(copies, counted if current[1] else None)
+                some = np.flatnonzero(n)
+                yield rows(np.array(ids)[some], [None] * len(some), n[some])
+            else:
+                tree.find_links()
+            yield rows([ids[a] for a, _ in tree.links], [ids[b] for _, b in tree.links], [None] * len(tree.links))
+
+        names = ("root", "unit", "size", "low", "high", "cid", "shingles", "copies", "own", "block")
         for part in slices(batches):
-            for root, unit, cid, s in zip(*(part[c].to_pylist() for c in ("root", "unit", "cid", "shingles")), strict=True):
-                if (root, unit) != current:
-                    finish()
-                    current, ids, sets = (root, unit), [], []
+            for *unit, cid, s, n, own, block in zip(*(part[c].to_pylist() for c in names), strict=True):
+                if unit != current:
+                    yield from finish()
+                    current, ids, sets, copies, places = unit, [], [], [], []
                 ids.append(cid)
                 sets.append(np.frombuffer(s, _U))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["u", "v"])
-                out.clear()
-        finish()
-        yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["u", "v"])
+                copies.append(n)
+                places.append((own, block))
+        yield from finish()
 
     ordered = units.repartition("root", "unit").sortWithinPartitions("root", "unit", "cid")
-    return ordered.mapInArrow(linked, "u long, v long")
+    return ordered.mapInArrow(linked, "u long, v long, n long")
 
 
-def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, unit: int = UNIT) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, unit: int = UNIT, count: bool = True) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document, and with ``count`` also n_links.
+
+    ``n_links`` is the number of other rows that are close to it, copies among them.
+    """
     num, den = threshold
     clusters = materialise(_clusters(_signatures(docs, words, num, den)), "clusters")
     members = materialise(_members(docs, words, _filter(clusters)), "members")
     held = members.where(F.col("shingles").isNotNull())
+    copies = members.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.count("*").alias("copies"))
     classes = held.select("cid", "n_shingles").distinct().join(clusters.withColumnRenamed("node", "cid"), "cid")
+    classes = classes.join(copies, "cid") if count else classes.withColumn("copies", F.lit(1).cast("long"))
     units = materialise(_units(materialise(classes, "classes"), num, den, unit), "units")
     sets = held.select("cid", "shingles").dropDuplicates(["cid"]).join(units, "cid")
-    sets = sets.select("root", F.explode("units").alias("unit"), "cid", "shingles")
-    labels = components(_links(sets, num, den))
+    sets = sets.select("root", "cid", "shingles", "own", "copies", F.explode("units").alias("at")).select(
+        "root", F.col("at.name").alias("unit"), "at.size", "at.low", "at.high", "at.block", "own", "copies", "cid", "shingles")
+    links = materialise(_links(sets, num, den, count), "found")
+    known = components(links.where(F.col("v").isNotNull()).select("u", "v")).withColumnRenamed("node", "cid")
     rows = members.select("doc_id", "n_shingles", "cid")
-    rows = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "cid").alias("root"))
+    if count:
+        counts = links.where(F.col("n").isNotNull()).groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
+        known = known.join(counts, "cid", "left").join(copies.where(F.col("copies") > 1), "cid", "full")
+        n_links = [(F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links")]
+    else:
+        n_links = []
+    rows = rows.join(known, "cid", "left").select(
+        "doc_id", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
     least = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
-    return rows.join(least, "root", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+    return rows.join(least, "root", "left").select("doc_id", "n_shingles", component, *(["n_links"] if count else []))
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -406,5 +503,5 @@ def keep_one(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = T
 
     Rows that repeat an id are one document. Only ids that go are looked up.
     """
-    gone = similar(docs, words, threshold).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = similar(docs, words, threshold, count=False).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
     return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
