@@ -329,6 +329,28 @@ def test_pages_by_host(spark):
     assert host_paths.extract(pages.limit(0)).collect() == []
 
 
+LONG = " ".join(["some words of the story"] * 20)
+PARTS = {
+    "lead": f'<body><div class="story"><div class="lead">The lead.</div><div class="text"><p>{LONG}</p></div></div></body>',
+    "heading": f'<body><div class="content"><h1>Heading</h1><div class="text"><p>{LONG}</p></div></div></body>',
+    "article": f'<body><article><h1>Heading</h1><div class="entry"><div class="content"><p>{LONG}</p></div></div></article></body>',
+    "bare": f'<body><h1>Heading</h1><div class="text"><p>{LONG}</p></div></body>',
+    "frame": f'<body><div>A small claim</div><article><p>{LONG}</p></article><div>{LONG} by readers</div></body>',
+}
+
+
+@pytest.mark.parametrize("kind", sorted(PARTS))
+def test_pages_keep_all_parts(spark, kind):
+    visible_to_workers(spark)
+    other = f'<body><section class="post"><p>{LONG} otherwise</p></section><div class="story content"><p>Bit</p></div></body>'
+    rows = [(k, "http://a.example/", PARTS[kind]) for k in range(3)] + [(9, "http://a.example/", other)]
+    rows.append((10, "http://a.example/", other.replace("story content", kind if kind == "lead" else "text")))
+    got = {r.page_id: r.text for r in host_paths.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    first = {"lead": "The lead. ", "frame": ""}.get(kind, "Heading ")
+    assert {got[k] for k in range(3)} == {first + LONG}
+    assert LONG + " otherwise" in got[9] and LONG + " otherwise" in got[10]
+
+
 # ---- 8: secrets
 
 

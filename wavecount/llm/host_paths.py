@@ -2,10 +2,16 @@
 
 Every page proposes containers: elements that may hold an article, named by their
 generalised tag-class path (tags from the root, classes with digits replaced). They are
-scored by the text in their blocks, less link text. In Spark the pages of a host vote:
-scores and pages are summed per path, and one path wins. Each page is then read again,
-and its text is taken from the containers on the winning path; a page without one falls
-back on its own best container.
+scored by the text in their blocks, less link text. From the best one a page climbs to
+the lowest container that holds what its siblings add to it (a heading, a lead, further
+parts). In Spark the pages of a host vote: scores and pages are summed per path, and one
+path wins. Each page is then read again, and its text is taken from the containers on
+the winning path; a page where that gives less than ``ENOUGH`` of the unlinked text of
+its own choice falls back on the latter.
+
+Siblings within body itself, or beside an article or main, are the page's frame as often
+as its text: they count with a first heading among them, and, beside no article or main,
+also with a tenth of the text.
 
 Blocks are what block-level tags and line breaks separate. Menus, headers, footers,
 sidebars, notices, adverts, forms, comments of readers, scripts and styles are left
@@ -35,6 +41,8 @@ from wavecount.session import materialise
 BROADCAST_HOSTS = 200_000
 #: Spread of a host's pages in that shuffle.
 SALTS = 32
+#: Least share of the unlinked text of a page's own choice that the winning path must give.
+ENOUGH = 0.75
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -88,7 +96,9 @@ class _Page:
         self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers, text, characters of links
         self.stack: list[tuple[str, str, bool, int]] = []  # tag, path, dropped, container or -1
         self.buffer: list[str] = []
+        self.headings: set[int] = set()  # blocks that are first headings
         self.links = self.depth_a = 0
+        self.heading = False
         self._read(source)
 
     def _flush(self) -> None:
@@ -96,6 +106,8 @@ class _Page:
             text = " ".join(html.unescape("".join(self.buffer)).split())
             if text:
                 inside = tuple(c for *_, c in self.stack if c >= 0)
+                if self.heading:
+                    self.headings.add(len(self.blocks))
                 self.blocks.append((inside, text, min(self.links, len(text))))
             self.buffer, self.links = [], 0
 
@@ -134,6 +146,7 @@ class _Page:
         if tag in _BLOCKS:
             self._flush()
             self.depth_a = 0
+            self.heading = tag == "h1" or self.heading and tag in ("br", "hr")
         elif tag == "a":
             self.depth_a = 1
         if tag in _NESTED and tag not in _VOID and not closed:
@@ -150,6 +163,7 @@ class _Page:
     def _close(self, tag: str) -> None:
         if tag in _BLOCKS:
             self._flush()
+            self.heading = False
         elif tag == "a":
             self.depth_a = 0
         if tag in _NESTED:
@@ -174,14 +188,49 @@ class _Page:
                 worth *= 0.5
         return {p: s for p, s in out.items() if s > 0}
 
+    def _on(self, path: str) -> set[int]:
+        """Blocks in the containers on the path."""
+        return {k for k, (inside, *_) in enumerate(self.blocks) if any(self.paths[c] == path for c in inside)}
+
+    def _unlinked(self, blocks: set[int]) -> int:
+        return sum(max(0, len(self.blocks[k][1]) - 2 * self.blocks[k][2]) for k in blocks)
+
+    def choice(self, own: dict[str, float]) -> str | None:
+        """The lowest container that holds the best one and what its siblings add to it."""
+        if not own:
+            return None
+        chosen = min(own, key=lambda p: (-own[p], p))
+        held, above, known = self._on(chosen), chosen, set(self.paths)
+        while ">" in above:
+            above = above.rpartition(">")[0]
+            if above not in known:
+                continue
+            more = self._on(above)
+            gain, steps = self._unlinked(more - held), [x.split(".")[0] for x in chosen.split(">")]
+            heading = not self.headings.isdisjoint(more - held)
+            whole = not {"article", "main"}.isdisjoint(steps) and above.count(">") < max(
+                k for k, x in enumerate(steps) if x in ("article", "main"))
+            if whole:
+                accepted = heading
+            elif above.rpartition(">")[2].split(".")[0] == "body":
+                accepted = heading or gain * 10 >= self._unlinked(held)
+            else:
+                accepted = True
+            if gain and accepted:
+                chosen, held = above, more
+        return chosen
+
     def text(self, path: str | None) -> str:
-        """Blocks in the containers on the path, in page order; without one, in the page's own best."""
-        if path not in self.paths:
-            own = self.scores()
-            path = min(own, key=lambda p: (-own[p], p)) if own else None
-        if path is None:
+        """Blocks in the containers on the path, in page order; where they are too little, in those of the page's own choice."""
+        own = self.choice(self.scores())
+        if own is None and path not in self.paths:
             return " ".join(t for _, t, _ in self.blocks)
-        return " ".join(t for inside, t, _ in self.blocks if any(self.paths[c] == path for c in inside))
+        blocks = self._on(path) if path in self.paths else set()
+        if own is not None and own != path:
+            wanted = self._on(own)
+            if self._unlinked(blocks) < ENOUGH * self._unlinked(wanted):
+                blocks = wanted
+        return " ".join(self.blocks[k][1] for k in sorted(blocks))
 
 
 def _host(url: Column) -> Column:
@@ -199,12 +248,12 @@ def votes(pages: DataFrame) -> DataFrame:
         for part in slices(batches):
             sums: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0, 0.0])
             for host, source in zip(part["host"].to_pylist(), part["html"].to_pylist(), strict=True):
-                own = _Page(source).scores()
-                best = min(own, key=lambda p: (-own[p], p)) if own else None
+                page = _Page(source)
+                own = page.scores()
                 for path, score in own.items():
-                    entry = sums[host, path]
-                    entry[0] += path == best
-                    entry[1] += score
+                    sums[host, path][1] += score
+                if own:
+                    sums[host, page.choice(own)][0] += 1
             yield pa.RecordBatch.from_arrays([
                 pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()),
                 pa.array([n for n, _ in sums.values()], pa.int64()), pa.array([round(s) for _, s in sums.values()], pa.int64()),
