@@ -38,3 +38,26 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+#: Keys that more than one of so many rows share are looked up by broadcast; there are no more of them than this.
+HOT_KEYS = 1_024
+
+
+def look_up(rows: DataFrame, found: DataFrame, key: str, weight: str) -> DataFrame:
+    """Columns of ``found`` beside all ``rows``, null where there are none; null keys match.
+
+    ``found`` is a written table with one row for each key and its number of rows in
+    column ``weight``. Keys of more than one row in ``HOT_KEYS`` are at most ``HOT_KEYS``
+    keys: they are broadcast, and their rows stay where they are. The shuffled rest has
+    no key with more rows than that share.
+    """
+    total = found.agg(F.sum(weight)).first()[0] or 0
+    is_hot = F.col(weight) * F.lit(HOT_KEYS).cast("decimal(38,0)") > F.lit(total)
+    new = [c for c in found.columns if c != key]
+    found = found.withColumnRenamed(key, "_key")
+    hot = found.where(is_hot).withColumn("_hot", F.lit(True))
+    tagged = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_key")), "left")
+    rest = tagged.where(F.col("_hot").isNull()).select(*rows.columns)
+    rest = rest.join(found.where(~is_hot), F.col(key).eqNullSafe(F.col("_key")), "left")
+    return tagged.where("_hot").select(*rows.columns, *new).unionByName(rest.select(*rows.columns, *new))

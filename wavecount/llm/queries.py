@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from wavecount.llm import (
-    bitplanes, blob_ledger, decontamination, host_paths, learned_partitions, line_crf, ordinal_toxicity, piece_transducer,
-    signature_trees, surrogates)
+    active_lloyd, bitplanes, blob_ledger, decontamination, golomb_dedup, host_paths, learned_partitions, line_crf, ordinal_toxicity, piece_transducer,
+    signature_trees, surrogates, word_runs)
 from wavecount.llm.common import read_table, visible_to_workers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,18 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(scanned).drop("spans")
 
 
+def _codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return active_lloyd.codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def _copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golomb_dedup.groups(read_table(spark, sf_dir, "documents"))
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digest(word_runs.runs(read_table(spark, sf_dir, "documents"), word_runs.repeated_tail))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         visible_to_workers(spark)
@@ -73,7 +85,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_benchmark_automaton": _DECONTAMINATION}
+    return {"op6_benchmark_automaton": _DECONTAMINATION, "op11_active_lloyd": _LLOYD, "op12_golomb_exchange": _COPIES}
 
 
 _QUERIES: dict[str, Query] = {
@@ -87,6 +99,9 @@ _QUERIES: dict[str, Query] = {
     "op8_blob_ledger": _secrets,
     "op9_signature_trees": _similar,
     "op10_surrogates": _surrogates,
+    "op11_active_lloyd": _codes,
+    "op12_golomb_exchange": _copies,
+    "op13_word_runs": _runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -104,3 +119,40 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+_COPIES = r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
+  row_number() OVER w = 1 AS kept, sha256(norm) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY norm ORDER BY n DESC, doc_id NULLS LAST)
+"""
+
+
+def _lloyd_sql(rounds: int = 2) -> str:
+    """Plain rounds that compare everything; each is a pair of tables, of nearest entries and of moved ones."""
+    tables = ["""
+v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, k, x[k * len(x) // 16 + 1:(k + 1) * len(x) // 16] AS x FROM v, (SELECT unnest(range(16)) AS k)),
+b0 AS MATERIALIZED (SELECT k, r - 1 AS e, x FROM p WHERE r <= 64)"""]
+    for n in range(rounds + 1):
+        tables.append(f"""
+a{n} AS MATERIALIZED (SELECT r, k, any_value(p.x) AS x, min((d, e)) AS best
+  FROM (SELECT p.r, p.k, p.x, b.e, list_sum(list_transform(list_zip(p.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+    FROM p JOIN b{n} AS b USING (k)) AS p GROUP BY r, k)""")
+        tables.append(f"""
+b{n + 1} AS MATERIALIZED (SELECT b.k, b.e, coalesce(m.x, b.x) AS x FROM b{n} AS b LEFT JOIN (
+    SELECT k, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS x FROM (
+      SELECT k, best[2] AS e, i, sum(x[i]) AS s, count(*) AS n FROM (SELECT k, best, x, unnest(range(1, len(x) + 1)) AS i FROM a{n}) GROUP BY ALL)
+    GROUP BY k, e) AS m USING (k, e))""")
+    return f"""
+WITH {",".join(tables[:-1])},
+c AS (SELECT r, string_agg(printf('%02x', best[2]), '' ORDER BY k) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY k, e)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN c USING (r)
+"""
+
+
+_LLOYD = _lloyd_sql()
