@@ -121,3 +121,15 @@ def behavior_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dense log, up to 15 minutes late, in drops of 40 minutes by arrival."""
     return dense_log_lines(spark, sf_dir).select("value", _drop(F.col("arrival_ms"), DENSE_DROP_MS))
+
+
+def log_drops_in_order(spark: SparkSession, sf_dir: str, drop_ms: int | None = DENSE_DROP_MS) -> DataFrame:
+    """The same with the columns that order it; without ``drop_ms`` all in one drop."""
+    number = F.lit(0).alias("drop") if drop_ms is None else _drop(F.col("arrival_ms"), drop_ms)
+    return dense_log_lines(spark, sf_dir).select("value", number, "arrival_ms", "event_id")
+
+
+def behavior_drops_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Behaviour lines with their drop and the time that orders them."""
+    rows = behaviors(spark, sf_dir)
+    return rows.select(behavior.behavior_line().alias("value"), _drop(F.col("ts_sec") * 1000, DROP_MS), "ts_sec")

@@ -197,5 +197,9 @@ ORACLES: dict[str, str] = {
     "stream_hot_items": _HOT_ITEMS,
     "stream_hot_items_changelog": _changes_by_drop(),
     "stream_hot_pages": _top(_counts(_DROPPED_REQUESTS, *_PAGE, _NOT_LOST), "url"),
+    "live_hot_pages": _top(_counts(_DENSE_REQUESTS, *_PAGE, _NOT_LOST), "url"),
+    "live_hot_pages_one_batch": _top(_counts(_DENSE_REQUESTS, *_PAGE, _NOT_LOST), "url"),
+    "live_late_requests": f"select ip, user_id, ts_ms, method, url from ({_DENSE_REQUESTS}) where {_LATE}",
+    "live_item_ranking": _HOT_ITEMS,
     "stream_late_events": f"select ip, user_id, ts_ms, method, url from ({_DROPPED_REQUESTS}) where {_LATE}",
 }

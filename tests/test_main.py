@@ -82,6 +82,22 @@ def test_hot_pages_follow_a_folder(spark, tmp_path, capsys):
     assert "被访问url = /c" in seen[2] and "late data> " not in seen[2]
     assert "late data> h,u," in seen[3] and "/late" in seen[3] and "被访问url = /late" not in seen[3]
 
+
+def test_hot_pages_follow_a_folder_row_by_row(spark, tmp_path, capsys):
+    """A row is late for what an earlier line of its own file has closed."""
+    line = "h u - 01/01/1970:{:02}:{:02}:{:02} +0000 GET {}\n"
+    (tmp_path / "in").mkdir()
+    follow = ["hot-pages", "--by-row", "--follow", str(tmp_path / "in"), "--state", str(tmp_path / "state"), "--once"]
+    seen = []
+    for n, rows in enumerate(([(0, 0, 1, "/a"), (0, 10, 20, "/b"), (0, 0, 2, "/c"), (0, 30, 0, "/d"), (0, 0, 3, "/late")], [(0, 50, 0, "/e")])):
+        (tmp_path / f"in/{n}.log").write_text("".join(line.format(*r) for r in rows))
+        main(follow)
+        seen.append(capsys.readouterr().out)
+    assert all(f"被访问url = {url}" in seen[0] for url in ("/a", "/b", "/c")) and "被访问url = /late" not in "".join(seen)
+    assert seen[0].count("late data> h,u,") == 1 and "/late" in seen[0] and "late data> " not in seen[1]
+    assert "被访问url = /d" in seen[1] and "被访问url = /a" not in seen[1]
+
+
 def test_hot_pages_job_takes_the_file_order_as_arrival(spark, tmp_path):
     rng, rows, lines = random.Random(11), [], []
     for n in range(120):

@@ -23,9 +23,9 @@ from wavecount.session import build_session, materialise
 from wavecount.sources.access_log import parse_access_log
 from wavecount.sources.behavior import parse_behavior
 from wavecount.sources.lines import (
-    read_lines, read_lines_in_order, replay_to_kafka, stream_kafka_lines, stream_lines)
-from wavecount.streaming import jobs
-from wavecount.streaming.sinks import BatchFolder, OpenSpans, Progress, print_rows
+    FILE_PLACE, KAFKA_PLACE, read_lines, read_lines_in_order, replay_to_kafka, stream_kafka_lines, stream_lines, stream_lines_with_place)
+from wavecount.streaming import jobs, live
+from wavecount.streaming.sinks import BatchFolder, HandOver, OpenSpans, Progress, print_rows
 
 
 def _emit(result: DataFrame, args: argparse.Namespace, name: str) -> None:
@@ -106,8 +106,32 @@ def _hot_pages(spark: SparkSession, args: argparse.Namespace) -> None:
     _emit(run.late().drop("place"), args, "late data")
 
 
+def _follow_hot_pages_by_row(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The same, decided row by row in the order of arrival: two streams, the second one batch behind."""
+    windows = live.page_windows()
+    place = FILE_PLACE if args.follow else KAFKA_PLACE
+    lines = (stream_lines_with_place(spark, args.follow) if args.follow
+             else stream_kafka_lines(spark, args.kafka, args.topic, args.group, place=True))
+    taken, late = HandOver(f"{args.state}/taken", windows.spans), _results(args, "late data", jobs.LATE_REQUESTS)
+    out, kept = _results(args, "hot pages", windows.ranked), BatchFolder(f"{args.state}/kept", windows.ranked)
+    show_late = None if args.output else lambda rows, _: print_rows(rows, "late data", args.rows)
+    first = live.stream_taken(parse_access_log(lines, args.mode, args.zone, carry=place), windows, taken, Progress(f"{args.state}/progress"),
+                              f"{args.state}/checkpoint", args.once, place, late, show_late)
+    if args.once:
+        _run(first)
+        taken.finish(spark)
+    show = None if args.output else lambda ranked, _: print_rows(page_report(ranked, args.zone), "hot pages", args.rows)
+    live.stream_ranking(spark, windows, taken, kept, out, f"{args.state}/ranking", args.once, n=args.n, handle_ranking=show)
+    while spark.streams.active:  # an error of either ends the job
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
+
+
 def _follow_hot_pages(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rankings, their refinements and late requests of one run."""
+    if args.by_row:
+        _follow_hot_pages_by_row(spark, args)
+        return
     out, late = _results(args, "hot pages", jobs.RANKED_PAGES), _results(args, "late data", jobs.LATE_REQUESTS)
 
     def show(ranked: DataFrame, batch_id: int) -> None:
@@ -150,6 +174,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rows", type=int, default=None, help="print only so many rows of each result or batch")
     parser.add_argument("--follow", help="folder that keeps receiving text files")
     parser.add_argument("--state", help="folder of a followed job's progress; below --output if not named")
+    parser.add_argument("--by-row", action="store_true", help="hot-pages: decide lateness row by row, not batch by batch")
     parser.add_argument("--once", action="store_true", help="handle what has arrived, then stop")
     args = parser.parse_args(argv)
     if not (args.input or args.follow or args.kafka):

@@ -186,3 +186,31 @@ def late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: i
     last = closings.select(F.col("window_end").alias("_last_end"), F.col("closed_after").alias("_closed_after"))
     tagged = rows.withColumn("_last_end", last_window_end(ts_ms, size, slide)).withColumn("_arrival", order)
     return tagged.join(last, "_last_end").filter(F.col("_closed_after") < F.col("_arrival")).select(*columns)
+
+
+def batch_spans(stream: DataFrame, rows: DataFrame, keys: Sequence[str], order: Column, ts_ms: Column, size: int,
+                slide: int, delay: int, after: int, seen_ms: int | None) -> tuple[DataFrame, DataFrame]:
+    """The open spans of the rows of one batch of a longer stream, and the closing points inside the batch.
+
+    ``seen_ms`` is the largest event time of all earlier batches. What it has closed is
+    closed for the whole batch; a row of the batch closes windows for the rows after it.
+    """
+    closings = window_closings(stream, order, ts_ms, size, slide, delay, after)
+    spans = open_spans(rows, keys, order, ts_ms, size, slide, closings)
+    if seen_ms is not None:
+        lost = last_end_reached(F.lit(seen_ms - delay - after).cast("bigint"), size, slide)
+        spans = spans.withColumn("first_end", F.greatest("first_end", lost + slide)).filter("first_end <= last_end")
+    return spans, closings
+
+
+def batch_late_rows(rows: DataFrame, order: Column, ts_ms: Column, size: int, slide: int, closings: DataFrame,
+                    delay: int, after: int, seen_ms: int | None) -> DataFrame:
+    """Rows of one batch that all their windows lost, to earlier batches or to earlier rows of this one."""
+    if seen_ms is None:
+        return late_rows(rows, order, ts_ms, size, slide, closings)
+    last = last_window_end(ts_ms, size, slide)
+    lost_before = last + after <= F.lit(seen_ms - delay).cast("bigint")
+    earlier = rows.filter(lost_before)
+    if slide > size:
+        earlier = earlier.filter(first_window_end(ts_ms, size, slide) <= last)
+    return earlier.unionByName(late_rows(rows.filter(~lost_before), order, ts_ms, size, slide, closings))

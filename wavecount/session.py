@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +62,34 @@ def new_workdir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+_held = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread materialises inside are removed at the end; whatever reads them has to have run by then."""
+    before, _held.paths = getattr(_held, "paths", None), []
+    try:
+        yield
+    finally:
+        mine, _held.paths = _held.paths, before
+        for path in mine:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers import this package from where the driver did; with ``--py-files`` they have it anyway."""
+    root, known = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in known.get("PYTHONPATH", "").split(":"):
+        known["PYTHONPATH"] = ":".join(filter(None, [known.get("PYTHONPATH"), root]))
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
@@ -67,4 +99,6 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_workdir(spark, label)
     df.write.parquet(path)
+    if getattr(_held, "paths", None) is not None:
+        _held.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)

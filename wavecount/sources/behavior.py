@@ -12,13 +12,14 @@ SEPARATOR = ","
 TIME_LIMIT = 9_000_000_000_000
 
 
-def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
+def parse_behavior(lines: DataFrame, mode: str = FAILFAST, carry: tuple[str, ...] = ()) -> DataFrame:
     """``value`` -> user_id, item_id, category_id, behavior, ts_sec, ts.
 
-    ``ts_sec`` is in epoch seconds. Fields after the fifth are ignored.
+    ``ts_sec`` is in epoch seconds. Fields after the fifth are ignored. Columns named in
+    ``carry`` are passed on unchanged.
     """
-    fields = lines.select("value", F.split("value", SEPARATOR).alias("f"))
-    parsed = fields.select("value", parsed_fields(
+    fields = lines.select("value", *carry, F.split("value", SEPARATOR).alias("f"))
+    parsed = fields.select("value", *carry, parsed_fields(
         F.get("f", F.lit(0)).try_cast("bigint").alias("user_id"),
         F.get("f", F.lit(1)).try_cast("bigint").alias("item_id"),
         F.get("f", F.lit(2)).try_cast("int").alias("category_id"),
@@ -31,7 +32,7 @@ def parse_behavior(lines: DataFrame, mode: str = FAILFAST) -> DataFrame:
     )
     in_range = F.greatest(F.least("ts_sec", F.lit(TIME_LIMIT)), F.lit(-TIME_LIMIT))  # other rows are gone or stop the job
     return keep_valid(parsed, valid, F.col("value"), mode).select(
-        "user_id", "item_id", "category_id", "behavior", "ts_sec",
+        *carry, "user_id", "item_id", "category_id", "behavior", "ts_sec",
         F.timestamp_seconds(in_range).alias("ts"),
     )
 

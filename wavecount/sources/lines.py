@@ -34,6 +34,18 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.load(path)
 
 
+#: Columns that tell in which order lines of different files and splits arrived.
+FILE_PLACE = ("arrived", "file", "block")
+KAFKA_PLACE = ("arrived", "partition", "offset")
+
+
+def stream_lines_with_place(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The same lines with ``FILE_PLACE``; lines of one split follow each other in the batch that reads it."""
+    return stream_lines(spark, path, max_files_per_trigger).select(
+        "value", F.col("_metadata.file_modification_time").alias("arrived"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"))
+
+
 def kafka_source_options(servers: str, topic: str, group_id: str | None = None,
                          starting_offsets: str = "latest") -> dict[str, str]:
     """Options of the topic reader; new queries start at the latest offset."""
@@ -48,11 +60,12 @@ def kafka_source_options(servers: str, topic: str, group_id: str | None = None,
 
 
 def stream_kafka_lines(spark: SparkSession, servers: str, topic: str, group_id: str | None = None,
-                       starting_offsets: str = "latest") -> DataFrame:
-    """Record values of a topic as lines. Needs the Kafka connector on the class path."""
+                       starting_offsets: str = "latest", place: bool = False) -> DataFrame:
+    """Record values of a topic as lines, with ``KAFKA_PLACE`` where wanted. Needs the Kafka connector on the class path."""
     reader = spark.readStream.format("kafka")
     options = kafka_source_options(servers, topic, group_id, starting_offsets)
-    return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
+    places = [F.col("timestamp").alias("arrived"), F.col("partition"), F.col("offset")] if place else []
+    return reader.options(**options).load().select(F.col("value").cast("string").alias("value"), *places)
 
 
 def kafka_sink_options(servers: str, topic: str) -> dict[str, str]:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from wavecount.operators.changelog import fold
+
 
 def labelled(rows: DataFrame, label: str) -> DataFrame:
     """``rows`` with the name of the output they belong to."""
@@ -100,3 +102,97 @@ class OpenSpans:
         self._folder.write(merged.filter(still_needed), batch_id)
         self._folder.forget(spark, batch_id - 2)
         return merged
+
+
+class HandOver:
+    """Results of one stream as the input of another, each batch once.
+
+    A batch is written aside and moved to where the other stream reads when the next one
+    begins, for only then is it known to be done; a batch that is repeated before that
+    replaces its rows. ``finish`` moves what a stopped stream has left.
+    """
+
+    def __init__(self, path: str, schema: str):
+        self.schema = schema
+        self._aside = BatchFolder(f"{path}/aside", schema)
+        self._ready = f"{path}/ready"
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self._move(rows.sparkSession, batch_id - 1)
+        self._aside.write(rows, batch_id)
+
+    def _move(self, spark: SparkSession, batch_id: int) -> None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        source = path(f"{self._aside.path}/batch_id={batch_id}")
+        files = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path(self._ready))
+        if files.exists(source):
+            files.rename(source, path(f"{self._ready}/batch_id={batch_id}"))
+
+    def finish(self, spark: SparkSession) -> None:
+        """Hand over the last batch of a stream that has stopped without an error."""
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files = path(self._aside.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.exists(path(self._aside.path)):
+            for status in files.listStatus(path(self._aside.path)):
+                self._move(spark, int(status.getPath().getName().partition("=")[2]))
+
+    def end(self, rows: DataFrame) -> None:
+        """Hand over what is left, and ``rows`` after it. Only for input that has ended."""
+        self.finish(rows.sparkSession)
+        rows.write.mode("overwrite").parquet(f"{self._ready}/batch_id=end")
+
+    def stream(self, spark: SparkSession, max_files_per_trigger: int | None = None) -> DataFrame:
+        spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._ready).getFileSystem(
+            spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._ready))
+        reader = spark.readStream.schema(self.schema)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        return reader.parquet(f"{self._ready}/*")
+
+
+class FoldedChanges:
+    """A table kept up to date from insert and delete rows: a snapshot and the changes since.
+
+    ``changes`` holds ``insert`` and ``columns`` by batch. A snapshot is written by
+    ``compact``; it makes the changes up to its batch, and older snapshots, unnecessary.
+    """
+
+    def __init__(self, path: str, columns: list[str], changes: BatchFolder):
+        self.columns = columns
+        self.changes = changes
+        row = ", ".join(f for f in changes.schema.split(", ") if f.split()[0] in columns)
+        self._snapshots = BatchFolder(path, row)
+
+    def _newest(self, spark: SparkSession) -> int | None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._snapshots.path)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return None
+        done = [f.getPath() for f in files.listStatus(path)
+                if files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+        return max((int(p.getName().partition("=")[2]) for p in done), default=None)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The rows of the table as of the last batch."""
+        newest = self._newest(spark)
+        if newest is None:
+            return fold(self.changes.read(spark), self.columns)
+        since = self.changes.read(spark).filter(F.col("batch_id") > newest)
+        return fold(since, self.columns, self._snapshots.read_batch(spark, newest))
+
+    def compact(self, spark: SparkSession) -> None:
+        """Fold all changes so far into a snapshot and remove them, the newest batch excepted: it may be repeated."""
+        last = self.changes.read(spark).agg(F.max("batch_id")).first()[0]
+        newest = self._newest(spark)
+        if last is None or (newest is not None and last - 1 <= newest):
+            return
+        upto = last - 1
+        base = None if newest is None else self._snapshots.read_batch(spark, newest)
+        since = self.changes.read(spark).filter((F.col("batch_id") > (-1 if newest is None else newest)) & (F.col("batch_id") <= upto))
+        if upto >= 0:
+            self._snapshots.write(fold(since, self.columns, base), upto)
+            for batch_id in range(0 if newest is None else newest + 1, upto + 1):
+                self.changes.forget(spark, batch_id)
+            if newest is not None:
+                self._snapshots.forget(spark, newest)
