@@ -90,8 +90,8 @@ def ship_package(spark: SparkSession) -> None:
         known["PYTHONPATH"] = ":".join(filter(None, [known.get("PYTHONPATH"), root]))
 
 
-def materialise(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def materialise(df: DataFrame, label: str = "table", keep: bool = False) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back; with ``keep`` it outlasts a ``scratch``.
 
     Later stages start from the written rows, whatever executors are lost, read
     only the columns they need, and are planned with the table's real size.
@@ -99,6 +99,6 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = new_workdir(spark, label)
     df.write.parquet(path)
-    if getattr(_held, "paths", None) is not None:
+    if not keep and getattr(_held, "paths", None) is not None:
         _held.paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
