@@ -2,34 +2,83 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wavecount.session import materialise
+from wavecount.llm.common import look_up
+from wavecount.session import materialise, scratch
+
+#: Links that a task joins at once.
+LINKS = 500_000
+
+
+def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every node of the links that is not the least of its component, and that least node."""
+    nodes, places = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = places[: len(u)], places[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        apart = low != high
+        if not apart.any():
+            break
+        a, b = a[apart], b[apart]
+        np.minimum.at(root, high[apart], low[apart])
+        while not (root[root] == root).all():
+            root = root[root]
+    leaves = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[leaves], nodes[root[leaves]]
+
+
+def forests(links: DataFrame, links_at_once: int = LINKS) -> DataFrame:
+    """Fewer links (u, v) between the same components: each task joins what it reads; u is greater than v."""
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u, v, held = [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in forest(np.concatenate(u), np.concatenate(v))], names=["u", "v"])
+
+        for part in batches:
+            u.append(part["u"].to_numpy(zero_copy_only=False))
+            v.append(part["v"].to_numpy(zero_copy_only=False))
+            held += part.num_rows
+            if held >= links_at_once:
+                yield batch()
+                u, v, held = [], [], 0
+        if held:
+            yield batch()
+
+    return links.select("u", "v").mapInArrow(joined, "u long, v long")
 
 
 def _towards_least(pairs: DataFrame) -> DataFrame:
-    """Columns u, v and the least of u and all its v; minima are combined before the shuffle."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-    return pairs.join(least, "u").withColumn("m", F.least("u", "m"))
+    """Columns u, v and the least of u and all its v; minima are combined before the shuffle, and a hub's pairs stay where they are."""
+    least = materialise(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+    return look_up(pairs, least, "u", "n").withColumn("m", F.least("u", "m"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the least node of its component) of every node that a link (u, v) touches.
 
-    Large-star and small-star steps in turn make stars of all components within a few
-    rounds, logarithmic in their size; each round is written to the shared folder. A
-    hub's links are split by Spark's skew join.
+    Tasks join what they read before anything moves. Large-star and small-star steps in
+    turn then make stars of all components within a few rounds, logarithmic in their
+    size; each round is written to the shared folder.
     """
-    edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    edges, before = materialise(edges, "links"), None
-    while True:
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before or not state[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v")).distinct()
-        before = state
-        both = edges.union(edges.select("v", "u"))
-        large = _towards_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = _towards_least(large)
-        stars = small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").where("u <> v").distinct()
-        edges = materialise(stars, "links")
+    spark = links.sparkSession
+    with scratch(spark):
+        edges, before = materialise(forests(links).distinct(), "links"), None
+        while True:
+            state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if state == before or not state[0]:
+                stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+                return materialise(stars, "components", keep=True)
+            before = state
+            both = edges.union(edges.select("v", "u"))
+            large = materialise(_towards_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+            small = _towards_least(large)
+            stars = small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").where("u <> v")
+            edges = materialise(forests(stars).distinct(), "links")

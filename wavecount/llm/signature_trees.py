@@ -4,23 +4,28 @@
    of its set.
 2. Which classes can be close at all: the range of hashes is cut into more segments
    than two close sets can have differing shingles, so close sets agree in a whole
-   segment. Classes that share a segment's content are put into one candidate cluster.
-   Sets of different size meet at the level of the larger one; segment numbers depend
-   on the level alone.
-3. The sets of a cluster form a signature tree: each node holds the OR of its sets'
-   bitmaps and the range of their sizes. A dual traversal, from the leaves up, drops
-   node pairs whose largest possible overlap is too small; what is left is compared
-   exactly. Where components alone are asked for, pairs that are connected already are
-   dropped too. A cluster beyond ``UNIT`` shingles is cut by size, and a class of size
-   beyond it into blocks that meet pairwise, so no task holds more than a unit. A pair
-   that meets in several units counts in one of them.
-4. Links make components; all documents of their classes belong to them. The links of a
+   segment. Segments depend on the level of size alone, and a pair meets at the level of
+   the larger set; a class has a node for each level it may meet others at. Tasks send
+   sorted keys of segments, Golomb-coded, to the owners of their ranges, with the nodes;
+   owners answer with links between nodes that share a key. Keys and nodes are cut to
+   as many bits as the number of documents asks for; what that adds are candidates.
+3. The bitmaps and sizes of the nodes that links connect form signature trees: each tree
+   node holds the OR of its sets' bitmaps and the range of their sizes. A dual traversal,
+   from the leaves up, drops node pairs whose largest possible overlap is too small and
+   those connected already. What is left are clusters of sets that may well be close,
+   without those that share mere passages.
+4. The sets of a cluster, sent as compressed texts, form a second tree, in which what the
+   bounds leave is compared exactly. Where components alone are asked for, pairs that are
+   connected already are dropped too. A cluster beyond its unit is dealt into blocks
+   that meet pairwise, so no task holds more than a unit. A pair that meets in several
+   units counts in one of them.
+5. Links make components; all documents of their classes belong to them. The links of a
    class are counted in its unit, weighted by the documents of the classes, so a group
    of close texts sends one row for each text and not one for each pair.
 
-No pair is lost: step 2 finds every pair that reaches the threshold, and step 3 skips
-only pairs it has proved too far apart or, for components alone, knows to be connected.
-Threshold tests are in whole numbers.
+No pair is lost: step 2 finds every pair that reaches the threshold, step 3 keeps it in
+one cluster, and step 4 skips only pairs it has proved too far apart or, for components
+alone, knows to be connected. Threshold tests are in whole numbers.
 
 Copies cost one row per task; shared segments are combined per task before the shuffle.
 
@@ -35,12 +40,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavecount.llm.common import slices, texts
-from wavecount.llm.components import components
-from wavecount.session import materialise
+from wavecount.llm.common import look_up, slices, texts
+from wavecount.llm.components import components, forest
+from wavecount.llm.golomb_dedup import golomb, ungolomb
+from wavecount.session import materialise, scratch
 
 WORDS = 5
 THRESHOLD = (80, 100)
@@ -48,8 +55,11 @@ THRESHOLD = (80, 100)
 UNIT = 12_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 28
-#: Signatures that a task combines before it sends them on.
-BUFFER = 1_000_000
+#: Keys that a task combines before it sends them on.
+BUFFER = 2_000_000
+#: Keys of one owner, roughly; a task's keys are dealt to at most one owner for each ``PARCEL`` of them.
+OWNED = 4_000_000
+PARCEL = 64
 #: Bits of the filter that tells candidate classes; its size is fixed.
 FILTER_BITS = 1 << 26
 FANOUT = 8
@@ -135,23 +145,28 @@ class Segments:
         """Most shingles that sets of these sizes may not share, at the threshold."""
         return (self.den - self.num) * (a + b) // (self.den + self.num)
 
-    def signatures(self, s: np.ndarray) -> np.ndarray:
-        """Keys of which any two close sets share at least one."""
-        a = len(s)
+    def levels(self, a: int) -> tuple[int, int]:
+        """The own level of a set of this size, and that of the largest set it may be close to."""
         first, last = np.searchsorted(self.tops, [a, a * self.den // self.num])
+        return int(first), int(last)
+
+    def signatures(self, s: np.ndarray) -> list[np.ndarray]:
+        """For the own level and each one above, keys of which two sets that are close and meet there share at least one."""
+        first, last = self.levels(len(s))
         spread, out = mix(s ^ _PLACES[1]), []
-        by_level = np.arange(int(last) + 1, dtype=_U) * _PLACES[3]
-        for level in range(int(first), int(last) + 1):
+        by_level = np.arange(last + 1, dtype=_U) * _PLACES[3]
+        for level in range(first, last + 1):
             most = self.differing(int(self.tops[level]), int(self.tops[level]))
             count = most + 2 + most // 32
             place = ((s >> _U(32)) * _U(count)) >> _U(32)  # rises with the hash, so segments lie together
             starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
             seeds = place[starts] * _PLACES[2] + by_level[level]
-            out.append(mix(np.add.reduceat(spread, starts) + seeds))
+            keys = mix(np.add.reduceat(spread, starts) + seeds)
             if count - len(starts) >= count - most:  # empty segments might be all that a close set agrees in
                 empty = np.setdiff1d(np.arange(count, dtype=_U), place[starts])
-                out.append(mix(empty * _PLACES[2] + by_level[level]))
-        return np.concatenate(out)
+                keys = np.concatenate([keys, mix(empty * _PLACES[2] + by_level[level])])
+            out.append(keys)
+        return out
 
 
 def close(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
@@ -159,19 +174,18 @@ def close(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(a) + len(b) - both)
 
 
-class Tree:
-    """Signature tree of one unit's sets, and the links a dual traversal finds."""
+def outline(s: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap of a set, of a power of two of bits."""
+    bits = np.zeros(width, np.uint8)
+    bits[(s & _U(width - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").view("<u8")
 
-    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+
+class _Tree:
+    """Signature tree: per level the bitmaps, least and largest sizes, and shingles beyond the bits of any set."""
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, num: int, den: int):
         self.num, self.den = num, den
-        self.order = sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k]), k))  # alike sets side by side
-        self.sets = [sets[k] for k in self.order]
-        sizes = np.array([len(s) for s in self.sets], np.int64)
-        width = min(1 << int(2 * sizes.max() - 1).bit_length(), 1 << (BITMAPS // len(sets)).bit_length())
-        width = max(256, width)  # fewer bits than shingles only weaken the bound
-        bits = np.zeros((len(sets), width // 64), _U)
-        for row, s in zip(bits, self.sets, strict=True):
-            np.bitwise_or.at(row, ((s & _U(width - 1)) >> _U(6)).astype(np.int64), _U(1) << (s & _U(63)))
         slack = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
         self.levels = [(bits, sizes, sizes, slack)]
         while len(self.levels[-1][0]) > 1:
@@ -179,7 +193,7 @@ class Tree:
             at = np.arange(0, len(bits), FANOUT)
             self.levels.append((np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(slack, at)))
-        self.parent = np.arange(len(sets))  # of sets that links connect, towards the least
+        self.parent = np.arange(len(sizes))  # of sets that links connect, towards the least
         self.links: list[tuple[int, int]] = []
         self.all_pairs = False
 
@@ -225,7 +239,7 @@ class Tree:
         if not len(i):
             return
         if level == 0:
-            self._count(i, j) if self.all_pairs else self._compare(i, j)
+            self._meet(i, j)
             return
         below, step = len(self.levels[level - 1][0]), 1 << 14
         for k in range(0, len(i), step):
@@ -234,6 +248,53 @@ class Tree:
             real = (a < below) & (b < below)
             self._descend(level - 1, a[real], b[real])
 
+    def _meet(self, i: np.ndarray, j: np.ndarray) -> None:
+        """What to do with pairs of sets that no bound keeps apart."""
+        raise NotImplementedError
+
+    def find_links(self) -> list[tuple[int, int]]:
+        """Links that connect all sets which chains of close pairs connect."""
+        for level, (nodes, *_) in enumerate(self.levels[:-1]):
+            for gap in range(1, FANOUT):  # siblings, nearest first
+                i = np.arange(len(nodes) - gap)
+                i = i[i // FANOUT == (i + gap) // FANOUT]
+                self._descend(level, i, i + gap)
+        return self.links
+
+
+class Outlines(_Tree):
+    """A tree of bitmaps alone; its links connect all sets that chains of possible pairs connect."""
+
+    def __init__(self, bits: np.ndarray, sizes: np.ndarray, least: np.ndarray, num: int, den: int):
+        self.order = np.lexsort((sizes, least))  # alike sets side by side
+        super().__init__(bits[self.order], sizes[self.order], num, den)
+
+    def _meet(self, i: np.ndarray, j: np.ndarray) -> None:
+        u, v = forest(self._roots()[i], self._roots()[j])
+        self.parent[u] = v
+
+    def clusters(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places of sets that are connected to an earlier one, and of that one."""
+        self.find_links()
+        roots = self._roots()
+        leaves = np.flatnonzero(roots != np.arange(len(roots)))
+        return self.order[leaves], self.order[roots[leaves]]
+
+
+class Tree(_Tree):
+    """Signature tree of one unit's sets, and the links a dual traversal finds."""
+
+    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+        self.order = sorted(range(len(sets)), key=lambda k: (int(sets[k][0]), len(sets[k]), k))  # alike sets side by side
+        self.sets = [sets[k] for k in self.order]
+        sizes = np.array([len(s) for s in self.sets], np.int64)
+        width = min(1 << int(2 * sizes.max() - 1).bit_length(), 1 << (BITMAPS // len(sets)).bit_length())
+        width = max(256, width)  # fewer bits than shingles only weaken the bound
+        super().__init__(np.stack([outline(s, width) for s in self.sets]), sizes, num, den)
+
+    def _meet(self, i: np.ndarray, j: np.ndarray) -> None:
+        self._count(i, j) if self.all_pairs else self._compare(i, j)
+
     def _compare(self, i: np.ndarray, j: np.ndarray) -> None:
         while len(i):
             now = min(len(i), 64)
@@ -297,211 +358,297 @@ class Tree:
         out[self.where] = self.n_links
         return out
 
-    def find_links(self) -> list[tuple[int, int]]:
-        """Links that connect all sets which chains of close pairs connect."""
-        for level, (nodes, *_) in enumerate(self.levels[:-1]):
-            for gap in range(1, FANOUT):  # siblings, nearest first
-                i = np.arange(len(nodes) - gap)
-                i = i[i // FANOUT == (i + gap) // FANOUT]
-                self._descend(level, i, i + gap)
-        return self.links
 
+class Cut:
+    """How many bits of hashes tell keys and classes apart among so many documents, and who owns which keys."""
 
-def _combined(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """One row per key; further classes with it are tied to the first by keys of their own."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
-    first = np.concatenate([[True], keys[1:] != keys[:-1]])
-    heads = ids[first][np.cumsum(first) - 1]
-    tied = np.unique(np.stack([ids[~first], heads[~first]]), axis=1)
-    tied = tied[:, tied[0] != tied[1]]
-    own = mix(mix(tied[0].astype(np.int64).view(_U)) + tied[1].astype(np.int64).view(_U)).view(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([keys[first], own, own])),
-                                       pa.array(np.concatenate([ids[first], tied[0], tied[1]]))], names=["key", "cid"])
+    def __init__(self, rows: int, span: int):
+        size = max(1, rows).bit_length()
+        self.key_bits = min(62, size + 8 + 14)  # some 256 keys a document, one in many documents tied for nothing
+        self.name_bits = min(54, size + 12)
+        self.place_bits = max(1, span.bit_length())
+        self.owners = max(1, min(-(-max(1, rows) * 256 // OWNED), BUFFER // PARCEL))
+
+    def name(self, cid: int) -> int:
+        """The first bits of a class, as a number without a sign."""
+        return (cid & (1 << 64) - 1) >> (64 - self.name_bits)
+
+    def node(self, cid: int, place: int) -> int:
+        """A class at the level so many places above its own."""
+        return self.name(cid) << self.place_bits | place
 
+    def start(self, owner: int) -> int:
+        return -(-(owner << self.key_bits) // self.owners)
+
+    def width(self, owner: int) -> int:
+        return self.start(owner + 1) - self.start(owner)
+
+
+def _packed(values: np.ndarray, bits: int) -> bytes:
+    return np.packbits(((values[:, None] >> np.arange(bits)) & 1).astype(np.uint8)).tobytes()
+
+
+def _unpacked(code: bytes, n: int, bits: int) -> np.ndarray:
+    return (np.unpackbits(np.frombuffer(code, np.uint8), count=n * bits).reshape(n, bits).astype(np.int64) << np.arange(bits)).sum(1)
+
+
+def _keys_tied(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with one node each, and links that tie further nodes with the same key to it."""
+    order = np.lexsort((nodes, keys))
+    keys, nodes = keys[order], nodes[order]
+    first = np.concatenate([[True], keys[1:] != keys[:-1]])
+    heads = nodes[first][np.cumsum(first) - 1]
+    tied = (nodes != heads) & ~first
+    return keys[first], nodes[first], *forest(nodes[tied], heads[tied])
+
+
+def _parcels(docs: DataFrame, words: int, num: int, den: int, cut: Cut) -> DataFrame:
+    """owner, and what a task sends it: keys with their nodes, and links it has found itself."""
+    def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        segments, keys, nodes, held, seen = Segments(num, den), [], [], 0, set()
+        starts = np.array([cut.start(o) for o in range(cut.owners)], np.int64)
+
+        def parcels() -> pa.RecordBatch:
+            k, n, u, v = _keys_tied(np.concatenate(keys), np.concatenate(nodes))
+            owners = np.searchsorted(starts, k, "right") - 1
+            own, first, number = np.unique(owners, return_index=True, return_counts=True)
+            of_links = np.searchsorted(own, u % cut.owners) % len(own)
+            rows = []
+            for j, (o, a, m) in enumerate(zip(own.tolist(), first.tolist(), number.tolist(), strict=True)):
+                links = np.stack([u[of_links == j], v[of_links == j]]).astype("<i8").tobytes()
+                rows.append((o, m, golomb(k[a : a + m] - cut.start(o), cut.width(o)),
+                             _packed(n[a : a + m], cut.name_bits + cut.place_bits), links))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(
+                zip(*rows, strict=True), (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)],
+                names=["owner", "n", "keys", "nodes", "links"])
 
-def _signatures(docs: DataFrame, words: int, num: int, den: int) -> DataFrame:
-    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments, keys, ids, held, seen = Segments(num, den), [], [], 0, set()
         for part in slices(batches):
             for text in part["text"].to_pylist():
                 s = shingle_set(text, words)
                 if not len(s) or (cid := class_id(s)) in seen:
                     continue
                 seen.add(cid)
-                own = segments.signatures(s)
-                keys.append(own)
-                ids.append(np.full(len(own), cid, np.int64))
-                held += len(own)
+                for place, own in enumerate(segments.signatures(s)):
+                    keys.append((own >> _U(64 - cut.key_bits)).astype(np.int64))
+                    nodes.append(np.full(len(own), cut.node(cid, place), np.int64))
+                    held += len(own)
                 if held >= BUFFER:
-                    yield _combined(np.concatenate(keys).view(np.int64), np.concatenate(ids))
-                    keys, ids, held = [], [], 0
+                    yield parcels()
+                    keys, nodes, held = [], [], 0
         if held:
-            yield _combined(np.concatenate(keys).view(np.int64), np.concatenate(ids))
+            yield parcels()
+
+    return texts(docs).select("text").mapInArrow(sent, "owner int, n int, keys binary, nodes binary, links binary")
+
 
-    return texts(docs).select("text").mapInArrow(signed, "key long, cid long")
+def _tied(parcels: DataFrame, cut: Cut) -> DataFrame:
+    """Links (u, v) between nodes that share a key."""
+    bits = cut.name_bits + cut.place_bits
 
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, keys, nodes, links = None, [], [], []
 
-def _clusters(signatures: DataFrame) -> DataFrame:
-    """Classes of each candidate cluster; classes alone in theirs are left out."""
-    from pyspark.sql import Window
+        def answer() -> pa.RecordBatch:
+            *_, u, v = _keys_tied(np.concatenate(keys), np.concatenate(nodes))
+            u, v = (np.concatenate([x, *(pair[k] for pair in links)]) for k, x in enumerate((u, v)))
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in forest(u, v)], names=["u", "v"])
 
-    ordered = Window.partitionBy("key").orderBy("cid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tied = signatures.withColumn("head", F.first("cid").over(ordered)).where("cid <> head")
-    return components(tied.select(F.col("cid").alias("u"), F.col("head").alias("v")))
+        for part in slices(batches, 16):
+            for owner, n, key, node, pairs in zip(*(part[c].to_pylist() for c in ("owner", "n", "keys", "nodes", "links")), strict=True):
+                if owner != current and current is not None:
+                    yield answer()
+                    keys, nodes, links = [], [], []
+                current = owner
+                keys.append(ungolomb(key, n, cut.width(owner)))
+                nodes.append(_unpacked(node, n, bits))
+                links.append(np.frombuffer(pairs, "<i8").reshape(2, -1))
+        if current is not None:
+            yield answer()
 
+    return parcels.repartition(cut.owners, "owner").sortWithinPartitions("owner").mapInArrow(owned, "u long, v long")
 
-def _filter(clusters: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size over hashes of the classes in clusters; at most FILTER_BITS / 64 rows are gathered."""
-    place = F.pmod(F.col("node"), F.lit(FILTER_BITS))
-    words = clusters.select(F.floor(place / 64).cast("int").alias("word"), F.expr("shiftleft(1L, cast(pmod(node, 64) as int))").alias("bit"))
+
+def _filter(clusters: DataFrame, place_bits: int) -> np.ndarray:
+    """A bitmap of fixed size over the classes with linked nodes; at most FILTER_BITS / 64 rows are gathered."""
+    place = F.pmod(F.shiftright("node", place_bits), F.lit(FILTER_BITS))
+    words = clusters.select(place.alias("place")).selectExpr("cast(place div 64 as int) as word", "shiftleft(1L, cast(place % 64 as int)) as bit")
     bits = np.zeros(FILTER_BITS // 64, np.int64)
     rows = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
     bits[rows["word"].to_numpy()] = rows["bits"].to_numpy()
     return bits
 
 
-def _members(docs: DataFrame, words: int, wanted: np.ndarray) -> DataFrame:
-    """doc_id, number of shingles and class of every document; once per task also the set, where it may be in a cluster."""
+def _width(top: int) -> int:
+    """Bits of the bitmap of sets of a level."""
+    return min(8_192, max(256, 1 << int(2 * top - 1).bit_length()))
+
+
+def _members(docs: DataFrame, words: int, num: int, den: int, wanted: np.ndarray, cut: Cut) -> DataFrame:
+    """doc_id, a hash of the text, number of shingles and class of every document.
+
+    Once per task, where the class may be in a cluster, also its nodes with a bitmap for
+    each, its least shingle and its text under zstandard.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(wanted.tobytes())
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("place", pa.int32()), ("bits", pa.binary())]))
+    schema = ("doc_id long, content long, n_shingles long, cid long, least long, packed binary, "
+              "nodes array<struct<node:long,place:int,bits:binary>>")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = np.frombuffer(shared.value, np.int64), set()
+        bits, seen, segments = np.frombuffer(shared.value, np.int64), set(), Segments(num, den)
+        compress = zstandard.ZstdCompressor().compress
         for part in slices(batches):
-            sizes, ids, sets = [], [], []
+            rows = []
             for text in part["text"].to_pylist():
                 s = shingle_set(text, words)
                 cid = class_id(s) if len(s) else None
-                place = cid % FILTER_BITS if len(s) else 0
-                kept = len(s) and cid not in seen and int(bits[place >> 6]) >> (place & 63) & 1
-                if kept:
+                place = cut.name(cid) % FILTER_BITS if len(s) else 0
+                if len(s) and cid not in seen and int(bits[place >> 6]) >> (place & 63) & 1:
                     seen.add(cid)
-                sizes.append(len(s))
-                ids.append(cid)
-                sets.append(s.tobytes() if kept else None)
-            yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()),
-                                              pa.array(sets, pa.binary())], names=["doc_id", "n_shingles", "cid", "shingles"])
+                    first, last = segments.levels(len(s))
+                    nodes = [{"node": cut.node(cid, k), "place": k, "bits": outline(s, _width(int(segments.tops[first + k]))).tobytes()}
+                             for k in range(last - first + 1)]
+                    rows.append((len(s), cid, int(s[:1].view(np.int64)[0]), compress(text.encode("utf-8", "surrogatepass")), nodes))
+                else:
+                    rows.append((len(s), cid, None, None, None))
+            sizes, ids, least, packed, nodes = map(list, zip(*rows, strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"], part["content"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(least, pa.int64()),
+                 pa.array(packed, pa.binary()), pa.array(nodes, kind)], names=["doc_id", "content", "n_shingles", "cid", "least", "packed", "nodes"])
 
-    return texts(docs).mapInArrow(listed, "doc_id long, n_shingles long, cid long, shingles binary")
+    return texts(docs).withColumn("content", F.xxhash64("text")).mapInArrow(listed, schema)
 
 
-def _units(classes: DataFrame, num: int, den: int, unit: int) -> DataFrame:
-    """cid, root, own class of size and the units (parts of a cluster) that each set takes part in.
+def _dealt(rows: DataFrame, weight: str, unit: int) -> DataFrame:
+    """``rows`` with ``block``, ``low`` and ``high``: the blocks that meet in a unit, and the row's own.
 
-    A unit has a name, its class of size, the blocks that meet in it and the set's block;
-    the name of a whole cluster is empty.
-
-    ``classes`` has cid, root and n_shingles. A large cluster is cut by classes of
-    size. A set is compared in the class of the larger set of a pair, so it visits its
-    own class and those that sets up to its size divided by the threshold lie in:
-    mostly its own alone. A class beyond the unit is dealt into blocks, of which every
-    two meet.
+    A root whose rows weigh more than a unit is dealt into blocks, of which every two
+    meet, so its rows are there once for each block.
     """
-    def size_class(n: Column) -> Column:
-        return F.floor(F.log(1.6, n)).cast("int")
-
-    largest = F.floor(F.col("n_shingles") * den / F.lit(num))
-    placed = classes.withColumn("own", size_class(F.col("n_shingles"))).withColumn("last", size_class(largest))
-    large = placed.groupBy("root").agg(F.sum("n_shingles").alias("n")).where(F.col("n") > unit).select("root")
-    visits = placed.select("root", "n_shingles", F.explode(F.sequence("own", "last")).alias("class"))
-    blocks = visits.join(large, "root").groupBy("root", "class").agg(F.sum("n_shingles").alias("n")).select(
-        "root", "class", F.when(F.col("n") <= unit, 1).otherwise(F.ceil(F.col("n") * 2 / unit)).cast("int").alias("blocks"))
-    blocks = materialise(blocks, "blocks").withColumnRenamed("root", "of")
-    cut = placed.join(blocks, (F.col("root") == F.col("of")) & F.col("class").between(F.col("own"), F.col("last")), "left")
-    block = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
-    def unit_of(name: Column, size: Column, low: Column, high: Column, held: Column) -> Column:
-        numbers = (c.cast("int").alias(n) for n, c in (("size", size), ("low", low), ("high", high), ("block", held)))
-        return F.struct(name.alias("name"), *numbers)
-
-    met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: unit_of(
-        F.concat_ws("/", F.col("class"), F.least(block, other), F.greatest(block, other)),
-        F.col("class"), F.least(block, other), F.greatest(block, other), block))
-    whole = F.array(unit_of(F.lit(""), *[F.lit(None)] * 4))
-    parts = F.when(F.col("of").isNull(), whole).otherwise(met)
-    return cut.select("cid", "root", "own", "copies", F.explode(parts).alias("unit")).groupBy("cid", "root", "own", "copies").agg(
-        F.collect_set("unit").alias("units"))
-
-
-def _links(units: DataFrame, num: int, den: int, count: bool) -> DataFrame:
+    totals = rows.groupBy("root").agg(F.sum(weight).alias("weighs"), F.count("*").alias("n")).where(F.col("weighs") > unit)
+    blocks = totals.select("root", "n", F.ceil(F.col("weighs") * 2 / F.lit(unit)).cast("int").alias("blocks"))
+    placed = look_up(rows, materialise(blocks, "blocks"), "root", "n").drop("n").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("blocks", "other")
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Unit (root, low, high) and its rows, from rows that are sorted by unit."""
+    current, rows = None, []
+    for part in slices(batches):
+        units = zip(*(part[c].to_pylist() for c in ("root", "low", "high")), strict=True)
+        for unit, row in zip(units, zip(*(part[c].to_pylist() for c in columns), strict=True), strict=True):
+            if unit != current:
+                if len(rows) > 1:
+                    yield current, rows
+                current, rows = unit, []
+            rows.append(row)
+    if len(rows) > 1:
+        yield current, rows
+
+
+def _refined(nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (u, v) of nodes whose bitmaps and sizes leave them possibly close, as far as they connect."""
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_unit(batches, ("node", "n_shingles", "least", "bits")):
+            names, sizes, least, bits = zip(*rows, strict=True)
+            words = np.frombuffer(b"".join(bits), "<u8").reshape(len(rows), -1)
+            a, b = Outlines(words, np.array(sizes, np.int64), np.array(least, np.int64), num, den).clusters()
+            names = np.array(names, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["u", "v"])
+
+    ordered = nodes.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "cid")
+    return ordered.mapInArrow(linked, "u long, v long")
+
+
+def _links(units: DataFrame, words: int, num: int, den: int, count: bool) -> DataFrame:
     """Links (u, v) that connect, and with ``count`` rows (u, n) of the documents close to class u, in one or more units."""
     def rows(u: list, v: list, n: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (u, v, n)], names=["u", "v", "n"])
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, ids, sets, copies, places = None, [], [], [], []
-
-        def finish() -> Iterator[pa.RecordBatch]:
-            if len(ids) < 2:
-                return
-            tree = Tree(sets, num, den)
+        expand = zstandard.ZstdDecompressor().decompress
+        for (_, low, high), members in _by_unit(batches, ("cid", "place", "block", "copies", "packed")):
+            ids, place, block, copies, packed = zip(*members, strict=True)
+            place, block = np.array(place), np.array(block)
+            tree = Tree([shingle_set(expand(t).decode("utf-8", "surrogatepass"), words) for t in packed], num, den)
             if count:
-                size, low, high = current[2:]
-                own, block = (np.array(x) for x in zip(*places, strict=True))
-
                 def counted(a: int, others: np.ndarray) -> np.ndarray:
-                    """In the class of the larger set, and where the blocks of both are those that meet."""
-                    return ((np.maximum(own[a], own[others]) == size) & (np.minimum(block[a], block[others]) == low)
+                    """At the level of the larger set, and where the blocks of both are those that meet."""
+                    return (((place[a] == 0) | (place[others] == 0)) & (np.minimum(block[a], block[others]) == low)
                             & (np.maximum(block[a], block[others]) == high))
 
-                n = tree.count_links(copies, counted if current[1] else None)
+                n = tree.count_links(list(copies), counted)
                 some = np.flatnonzero(n)
                 yield rows(np.array(ids)[some], [None] * len(some), n[some])
             else:
                 tree.find_links()
             yield rows([ids[a] for a, _ in tree.links], [ids[b] for _, b in tree.links], [None] * len(tree.links))
 
-        names = ("root", "unit", "size", "low", "high", "cid", "shingles", "copies", "own", "block")
-        for part in slices(batches):
-            for *unit, cid, s, n, own, block in zip(*(part[c].to_pylist() for c in names), strict=True):
-                if unit != current:
-                    yield from finish()
-                    current, ids, sets, copies, places = unit, [], [], [], []
-                ids.append(cid)
-                sets.append(np.frombuffer(s, _U))
-                copies.append(n)
-                places.append((own, block))
-        yield from finish()
-
-    ordered = units.repartition("root", "unit").sortWithinPartitions("root", "unit", "cid")
+    ordered = units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "cid")
     return ordered.mapInArrow(linked, "u long, v long, n long")
 
 
+def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, count: bool) -> DataFrame:
+    """What ``similar`` returns, with a hash of the text and the root of the component, which is null without words."""
+    num, den = threshold
+    spark = docs.sparkSession
+    segments = Segments(num, den)
+    cut = Cut(docs.count(), max(b - a for a, b in map(segments.levels, range(1, 4_096))))
+    with scratch(spark):
+        clusters = components(_tied(_parcels(docs, words, num, den, cut), cut))
+        members = materialise(_members(docs, words, num, den, _filter(clusters, cut.place_bits), cut), "members", keep=True)
+        copies = members.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.count("*").alias("copies"))
+        copies = materialise(copies.where("copies > 1"), "copies", keep=True)
+        held = members.where(F.col("packed").isNotNull())
+        outlines = held.select("cid", "n_shingles", "least", F.inline("nodes")).dropDuplicates(["cid", "node"])
+        outlines = outlines.join(clusters, "node").withColumn("octets", F.length("bits"))
+        refined = components(_refined(_dealt(materialise(outlines, "outlines"), "octets", BITMAPS // 8), num, den))
+        places = held.select("cid", "n_shingles", F.inline("nodes")).drop("bits").distinct().join(refined, "node").join(copies, "cid", "left")
+        places = _dealt(materialise(places.withColumn("copies", F.coalesce("copies", F.lit(1))), "places"), "n_shingles", unit)
+        sets = held.select("cid", "packed").dropDuplicates(["cid"]).join(places, "cid")
+        links = materialise(_links(sets, words, num, den, count), "found", keep=True)
+    found = links.where(F.col("v").isNotNull()).select("u", "v")
+    known = components(found).withColumnRenamed("node", "cid")
+    rows = members.select("doc_id", "content", "n_shingles", "cid")
+    if count:
+        counts = links.where(F.col("n").isNotNull()).groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n_near"))
+        known = known.join(counts, "cid", "left")
+    known = known.join(copies, "cid", "full").withColumn("n", F.coalesce("copies", F.lit(1)))
+    rows = look_up(rows, materialise(known.where(F.col("cid").isNotNull()), "known", keep=True), "cid", "n")
+    n_links = [(F.coalesce("n_near", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).alias("n_links")] if count else []
+    rows = rows.select("doc_id", "content", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
+    least = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("in_root"))
+    rows = look_up(rows, materialise(least, "roots", keep=True), "root", "in_root")
+    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return rows.select("doc_id", "content", "n_shingles", "root", component, *(["n_links"] if count else []))
+
+
 def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, unit: int = UNIT, count: bool = True) -> DataFrame:
     """doc_id, n_shingles and component_id of every document, and with ``count`` also n_links.
 
     ``n_links`` is the number of other rows that are close to it, copies among them.
     """
-    num, den = threshold
-    clusters = materialise(_clusters(_signatures(docs, words, num, den)), "clusters")
-    members = materialise(_members(docs, words, _filter(clusters)), "members")
-    held = members.where(F.col("shingles").isNotNull())
-    copies = members.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.count("*").alias("copies"))
-    classes = held.select("cid", "n_shingles").distinct().join(clusters.withColumnRenamed("node", "cid"), "cid")
-    classes = classes.join(copies, "cid") if count else classes.withColumn("copies", F.lit(1).cast("long"))
-    units = materialise(_units(materialise(classes, "classes"), num, den, unit), "units")
-    sets = held.select("cid", "shingles").dropDuplicates(["cid"]).join(units, "cid")
-    sets = sets.select("root", "cid", "shingles", "own", "copies", F.explode("units").alias("at")).select(
-        "root", F.col("at.name").alias("unit"), "at.size", "at.low", "at.high", "at.block", "own", "copies", "cid", "shingles")
-    links = materialise(_links(sets, num, den, count), "found")
-    known = components(links.where(F.col("v").isNotNull()).select("u", "v")).withColumnRenamed("node", "cid")
-    rows = members.select("doc_id", "n_shingles", "cid")
-    if count:
-        counts = links.where(F.col("n").isNotNull()).groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n"))
-        known = known.join(counts, "cid", "left").join(copies.where(F.col("copies") > 1), "cid", "full")
-        n_links = [(F.coalesce("n", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links")]
-    else:
-        n_links = []
-    rows = rows.join(known, "cid", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
-    least = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("least"))
-    component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
-    return rows.join(least, "root", "left").select("doc_id", "n_shingles", component, *(["n_links"] if count else []))
+    return _found(docs, words, threshold, unit, count).drop("content", "root")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """Documents without those that are similar to one of a smaller id, all columns kept.
+    """Exactly one document of each group of similar ones, all columns kept: the one of the smallest id, null ids last.
 
-    Rows that repeat an id are one document. Only ids that go are looked up.
+    Rows that repeat that id are told apart by their texts; of rows equal in both any one
+    stays. Rows without words are similar to nothing and all stay. Only rows that go, and
+    such repeated rows, are looked up.
     """
-    gone = similar(docs, words, threshold, count=False).where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(materialise(gone, "gone"), "doc_id", "left_anti").select(*docs.columns)
+    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
+    rows = materialise(_found(docs, words, threshold, UNIT, False).where(F.col("root").isNotNull()).select("root", key.alias("row")), "similar")
+    first = rows.groupBy("root").agg(F.min("row").alias("stays"), F.count("*").alias("n"))
+    told = look_up(rows, materialise(first, "first"), "root", "n")
+    gone = told.where(F.col("row") != F.col("stays")).select("row.doc_id", "row.content").distinct()
+    repeated = told.where(F.col("row") == F.col("stays")).groupBy("row").count().where("count > 1").select("row.doc_id", "row.content")
+    gone, repeated = (materialise(t, name).toDF("_id", "_content") for t, name in ((gone, "gone"), (repeated, "repeated")))
+    tagged = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_content"))
+    left = tagged.join(gone, same, "left_anti")
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
+    return left.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
