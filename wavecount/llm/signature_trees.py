@@ -533,11 +533,14 @@ def _dealt(rows: DataFrame, weight: str, unit: int) -> DataFrame:
     return placed.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("blocks", "other")
 
 
-def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
-    """Unit (root, low, high) and its rows, from rows that are sorted by unit."""
+_UNIT = ("root", "low", "high")
+
+
+def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], of: tuple[str, ...] = _UNIT) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Unit and its rows, from rows that are sorted by unit."""
     current, rows = None, []
     for part in slices(batches):
-        units = zip(*(part[c].to_pylist() for c in ("root", "low", "high")), strict=True)
+        units = zip(*(part[c].to_pylist() for c in of), strict=True)
         for unit, row in zip(units, zip(*(part[c].to_pylist() for c in columns), strict=True), strict=True):
             if unit != current:
                 if len(rows) > 1:
@@ -549,16 +552,21 @@ def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Ite
 
 
 def _refined(nodes: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (u, v) of nodes whose bitmaps and sizes leave them possibly close, as far as they connect."""
+    """Links (u, v) of nodes whose bitmaps and sizes leave them possibly close, as far as they connect.
+
+    Nodes of one level have bitmaps of one width; others are in a cluster by chance.
+    """
+    unit = (*_UNIT, "octets")
+
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_unit(batches, ("node", "n_shingles", "least", "bits")):
+        for _, rows in _by_unit(batches, ("node", "n_shingles", "least", "bits"), unit):
             names, sizes, least, bits = zip(*rows, strict=True)
             words = np.frombuffer(b"".join(bits), "<u8").reshape(len(rows), -1)
             a, b = Outlines(words, np.array(sizes, np.int64), np.array(least, np.int64), num, den).clusters()
             names = np.array(names, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["u", "v"])
 
-    ordered = nodes.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "cid")
+    ordered = nodes.repartition(*_UNIT).sortWithinPartitions(*unit, "cid")
     return ordered.mapInArrow(linked, "u long, v long")
 
 
@@ -586,7 +594,7 @@ def _links(units: DataFrame, words: int, num: int, den: int, count: bool) -> Dat
                 tree.find_links()
             yield rows([ids[a] for a, _ in tree.links], [ids[b] for _, b in tree.links], [None] * len(tree.links))
 
-    ordered = units.repartition("root", "low", "high").sortWithinPartitions("root", "low", "high", "cid")
+    ordered = units.repartition(*_UNIT).sortWithinPartitions(*_UNIT, "cid")
     return ordered.mapInArrow(linked, "u long, v long, n long")
 
 
