@@ -55,6 +55,8 @@ THRESHOLD = (80, 100)
 UNIT = 12_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 28
+#: Octets of bitmaps in one unit of the first trees.
+OUTLINES = 8 << 20
 #: Keys that a task combines before it sends them on.
 BUFFER = 2_000_000
 #: Keys of one owner, roughly; a task's keys are dealt to at most one owner for each ``PARCEL`` of them.
@@ -612,7 +614,7 @@ def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, c
         held = members.where(F.col("packed").isNotNull())
         outlines = held.select("cid", "n_shingles", "least", F.inline("nodes")).dropDuplicates(["cid", "node"])
         outlines = outlines.join(clusters, "node").withColumn("octets", F.length("bits"))
-        refined = components(_refined(_dealt(materialise(outlines, "outlines"), "octets", BITMAPS // 8), num, den))
+        refined = components(_refined(_dealt(materialise(outlines, "outlines"), "octets", OUTLINES), num, den))
         places = held.select("cid", "n_shingles", F.inline("nodes")).drop("bits").distinct().join(refined, "node").join(copies, "cid", "left")
         places = _dealt(materialise(places.withColumn("copies", F.coalesce("copies", F.lit(1))), "places"), "n_shingles", unit)
         sets = held.select("cid", "packed").dropDuplicates(["cid"]).join(places, "cid")
