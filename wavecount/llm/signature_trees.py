@@ -59,9 +59,8 @@ BITMAPS = 1 << 28
 OUTLINES = 8 << 20
 #: Keys that a task combines before it sends them on.
 BUFFER = 2_000_000
-#: Keys of one owner, roughly; a task's keys are dealt to at most one owner for each ``PARCEL`` of them.
-OWNED = 4_000_000
-PARCEL = 64
+#: Keys of one owner, roughly.
+OWNED = 1_000_000
 #: Bits of the filter that tells candidate classes; its size is fixed.
 FILTER_BITS = 1 << 26
 FANOUT = 8
@@ -369,7 +368,7 @@ class Cut:
         self.key_bits = min(62, size + 8 + 14)  # some 256 keys a document, one in many documents tied for nothing
         self.name_bits = min(54, size + 12)
         self.place_bits = max(1, span.bit_length())
-        self.owners = max(1, min(-(-max(1, rows) * 256 // OWNED), BUFFER // PARCEL))
+        self.owners = -(-max(1, rows) * 256 // OWNED)
 
     def name(self, cid: int) -> int:
         """The first bits of a class, as a number without a sign."""
