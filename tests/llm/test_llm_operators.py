@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 
@@ -176,6 +177,47 @@ def test_neighbours_reach_the_recall_and_exact_scores(spark):
     assert found[950][0] == 7
 
 
+def _recall(x, got, k=5):
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    found = defaultdict(list)
+    for r in sorted(got, key=lambda r: (r.query_id, r["rank"])):
+        found[r.query_id].append(r.vec_id)
+    hits = 0
+    for q, v in found.items():
+        near = unit @ unit[q]
+        near[q] = -2
+        hits += len(set(v) & set(np.argpartition(-near, k)[:k].tolist()))
+    return found, hits / (k * len(found))
+
+
+def test_recall_of_a_large_table(spark, tmp_path):
+    """Fifty thousand rows in loose groups; slots and blocks of queries are small here, so that parts are dealt out."""
+    rng = np.random.default_rng(41)
+    x = (rng.normal(size=(50, 24))[rng.integers(0, 50, 50_000)] + 0.7 * rng.normal(size=(50_000, 24))).astype(np.float32)
+    visible_to_workers(spark)
+    pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": list(x)}).to_parquet(tmp_path / "vectors.parquet")
+    table = spark.read.parquet(str(tmp_path / "vectors.parquet"))
+    before = learned_partitions.SLOT, learned_partitions.QUERIES
+    learned_partitions.SLOT, learned_partitions.QUERIES = 2_000, 50
+    try:
+        found, recall = _recall(x, learned_partitions.search(table.repartition(4)).collect())
+    finally:
+        learned_partitions.SLOT, learned_partitions.QUERIES = before
+    assert set(found) == set(range(0, 50_000, 50)) and all(len(v) == 5 for v in found.values())
+    assert recall >= 0.9
+
+
+def test_a_small_table_is_cut_into_parts_and_short_answers_go_on(spark):
+    """Three hundred rows are several parts; a query alone in its part finds five all the same."""
+    rng = np.random.default_rng(42)
+    x = rng.normal(size=(300, 8)).astype(np.float32)
+    x[100:] = x[100] + 0.01 * rng.normal(size=(200, 8)).astype(np.float32)
+    x[0] = -x[100] * 3
+    assert learned_partitions.learn(x.astype(float), 9).second.shape[1] == 9
+    found, recall = _recall(x, learned_partitions.search(_vectors(spark, [(k, v.tolist()) for k, v in enumerate(x)]), recall=0.01).collect())
+    assert set(found) == {0, 50, 100, 150, 200, 250} and all(len(v) == 5 for v in found.values())
+
+
 def test_neighbours_of_few_and_none(spark):
     got = learned_partitions.search(_vectors(spark, [(0, [1.0, 0.0]), (3, [1.0, 1.0]), (2, [2.0, 2.0])])).collect()
     assert [(r.query_id, r["rank"], r.vec_id) for r in sorted(got, key=lambda r: r["rank"])] == [(0, 1, 2), (0, 2, 3)]
@@ -203,7 +245,10 @@ def test_grades_rise_with_insults(spark):
         labels.append((k, 1, int(toxic)))
     probe = [(1_000, prose(rng, 50)), (1_001, prose(rng, 50) + " idiot"), (1_002, prose(rng, 20) + " idiot moron trash" * 6)]
     docs = documents(spark, rows + probe + [(2_000 + (k or 0), t) for k, t in ODD])
-    got = ordinal_toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    plain = documents(spark, [(k, t if k > 39 else f"{k} {k}{k}") for k, t in rows])  # some hold none of the chosen features
+    assert ordinal_toxicity.train(plain, table).fitted == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k, _ in rows)
+    got = ordinal_toxicity.toxicity(docs, table).collect()
     assert len(got) == len(rows) + 3 + len(ODD)
     truth = {k: t for k, _, t in labels}
     held = [r for r in got if r.held_out and r.doc_id in truth]

@@ -1,0 +1,115 @@
+"""The registered queries over the smallest tables, and the pipeline stage by stage, against plain models."""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import public_tokenizers
+import pytest
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from checks.compare import connect, difference
+from wavecount.llm import blob_ledger, line_crf
+from wavecount.llm.common import read_table, visible_to_workers
+
+QUERIES = driver.llm.queries()
+SQL = driver.llm.oracle_sql()
+ROWS = {"op3_learned_partitions": None, "op7_host_paths": "pages", "op11_active_lloyd": "embeddings"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "pipeline"))
+def test_query_runs_over_its_table(spark, sf_dir, name):
+    got = QUERIES[name](spark, sf_dir)
+    table = ROWS.get(name, "documents")
+    frame = got.toPandas()
+    if table:
+        assert len(frame) == read_table(spark, sf_dir, table).count()
+    else:
+        assert len(frame) == 5 * read_table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0").count()
+    if name in SQL:
+        assert difference(frame, connect(sf_dir).execute(SQL[name]).df()) is None
+
+
+def _shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4)) if len(words) > 4 else frozenset([tuple(words)] if words else [])
+
+
+def _groups(rows):
+    sets, parent = [_shingles(r.text) for r in rows], list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, s in enumerate(sets):
+        for b in range(a):
+            if s and sets[b] and 100 * len(s & sets[b]) >= 80 * len(s | sets[b]):
+                parent[find(a)] = find(b)
+    groups = defaultdict(list)
+    for a in range(len(rows)):
+        groups[find(a)].append(rows[a].doc_id)
+    return groups
+
+
+def _plain_windows(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+    return words, {tuple(words[k : k + 10]) for k in range(max(1, len(words) - 9))} if words else set()
+
+
+def test_pipeline_stage_by_stage(spark, sf_dir, tmp_path):
+    import sentencepiece
+
+    visible_to_workers(spark)
+    docs = read_table(spark, sf_dir, "documents")
+    names, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, sf_dir).write.parquet(str(tmp_path / name))
+        before, docs = docs, spark.read.parquet(str(tmp_path / name))
+        kept[name] = (before.collect(), docs.collect())
+        assert docs.columns == (names if name != "pieces" else [*names, "piece_ids"])
+
+    before, after = kept["quality"]
+    scores = line_crf.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")).collect()
+    assert sorted(r.doc_id for r in after) == sorted(r.doc_id for r in scores if r.predicted) and len(after) < len(before)
+
+    before, after = kept["near_duplicates"]
+    assert sorted(r.doc_id for r in after) == sorted(min(ids) for ids in _groups(before).values()) and len(after) < len(before)
+
+    before, after = kept["decontamination"]
+    windows = set().union(*(_plain_windows(r.text)[1] for r in read_table(spark, sf_dir, "benchmark").collect()))
+    sizes = {len(w) for w in windows}
+    clean = [r for r in before if not any(tuple(words[k : k + n]) in windows for words in [_plain_windows(r.text)[0]]
+                                          for n in sizes for k in range(len(words) - n + 1))]
+    assert sorted(after) == sorted(clean) and len(after) < len(before)
+
+    before, after = kept["secrets"]
+    texts = {r.doc_id: r.text for r in after}
+    for r in before:
+        want, at = [], 0
+        for start, end in sorted((a, b) for _, a, b in blob_ledger.find_secrets(r.text)):
+            if start >= at:
+                want += [r.text[at:start], "[SECRET]"]
+            at = max(at, end)
+        assert texts[r.doc_id] == "".join([*want, r.text[at:]])
+    assert len(before) == len(after)
+
+    before, after = kept["pieces"]
+    library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    read = {r.doc_id: r.text for r in before}
+    assert len(after) == len(before)
+    for r in after:
+        assert list(r.piece_ids) == library.encode(read[r.doc_id]) and r.text == read[r.doc_id]
+
+    ran = {r.doc_id: tuple(r.piece_ids) for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert ran == {r.doc_id: tuple(r.piece_ids) for r in after}
+
+
+def test_pipeline_of_no_documents(spark, sf_dir, tmp_path):
+    for table in ("documents", "labels", "benchmark"):
+        read_table(spark, sf_dir, table).limit(0 if table == "documents" else 100).write.parquet(str(tmp_path / f"{table}.parquet"))
+    result = corpus_pipeline.run(spark, str(tmp_path))
+    assert result.collect() == [] and result.columns[-1] == "piece_ids"

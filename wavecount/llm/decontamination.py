@@ -6,9 +6,11 @@ All windows of all items make one automaton over their normalised text; a docume
 scanned once, and matches are mapped back to its words and to code points of the
 original text.
 
-The automaton is built in each Python worker from the distinct windows. It is split
-into several, one scan each, when the windows exceed ``AUTOMATON_CHARS``: what is
-broadcast is bounded whatever the size of the benchmark, and no window is dropped.
+The automaton is built in each Python worker from the distinct windows. Where these
+exceed ``AUTOMATON_CHARS`` they make several, used one after another: the driver collects
+and sends the windows of one, the documents are scanned and written with what was found
+so far, and the next follows. Driver and workers hold one automaton at a time, whatever
+the size of the benchmark, and no window is dropped.
 
 Defined results: null and empty texts have no words and no hits; items without words
 match nothing; equal items are all named; an item with a null id hits and contaminates,
@@ -19,7 +21,7 @@ are answered each for itself.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wavecount.llm.common import slices, texts
+from wavecount.session import materialise, remove
 
 WINDOW = 10
 #: Characters of windows in one automaton, and so the size of a broadcast.
@@ -108,65 +111,87 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int,
     return [(int(points[starts[a]]), int(points[ends[b - 1]])) for a, b in ranges]
 
 
-_SCAN = "doc_id long, n_words long, ranges array<struct<first:int,last:int>>, spans array<struct<start:int,end:int>>, items array<string>"
+_RANGES = "array<struct<first:int,last:int>>"
+_SCANNED = f"doc_id long, text string, n_words long, ranges {_RANGES}, items array<string>"
+_SCAN = f"doc_id long, n_words long, ranges {_RANGES}, spans array<struct<start:int,end:int>>, items array<string>"
 _scanners: dict[str, _Scanner] = {}
 
 
-def _groups(items: DataFrame, limit: int) -> list[list[tuple[bytes, list[str]]]]:
-    """Distinct windows with their items, in parts of at most ``limit`` characters each."""
-    windows = item_windows(items).groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    windows = windows.withColumn("size", F.length("window") + 2)
-    total = windows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    parts = -(-total // limit) or 1
-    if parts == 1:
-        return [[(bytes(r["window"]), r["items"]) for r in windows.select("window", "items").collect()]]
-    parts *= 2  # parts by hash are uneven
-    part = F.pmod(F.xxhash64("window"), F.lit(parts))
-    return [[(bytes(r["window"]), r["items"]) for r in windows.where(part == k).select("window", "items").collect()]
-            for k in range(parts)]
+class _Windows:
+    """Distinct windows with their items, in parts of about ``limit`` characters each, of which one is sent at a time."""
 
+    def __init__(self, docs: DataFrame, items: DataFrame, limit: int):
+        self.context = docs.sparkSession.sparkContext
+        windows = item_windows(items).groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+        self.table = windows.withColumn("size", F.length("window") + 2)
+        total = self.table.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+        self.parts = -(-total // limit) or 1
+        if self.parts > 1:
+            self.parts *= 2  # parts by hash are uneven
+            self.table = materialise(self.table, "windows")
 
-def _shared(docs: DataFrame, items: DataFrame, limit: int) -> list:
-    context = docs.sparkSession.sparkContext
-    return [(uuid.uuid4().hex, context.broadcast(g)) for g in _groups(items, limit)]
+    def send(self, part: int) -> tuple:
+        mine = self.table.where(F.pmod(F.xxhash64("window"), F.lit(self.parts)) == part)
+        rows = [(bytes(r["window"]), r["items"]) for r in mine.select("window", "items").toLocalIterator()]
+        return uuid.uuid4().hex, self.context.broadcast(rows)
 
 
-def _ready(shared: list) -> list[_Scanner]:
-    """The automata, built once in each Python worker."""
-    for name, windows in shared:
-        if name not in _scanners:
-            while len(_scanners) >= len(shared):
-                _scanners.pop(next(iter(_scanners)))
-            _scanners[name] = _Scanner(windows.value)
-    return [_scanners[name] for name, _ in shared]
+def _ready(sent: tuple) -> _Scanner:
+    """The automaton, built once in each Python worker, in place of the one before."""
+    name, windows = sent
+    if name not in _scanners:
+        _scanners.clear()
+        _scanners[name] = _Scanner(windows.value)
+    return _scanners[name]
+
+
+def _in_passes(docs: DataFrame, windows: _Windows, one: Callable[[DataFrame, tuple], DataFrame]) -> DataFrame:
+    """``docs`` after a pass with each automaton; all but the last are written."""
+    for part in range(windows.parts):
+        sent = windows.send(part)
+        before, docs = docs, one(docs, sent)
+        if part + 1 < windows.parts:
+            docs = materialise(docs, "scanned")
+            sent[1].unpersist()
+            if part:
+                for folder in {f.rsplit("/", 1)[0] for f in before.inputFiles()[:1]}:
+                    remove(docs.sparkSession, folder)
+    return docs
+
+
+def _ranges(rows: list[list[tuple[int, int]]]) -> list[list[dict]]:
+    return [[{"first": a, "last": b} for a, b in row] for row in rows]
 
 
 def scan(docs: DataFrame, items: DataFrame, automaton_chars: int = AUTOMATON_CHARS) -> DataFrame:
     """Per document: words, merged ranges of hit words, their spans in the original, and the items found."""
-    shared = _shared(docs, items, automaton_chars)
-
-    def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanners = _ready(shared)
-        kind = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
-                          ("ranges", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))),
-                          ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                          ("items", pa.list_(pa.string()))])
-        for part in slices(batches):
-            rows = []
-            for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist(), strict=True):
-                ranges, items = [], set()
-                n = 0
-                for scanner in scanners:
+    kind = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
+                      ("ranges", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))), ("items", pa.list_(pa.string()))])
+
+    def one(table: DataFrame, sent: tuple) -> DataFrame:
+        def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scanner = _ready(sent)
+            for part in slices(batches):
+                rows = []
+                for doc_id, text, _, ranges, found in zip(*(part[c].to_pylist() for c in kind.names), strict=True):
                     n, more, names = scanner.scan(text)
-                    ranges += more
-                    items |= names
-                ranges = _merged(ranges)
-                rows.append({"doc_id": doc_id, "n_words": n, "ranges": [{"first": a, "last": b} for a, b in ranges],
-                             "spans": [{"start": a, "end": b} for a, b in (original_spans(text, ranges) if ranges else [])],
-                             "items": sorted(items)})
-            yield pa.RecordBatch.from_pylist(rows, schema=kind)
+                    merged = _merged([(r["first"], r["last"]) for r in ranges] + more)
+                    rows.append((doc_id, text, n, _ranges([merged])[0], sorted({*found, *names})))
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind.field(k).type) for k, c in enumerate(zip(*rows, strict=True))], schema=kind)
 
-    return texts(docs).mapInArrow(scanned, _SCAN)
+        return table.mapInArrow(scanned, _SCANNED)
+
+    def with_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+        for part in slices(batches):
+            spans = [[{"start": a, "end": b} for a, b in original_spans(t, [(x["first"], x["last"]) for x in r])] if r else []
+                     for t, r in zip(part["text"].to_pylist(), part["ranges"].to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["n_words"], part["ranges"], pa.array(spans, span), part["items"]],
+                                             names=["doc_id", "n_words", "ranges", "spans", "items"])
+
+    rows = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(0).cast("long").alias("n_words"),
+                              F.array().cast(_RANGES).alias("ranges"), F.array().cast("array<string>").alias("items"))
+    return _in_passes(rows, _Windows(docs, items, automaton_chars), one).mapInArrow(with_spans, _SCAN)
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -180,12 +205,12 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame, automaton_chars: int = AUTOMATON_CHARS) -> DataFrame:
     """Documents in which no window of any item occurs, with all their columns, and without a shuffle of texts."""
-    shared = _shared(docs, items, automaton_chars)
+    def one(table: DataFrame, sent: tuple) -> DataFrame:
+        def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            scanner = _ready(sent)
+            for part in slices(batches):
+                yield part.filter(pa.array([not scanner.scan(v or "")[1] for v in part["text"].to_pylist()], pa.bool_()))
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanners = _ready(shared)
-        for part in slices(batches):
-            values = part["text"].to_pylist()
-            yield part.filter(pa.array([not any(s.scan(v or "")[1] for s in scanners) for v in values], pa.bool_()))
+        return table.mapInArrow(clean, docs.schema)
 
-    return docs.mapInArrow(clean, docs.schema)
+    return _in_passes(docs, _Windows(docs, items, automaton_chars), one)

@@ -9,11 +9,13 @@ How many parts a query visits is set by measurement: for ``TRIAL_QUERIES`` vecto
 true neighbours among all rows are found, and the visits grow until the wanted share of
 them is reached.
 
-Bounds: the graph and classifier use at most ``SAMPLE`` vectors and the trial at most
-``TRIAL_QUERIES`` (both chosen by a hash of the id), which is what reaches the driver;
-a task holds one slot of ``SLOT`` candidates, and queries stream against it in blocks.
-Parts of any size are dealt into slots, so a part that holds a third of all rows is
-many tasks.
+A query that has found fewer than it wants, though there are more, visits all parts.
+
+Bounds: the graph and classifier use ``SAMPLE`` vectors, or ``SAMPLE_PER_PART`` for each
+part up to ``LARGEST_SAMPLE``, and the trial at most ``TRIAL_QUERIES`` (all chosen by a
+hash of the id), which is what reaches the driver. Parts of any size are dealt into slots
+of ``SLOT`` candidates and their queries into blocks of ``QUERIES``; a slot and a block
+meet in one group, so a part that holds a third of all rows is many tasks.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite numbers
 take no part, nor do those whose length is not the most frequent one (of equally
@@ -41,8 +43,14 @@ TRIAL_QUERIES = 256
 SLOT = 16_384
 QUERY_BLOCK = 512
 K = 5
-#: Vectors of a part, roughly; parts are at least 16 and at most 64.
+#: Vectors of a part, roughly. There are at least ``PARTS`` parts, or one for each 32 vectors of a small table.
 PER_PART = 65_536
+PARTS = 16
+#: The sample grows with the parts, as far as this; beyond so many parts they grow.
+SAMPLE_PER_PART = 64
+LARGEST_SAMPLE = 65_536
+#: Queries of one group.
+QUERIES = 4_096
 RECALL = 0.97
 
 _PARTS = "vec_id long, vector array<double>, part int"
@@ -236,33 +244,33 @@ def search(vectors: DataFrame, query_step: int = 50, k: int = K, recall: float =
     """The k nearest found for every row whose id is divisible by ``query_step``."""
     rows = usable(vectors)
     total = rows.count()
+    parts = max(2, min(max(PARTS, -(-total // PER_PART)), LARGEST_SAMPLE // SAMPLE_PER_PART, total // 32))
+    sample = max(sample, parts * SAMPLE_PER_PART)
     chosen = [r["vector"] for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()]
     schema = "query_id long, vec_id long, score double"
     if not chosen:
         return _ranked(vectors.sparkSession.createDataFrame([], schema), k).select("query_id", "rank", "vec_id", "score")
-    parts = 1 if total < 512 else min(64, max(16, total // PER_PART))
     router = learn(np.array(chosen, np.float64), parts)
+    parts = router.second.shape[1]
     indexed = materialise(index(rows, router), "vectors")
     visited = visits(indexed, router, parts, k, recall)
 
     # a part is dealt into slots of about SLOT candidates; the table has one row per part
     slots = indexed.groupBy("part").agg(F.ceil(F.count("*") / F.lit(SLOT)).cast("int").alias("slots"))
-    dealt = indexed.join(F.broadcast(slots), "part")
-    candidates = dealt.withColumn("slot", F.pmod(F.xxhash64("vec_id"), F.col("slots")).cast("int")).drop("slots")
-
-    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1024):
-            odds = router.log_odds(unit(_matrix(batch["vector"])))
-            order = np.argsort(-odds, axis=1, kind="stable")[:, :visited]
-            yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["vector"], pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))],
-                                             names=["query_id", "vector", "parts"])
-
-    queries = indexed.where(F.col("vec_id") % query_step == 0).select("vec_id", "vector").dropDuplicates()
-    queries = queries.mapInArrow(routed, "query_id long, vector array<double>, parts array<int>")
-    queries = queries.select("query_id", "vector", F.explode("parts").alias("part")).join(F.broadcast(slots), "part")
-    queries = queries.select("query_id", "vector", "part", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"))
-
-    def compared(_, left: Iterator[pd.DataFrame] | pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    slots = materialise(slots, "slots")
+
+    def routed(table: DataFrame, reach: int) -> DataFrame:
+        def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches, 1024):
+                odds = router.log_odds(unit(_matrix(batch["vector"])))
+                order = np.argsort(-odds, axis=1, kind="stable")[:, :reach]
+                yield pa.RecordBatch.from_arrays([batch["query_id"], batch["vector"], pa.array(list(order.astype(np.int32)), pa.list_(pa.int32()))],
+                                                 names=["query_id", "vector", "parts"])
+
+        table = table.mapInArrow(ranked, "query_id long, vector array<double>, parts array<int>")
+        return table.select("query_id", "vector", F.explode("parts").alias("part"))
+
+    def compared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = []
         if len(left) and len(right):
             c_ids, c = right["vec_id"].to_numpy(), np.stack(right["vector"].to_numpy())
@@ -271,7 +279,27 @@ def search(vectors: DataFrame, query_step: int = 50, k: int = K, recall: float =
                 found += best_of_block(block["query_id"].to_numpy(), np.stack(block["vector"].to_numpy()), c_ids, c, k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    pairs = queries.groupBy("part", "slot").cogroup(candidates.groupBy("part", "slot")).applyInPandas(compared, schema)
+    def met(table: DataFrame, reach: int) -> DataFrame:
+        """The best of every slot that a query of ``table`` visits."""
+        asked = materialise(routed(table, reach), "routed")
+        blocks = asked.groupBy("part").agg(F.ceil(F.count("*") / F.lit(QUERIES)).cast("int").alias("blocks"))
+        cells = materialise(slots.join(blocks, "part"), "cells")  # one row per part
+        left = asked.join(F.broadcast(cells), "part").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")).cast("int"))
+        left = left.withColumn("slot", F.explode(F.sequence(F.lit(0), F.col("slots") - 1))).select("part", "slot", "block", "query_id", "vector")
+        right = indexed.join(F.broadcast(cells), "part").withColumn("slot", F.pmod(F.xxhash64("vec_id"), F.col("slots")).cast("int"))
+        right = right.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("part", "slot", "block", "vec_id", "vector")
+        cell = ["part", "slot", "block"]
+        return left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(compared, schema)
+
+    queries = materialise(indexed.where(F.col("vec_id") % query_step == 0).select(
+        F.col("vec_id").alias("query_id"), "vector").dropDuplicates(), "queries")
+    pairs = materialise(met(queries, visited), "pairs")
+    own = queries.join(indexed.groupBy(F.col("vec_id").alias("query_id")).agg(F.count("*").alias("own")), "query_id")
+    enough = pairs.groupBy("query_id").agg(F.countDistinct("vec_id").alias("n"))
+    few = own.join(enough, "query_id", "left").where(F.coalesce("n", F.lit(0)) < F.least(F.lit(k), F.lit(total) - F.col("own")))
+    few = materialise(few.select("query_id", "vector"), "few")
+    if visited < parts and few.limit(1).collect():
+        pairs = pairs.unionByName(met(few, parts))
     # rows that repeat a query's id may hold other vectors: the better of equal pairs counts
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     return _ranked(pairs, k).select("query_id", "rank", "vec_id", "score")

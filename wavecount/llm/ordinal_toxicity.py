@@ -58,6 +58,7 @@ class Model:
     index: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray  # one for each grade above 0, in order
+    fitted: int = 0  # documents
 
     def __post_init__(self):
         self.words: dict[str, tuple[int, ...]] = {}
@@ -144,10 +145,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     top = seen.withColumn("chi", chi).orderBy(F.desc("chi"), "f").limit(FEATURES).collect()
     index = {r["f"]: k for k, r in enumerate(top)}
     telling = [k for k, r in enumerate(top) if r["f"].startswith("w=") and (r["bad"] + 0.5) / bad > 20 * (r["good"] + 0.5) / good]
-    kept = table.select("doc_id", "label", "n_words", F.explode(F.arrays_zip("features", "n")).alias("x"))
-    kept = kept.where(F.col("x.features").isin(list(index))).groupBy("doc_id", "label", "n_words").agg(
-        F.collect_list(F.struct("x.features", "x.n")).alias("x"))
-    rows = kept.orderBy("doc_id", "label", "n_words").limit(2 * sample_docs).collect()  # repeated documents stay within the bound
+    told = F.filter(F.arrays_zip("features", "n"), lambda f: f["features"].isin(list(index)))  # also of documents with none of them
+    rows = table.select("doc_id", "label", "n_words", told.alias("x")).orderBy("doc_id", "label", "n_words")
+    rows = rows.limit(2 * sample_docs).collect()  # repeated documents stay within the bound
     x = np.zeros((len(rows), len(index)))
     for k, r in enumerate(rows):
         for f, n in r["x"]:
@@ -156,7 +156,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     rate = x[:, telling].sum(1) / size
     borders = np.quantile(rate[labels_ == 1], [1 / 3, 2 / 3]) if (labels_ == 1).any() else [0, 0]
     grades = np.where(labels_ == 1, 1 + (rate > borders[0]).astype(int) + (rate > borders[1]).astype(int), 0)
-    return fit(x / (1 + x), grades, index)
+    model = fit(x / (1 + x), grades, index)
+    model.fitted = len(rows)
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
