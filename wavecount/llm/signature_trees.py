@@ -52,13 +52,13 @@ from wavecount.session import materialise, scratch
 WORDS = 5
 THRESHOLD = (80, 100)
 #: Shingles in one unit of comparison, as 8 octets each.
-UNIT = 12_000_000
+UNIT = 4_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 28
 #: Octets of bitmaps in one unit of the first trees.
 OUTLINES = 8 << 20
 #: Keys that a task combines before it sends them on.
-BUFFER = 2_000_000
+BUFFER = 500_000
 #: Keys of one owner, roughly.
 OWNED = 1_000_000
 #: Bits of the filter that tells candidate classes; its size is fixed.
@@ -225,7 +225,7 @@ class _Tree:
             at = np.arange(0, len(roots), FANOUT**level)
             least, most = np.minimum.reduceat(roots, at), np.maximum.reduceat(roots, at)
             keep &= ~((least[i] == most[i]) & (least[j] == most[j]) & (least[i] == least[j]))
-        left, step = np.flatnonzero(keep), max(1, (1 << 22) // bits.shape[1])
+        left, step = np.flatnonzero(keep), max(1, (1 << 20) // bits.shape[1])
         for k in range(0, len(left), step):
             part = left[k : k + step]
             a, b = i[part], j[part]
@@ -242,7 +242,7 @@ class _Tree:
         if level == 0:
             self._meet(i, j)
             return
-        below, step = len(self.levels[level - 1][0]), 1 << 14
+        below, step = len(self.levels[level - 1][0]), 1 << 12
         for k in range(0, len(i), step):
             a = (i[k : k + step, None, None] * FANOUT + np.arange(FANOUT)[:, None]) + np.zeros((1, 1, FANOUT), np.int64)
             b = (j[k : k + step, None, None] * FANOUT + np.arange(FANOUT)) + np.zeros((1, FANOUT, 1), np.int64)
