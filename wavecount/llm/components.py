@@ -70,6 +70,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     spark = links.sparkSession
     with scratch(spark):
+        links = materialise(links.select("u", "v"), "links")  # whatever makes them has done with its Python workers
         edges, before = materialise(forests(links).distinct(), "links"), None
         while True:
             state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -185,13 +185,15 @@ def outline(s: np.ndarray, width: int) -> np.ndarray:
 class _Tree:
     """Signature tree: per level the bitmaps, least and largest sizes, and shingles beyond the bits of any set."""
 
+    fanout = FANOUT
+
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, num: int, den: int):
         self.num, self.den = num, den
         slack = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
         self.levels = [(bits, sizes, sizes, slack)]
         while len(self.levels[-1][0]) > 1:
             bits, low, high, slack = self.levels[-1]
-            at = np.arange(0, len(bits), FANOUT)
+            at = np.arange(0, len(bits), self.fanout)
             self.levels.append((np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at), np.maximum.reduceat(slack, at)))
         self.parent = np.arange(len(sizes))  # of sets that links connect, towards the least
@@ -222,7 +224,7 @@ class _Tree:
         elif level == 0:
             keep &= roots[i] != roots[j]
         else:
-            at = np.arange(0, len(roots), FANOUT**level)
+            at = np.arange(0, len(roots), self.fanout**level)
             least, most = np.minimum.reduceat(roots, at), np.maximum.reduceat(roots, at)
             keep &= ~((least[i] == most[i]) & (least[j] == most[j]) & (least[i] == least[j]))
         left, step = np.flatnonzero(keep), max(1, (1 << 20) // bits.shape[1])
@@ -244,8 +246,9 @@ class _Tree:
             return
         below, step = len(self.levels[level - 1][0]), 1 << 12
         for k in range(0, len(i), step):
-            a = (i[k : k + step, None, None] * FANOUT + np.arange(FANOUT)[:, None]) + np.zeros((1, 1, FANOUT), np.int64)
-            b = (j[k : k + step, None, None] * FANOUT + np.arange(FANOUT)) + np.zeros((1, FANOUT, 1), np.int64)
+            below_it = np.arange(self.fanout)
+            a, b = np.broadcast_arrays(i[k : k + step, None, None] * self.fanout + below_it[:, None],
+                                       j[k : k + step, None, None] * self.fanout + below_it)
             real = (a < below) & (b < below)
             self._descend(level - 1, a[real], b[real])
 
@@ -256,22 +259,49 @@ class _Tree:
     def find_links(self) -> list[tuple[int, int]]:
         """Links that connect all sets which chains of close pairs connect."""
         for level, (nodes, *_) in enumerate(self.levels[:-1]):
-            for gap in range(1, FANOUT):  # siblings, nearest first
+            for gap in range(1, self.fanout):  # siblings, nearest first
                 i = np.arange(len(nodes) - gap)
-                i = i[i // FANOUT == (i + gap) // FANOUT]
+                i = i[i // self.fanout == (i + gap) // self.fanout]
                 self._descend(level, i, i + gap)
         return self.links
 
 
 class Outlines(_Tree):
-    """A tree of bitmaps alone; its links connect all sets that chains of possible pairs connect."""
+    """A tree of bitmaps alone; its links connect all sets that chains of possible pairs connect.
+
+    The lowest nodes hold many sets, and the sets of two such nodes are compared as whole
+    blocks: clusters that chain through shared passages have few nodes to drop.
+    """
+
+    fanout = 64
 
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, least: np.ndarray, num: int, den: int):
         self.order = np.lexsort((sizes, least))  # alike sets side by side
         super().__init__(bits[self.order], sizes[self.order], num, den)
+        self.turned = np.ascontiguousarray(self.levels[0][0].T)
+
+    def _descend(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
+        if level != 1:
+            super()._descend(level, i, j)
+            return
+        keep = self._possible(1, i, j)
+        for a, b in zip((i[keep] * self.fanout).tolist(), (j[keep] * self.fanout).tolist(), strict=True):
+            self._block(slice(a, a + self.fanout), slice(b, b + self.fanout))
+
+    def _block(self, left: slice, right: slice) -> None:
+        """All pairs of two runs of sets."""
+        _, sizes, _, slack = self.levels[0]
+        common = np.bitwise_count(self.turned[:, left, None] & self.turned[:, None, right]).sum(0, dtype=np.uint16).astype(np.int64)
+        a, b = sizes[left, None], sizes[None, right]
+        most = np.minimum(np.minimum(common + np.minimum(slack[left, None], slack[None, right]), a), b)
+        near = (self.num + self.den) * most >= self.num * (a + b)  # which says, too, that the sizes are near
+        if near.any():
+            i, j = np.nonzero(near)
+            self._meet(i + left.start, j + right.start)
 
     def _meet(self, i: np.ndarray, j: np.ndarray) -> None:
-        u, v = forest(self._roots()[i], self._roots()[j])
+        roots = self._roots()
+        u, v = forest(roots[i], roots[j])
         self.parent[u] = v
 
     def clusters(self) -> tuple[np.ndarray, np.ndarray]:
