@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wavecount.llm import active_lloyd, golomb_dedup, word_runs
 from wavecount.llm.common import look_up, visible_to_workers
@@ -299,3 +300,16 @@ def test_runs_of_long_texts():
     for text, runs in zip(texts[1:4], got[1:4], strict=True):
         small = [bytes([c]) for c in text[:3_000]]
         assert word_runs.find_runs(*word_runs.numbered([small]))[0] == _plain_runs(small)
+
+
+@pytest.mark.parametrize("wave", [1 << 25, 1])
+def test_rows_are_left_out_where_they_are(spark, tmp_path, wave):
+    from wavecount.llm.common import in_files, with_places, without_rows
+
+    spark.range(0, 100_000, 1, 3).withColumn("_file", F.lit("a clashing name")).drop("_file").write.parquet(str(tmp_path / "rows"))
+    docs = spark.read.parquet(str(tmp_path / "rows"))
+    assert in_files(docs) is docs
+    gone = with_places(docs).where("id % 7 = 0 or id > 90000")
+    assert sorted(r.id for r in without_rows(docs, gone, wave).collect()) == [k for k in range(90_001) if k % 7]
+    made = in_files(spark.range(10))
+    assert without_rows(made, with_places(made).where("id = 3")).count() == 9

@@ -6,9 +6,12 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wavecount.session import materialise, new_workdir
+
 #: Rows handled at once inside a task; keeps copies of long texts small.
 SLICE = 256
 
@@ -61,3 +64,59 @@ def look_up(rows: DataFrame, found: DataFrame, key: str, weight: str) -> DataFra
     rest = tagged.where(F.col("_hot").isNull()).select(*rows.columns)
     rest = rest.join(found.where(~is_hot), F.col(key).eqNullSafe(F.col("_key")), "left")
     return tagged.where("_hot").select(*rows.columns, *new).unionByName(rest.select(*rows.columns, *new))
+
+
+#: Octets of bitmaps of rows that are broadcast at a time.
+WAVE = 32 << 20
+_BITMAP = 4_096
+
+
+def in_files(docs: DataFrame) -> DataFrame:
+    """``docs`` itself, if its rows have places in Parquet files; else a written copy."""
+    try:
+        docs.select(docs.metadataColumn("_metadata")["row_index"])
+        return docs
+    except AnalysisException:
+        return materialise(docs, "documents", keep=True)
+
+
+def with_places(docs: DataFrame) -> DataFrame:
+    """``docs`` of ``in_files`` with the place of each row: ``_file``, a hash of the file's path, and ``_line`` in it."""
+    place = docs.metadataColumn("_metadata")
+    return docs.select(*[docs[c] for c in docs.columns], F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_line"))
+
+
+def without_rows(docs: DataFrame, rows: DataFrame, wave: int = WAVE) -> DataFrame:
+    """``docs`` of ``in_files`` without the rows at the places (``_file``, ``_line``) in ``rows``; no row of ``docs`` is moved.
+
+    The places become a bitmap for each 32,768 rows of a file. They are broadcast, in
+    waves of files whose bitmaps are at most ``wave`` octets together (or those of one
+    file); each file is read in one wave, and with several waves the result is written.
+    """
+    spark = docs.sparkSession
+    bucket, position = F.expr("bitmap_bucket_number(_line + 1)"), F.expr("bitmap_bit_position(_line + 1)")
+    maps = rows.groupBy("_file", bucket.alias("_bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_line + 1))").alias("_bitmap"))
+    maps = materialise(maps, "bitmaps", keep=True).withColumnRenamed("_file", "_of")
+    waves = 1
+    while True:
+        load = maps.groupBy(F.pmod("_of", F.lit(waves)).alias("wave")).agg(
+            (F.count("*") * _BITMAP).alias("octets"), F.countDistinct("_of").alias("files"))
+        if not load.where((F.col("octets") > wave) & (F.col("files") > 1)).limit(1).collect():
+            break
+        waves *= 2
+    octet = F.conv(F.hex(F.substring("_bitmap", (F.shiftright(position, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    marked = F.coalesce(F.getbit(octet, F.pmod(position, F.lit(8)).cast("int")) == 1, F.lit(False))
+
+    def of_wave(k: int) -> DataFrame:
+        path = docs.metadataColumn("_metadata")["file_path"]
+        mine = docs if waves == 1 else docs.where(F.pmod(F.xxhash64(path), F.lit(waves)) == k)  # Spark lists these files alone
+        bitmaps = F.broadcast(maps.where(F.pmod("_of", F.lit(waves)) == k))
+        joined = with_places(mine).join(bitmaps, (F.col("_file") == F.col("_of")) & (bucket == F.col("_bucket")), "left")
+        return joined.where(~marked).select(*docs.columns)
+
+    if waves == 1:
+        return of_wave(0)
+    out = new_workdir(spark, "kept")
+    for k in range(waves):
+        of_wave(k).write.mode("append").parquet(out)
+    return spark.read.schema(docs.schema).parquet(out)

@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wavecount.llm.common import look_up, slices, texts
+from wavecount.llm.common import in_files, look_up, slices, texts, with_places, without_rows
 from wavecount.llm.components import components, forest
 from wavecount.llm.golomb_dedup import golomb, ungolomb
 from wavecount.session import materialise, scratch
@@ -56,7 +56,7 @@ UNIT = 4_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 28
 #: Octets of bitmaps in one unit of the first trees.
-OUTLINES = 8 << 20
+OUTLINES = 32 << 20
 #: Keys that a task combines before it sends them on.
 BUFFER = 500_000
 #: Keys of one owner, roughly.
@@ -515,14 +515,14 @@ def _width(top: int) -> int:
 
 
 def _members(docs: DataFrame, words: int, num: int, den: int, wanted: np.ndarray, cut: Cut) -> DataFrame:
-    """doc_id, a hash of the text, number of shingles and class of every document.
+    """doc_id, the place of the row, number of shingles and class of every document.
 
     Once per task, where the class may be in a cluster, also its nodes with a bitmap for
     each, its least shingle and its text under zstandard.
     """
     shared = docs.sparkSession.sparkContext.broadcast(wanted.tobytes())
     kind = pa.list_(pa.struct([("node", pa.int64()), ("place", pa.int32()), ("bits", pa.binary())]))
-    schema = ("doc_id long, content long, n_shingles long, cid long, least long, packed binary, "
+    schema = ("doc_id long, _file long, _line long, n_shingles long, cid long, least long, packed binary, "
               "nodes array<struct<node:long,place:int,bits:binary>>")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -544,10 +544,11 @@ def _members(docs: DataFrame, words: int, num: int, den: int, wanted: np.ndarray
                     rows.append((len(s), cid, None, None, None))
             sizes, ids, least, packed, nodes = map(list, zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
-                [part["doc_id"], part["content"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(least, pa.int64()),
-                 pa.array(packed, pa.binary()), pa.array(nodes, kind)], names=["doc_id", "content", "n_shingles", "cid", "least", "packed", "nodes"])
+                [part["doc_id"], part["_file"], part["_line"], pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(least, pa.int64()),
+                 pa.array(packed, pa.binary()), pa.array(nodes, kind)], names=["doc_id", "_file", "_line", "n_shingles", "cid", "least", "packed", "nodes"])
 
-    return texts(docs).withColumn("content", F.xxhash64("text")).mapInArrow(listed, schema)
+    placed = with_places(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "_file", "_line")
+    return placed.mapInArrow(listed, schema)
 
 
 def _dealt(rows: DataFrame, weight: str, unit: int) -> DataFrame:
@@ -591,10 +592,10 @@ def _refined(nodes: DataFrame, num: int, den: int) -> DataFrame:
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _by_unit(batches, ("node", "n_shingles", "least", "bits"), unit):
-            names, sizes, least, bits = zip(*rows, strict=True)
-            words = np.frombuffer(b"".join(bits), "<u8").reshape(len(rows), -1)
-            a, b = Outlines(words, np.array(sizes, np.int64), np.array(least, np.int64), num, den).clusters()
-            names = np.array(names, np.int64)
+            names, sizes, least = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+            words = np.frombuffer(b"".join([r[3] for r in rows]), "<u8").reshape(len(rows), -1)
+            rows.clear()
+            a, b = Outlines(words, sizes, least, num, den).clusters()
             yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["u", "v"])
 
     ordered = nodes.repartition(*_UNIT).sortWithinPartitions(*unit, "cid")
@@ -630,7 +631,10 @@ def _links(units: DataFrame, words: int, num: int, den: int, count: bool) -> Dat
 
 
 def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, count: bool) -> DataFrame:
-    """What ``similar`` returns, with a hash of the text and the root of the component, which is null without words."""
+    """What ``similar`` returns, with the place of the row and the root of the component, which is null without words.
+
+    ``docs`` is one of ``in_files``.
+    """
     num, den = threshold
     spark = docs.sparkSession
     segments = Segments(num, den)
@@ -641,8 +645,8 @@ def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, c
         copies = members.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.count("*").alias("copies"))
         copies = materialise(copies.where("copies > 1"), "copies", keep=True)
         held = members.where(F.col("packed").isNotNull())
-        outlines = held.select("cid", "n_shingles", "least", F.inline("nodes")).dropDuplicates(["cid", "node"])
-        outlines = outlines.join(clusters, "node").withColumn("octets", F.length("bits"))
+        outlines = held.select("cid", "n_shingles", "least", F.inline("nodes")).repartition("node")  # once for both steps
+        outlines = outlines.dropDuplicates(["node", "cid"]).join(clusters, "node").withColumn("octets", F.length("bits"))
         refined = components(_refined(_dealt(materialise(outlines, "outlines"), "octets", OUTLINES), num, den))
         places = held.select("cid", "n_shingles", F.inline("nodes")).drop("bits").distinct().join(refined, "node").join(copies, "cid", "left")
         places = _dealt(materialise(places.withColumn("copies", F.coalesce("copies", F.lit(1))), "places"), "n_shingles", unit)
@@ -650,18 +654,18 @@ def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, c
         links = materialise(_links(sets, words, num, den, count), "found", keep=True)
     found = links.where(F.col("v").isNotNull()).select("u", "v")
     known = components(found).withColumnRenamed("node", "cid")
-    rows = members.select("doc_id", "content", "n_shingles", "cid")
+    rows = members.select("doc_id", "_file", "_line", "n_shingles", "cid")
     if count:
         counts = links.where(F.col("n").isNotNull()).groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n_near"))
         known = known.join(counts, "cid", "left")
     known = known.join(copies, "cid", "full").withColumn("n", F.coalesce("copies", F.lit(1)))
     rows = look_up(rows, materialise(known.where(F.col("cid").isNotNull()), "known", keep=True), "cid", "n")
     n_links = [(F.coalesce("n_near", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).alias("n_links")] if count else []
-    rows = rows.select("doc_id", "content", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
+    rows = rows.select("doc_id", "_file", "_line", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
     least = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("in_root"))
     rows = look_up(rows, materialise(least, "roots", keep=True), "root", "in_root")
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    return rows.select("doc_id", "content", "n_shingles", "root", component, *(["n_links"] if count else []))
+    return rows.select("doc_id", "_file", "_line", "n_shingles", "root", component, *(["n_links"] if count else []))
 
 
 def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD, unit: int = UNIT, count: bool = True) -> DataFrame:
@@ -669,25 +673,19 @@ def similar(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = TH
 
     ``n_links`` is the number of other rows that are close to it, copies among them.
     """
-    return _found(docs, words, threshold, unit, count).drop("content", "root")
+    return _found(in_files(docs.select("doc_id", "text")), words, threshold, unit, count).drop("_file", "_line", "root")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """Exactly one document of each group of similar ones, all columns kept: the one of the smallest id, null ids last.
 
-    Rows that repeat that id are told apart by their texts; of rows equal in both any one
-    stays. Rows without words are similar to nothing and all stay. Only rows that go, and
-    such repeated rows, are looked up.
+    Of rows that repeat that id one stays. Rows without words are similar to nothing and
+    all stay. Texts are not moved: rows that go are left out where they are read.
     """
-    key = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "content")
-    rows = materialise(_found(docs, words, threshold, UNIT, False).where(F.col("root").isNotNull()).select("root", key.alias("row")), "similar")
+    docs = in_files(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_file", "_line")
+    found = _found(docs, words, threshold, UNIT, False).where(F.col("root").isNotNull())
+    rows = materialise(found.select("root", row.alias("row")), "similar")
     first = rows.groupBy("root").agg(F.min("row").alias("stays"), F.count("*").alias("n"))
     told = look_up(rows, materialise(first, "first"), "root", "n")
-    gone = told.where(F.col("row") != F.col("stays")).select("row.doc_id", "row.content").distinct()
-    repeated = told.where(F.col("row") == F.col("stays")).groupBy("row").count().where("count > 1").select("row.doc_id", "row.content")
-    gone, repeated = (materialise(t, name).toDF("_id", "_content") for t, name in ((gone, "gone"), (repeated, "repeated")))
-    tagged = docs.withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_content"))
-    left = tagged.join(gone, same, "left_anti")
-    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return left.join(repeated, same, "left_anti").unionByName(once).select(*docs.columns)
+    return without_rows(docs, told.where(F.col("row") != F.col("stays")).select("row._file", "row._line"))
