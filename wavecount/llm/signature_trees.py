@@ -52,11 +52,11 @@ from wavecount.session import materialise, scratch
 WORDS = 5
 THRESHOLD = (80, 100)
 #: Shingles in one unit of comparison, as 8 octets each.
-UNIT = 4_000_000
+UNIT = 3_000_000
 #: Bits of all bitmaps of a unit, roughly.
-BITMAPS = 1 << 28
+BITMAPS = 1 << 27
 #: Octets of bitmaps in one unit of the first trees.
-OUTLINES = 32 << 20
+OUTLINES = 24 << 20
 #: Keys that a task combines before it sends them on.
 BUFFER = 500_000
 #: Keys of one owner, roughly.
@@ -189,17 +189,21 @@ class _Tree:
 
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, num: int, den: int):
         self.num, self.den = num, den
-        slack = sizes - np.bitwise_count(bits).sum(1, dtype=np.int64)
-        self.levels = [(bits, sizes, sizes, slack)]
-        while len(self.levels[-1][0]) > 1:
-            bits, low, high, slack = self.levels[-1]
-            at = np.arange(0, len(bits), self.fanout)
-            self.levels.append((np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at),
-                                np.maximum.reduceat(high, at), np.maximum.reduceat(slack, at)))
+        self.levels = self._above(bits, sizes, sizes, sizes - np.bitwise_count(bits).sum(1, dtype=np.int64))
         self.parent = np.arange(len(sizes))  # of sets that links connect, towards the least
         self.links: list[tuple[int, int]] = []
         self.all_pairs = False
 
+    def _above(self, bits: np.ndarray, low: np.ndarray, high: np.ndarray, slack: np.ndarray) -> list[tuple]:
+        """These nodes and the levels above them."""
+        levels = [(bits, low, high, slack)]
+        while len(bits) > 1:
+            at = np.arange(0, len(bits), self.fanout)
+            bits, low, high, slack = (f.reduceat(x, at, axis=0) for f, x in (
+                (np.bitwise_or, bits), (np.minimum, low), (np.maximum, high), (np.maximum, slack)))
+            levels.append((bits, low, high, slack))
+        return levels
+
     def _find(self, a: int) -> int:
         parent = self.parent
         while parent[a] != a:
@@ -259,6 +263,8 @@ class _Tree:
     def find_links(self) -> list[tuple[int, int]]:
         """Links that connect all sets which chains of close pairs connect."""
         for level, (nodes, *_) in enumerate(self.levels[:-1]):
+            if nodes is None:
+                continue
             for gap in range(1, self.fanout):  # siblings, nearest first
                 i = np.arange(len(nodes) - gap)
                 i = i[i // self.fanout == (i + gap) // self.fanout]
@@ -276,9 +282,26 @@ class Outlines(_Tree):
     fanout = 64
 
     def __init__(self, bits: np.ndarray, sizes: np.ndarray, least: np.ndarray, num: int, den: int):
+        self.num, self.den = num, den
         self.order = np.lexsort((sizes, least))  # alike sets side by side
-        super().__init__(bits[self.order], sizes[self.order], num, den)
-        self.turned = np.ascontiguousarray(self.levels[0][0].T)
+        self.turned = np.empty(bits.shape[::-1], _U)  # by words and not by sets; the only copy that stays
+        for k in range(bits.shape[1]):
+            self.turned[k] = bits[self.order, k]
+        sizes = sizes[self.order]
+        slack = sizes.copy()
+        for word in self.turned:
+            slack -= np.bitwise_count(word)
+        at = np.arange(0, len(sizes), self.fanout)
+        nodes = np.ascontiguousarray(np.bitwise_or.reduceat(self.turned, at, axis=1).T)
+        low, high, most = (f.reduceat(x, at) for f, x in ((np.minimum, sizes), (np.maximum, sizes), (np.maximum, slack)))
+        self.levels = [(None, sizes, sizes, slack), *self._above(nodes, low, high, most)]
+        self.parent = np.arange(len(sizes))
+        self.links, self.all_pairs = [], False
+
+    def find_links(self) -> list[tuple[int, int]]:
+        for a in range(0, len(self.parent), self.fanout):
+            self._block(slice(a, a + self.fanout), slice(a, a + self.fanout))
+        return super().find_links()
 
     def _descend(self, level: int, i: np.ndarray, j: np.ndarray) -> None:
         if level != 1:
@@ -291,6 +314,7 @@ class Outlines(_Tree):
     def _block(self, left: slice, right: slice) -> None:
         """All pairs of two runs of sets."""
         _, sizes, _, slack = self.levels[0]
+        left, right = (slice(x.start, min(x.stop, len(sizes))) for x in (left, right))
         common = np.bitwise_count(self.turned[:, left, None] & self.turned[:, None, right]).sum(0, dtype=np.uint16).astype(np.int64)
         a, b = sizes[left, None], sizes[None, right]
         most = np.minimum(np.minimum(common + np.minimum(slack[left, None], slack[None, right]), a), b)
