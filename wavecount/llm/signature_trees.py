@@ -56,7 +56,7 @@ UNIT = 3_000_000
 #: Bits of all bitmaps of a unit, roughly.
 BITMAPS = 1 << 27
 #: Octets of bitmaps in one unit of the first trees.
-OUTLINES = 24 << 20
+OUTLINES = 20 << 20
 #: Keys that a task combines before it sends them on.
 BUFFER = 500_000
 #: Keys of one owner, roughly.
@@ -592,11 +592,11 @@ def _dealt(rows: DataFrame, weight: str, unit: int) -> DataFrame:
 _UNIT = ("root", "low", "high")
 
 
-def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...], of: tuple[str, ...] = _UNIT) -> Iterator[tuple[tuple, list[tuple]]]:
+def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
     """Unit and its rows, from rows that are sorted by unit."""
     current, rows = None, []
     for part in slices(batches):
-        units = zip(*(part[c].to_pylist() for c in of), strict=True)
+        units = zip(*(part[c].to_pylist() for c in _UNIT), strict=True)
         for unit, row in zip(units, zip(*(part[c].to_pylist() for c in columns), strict=True), strict=True):
             if unit != current:
                 if len(rows) > 1:
@@ -615,12 +615,27 @@ def _refined(nodes: DataFrame, num: int, den: int) -> DataFrame:
     unit = (*_UNIT, "octets")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_unit(batches, ("node", "n_shingles", "least", "bits"), unit):
-            names, sizes, least = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-            words = np.frombuffer(b"".join([r[3] for r in rows]), "<u8").reshape(len(rows), -1)
-            rows.clear()
-            a, b = Outlines(words, sizes, least, num, den).clusters()
-            yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["u", "v"])
+        current, held = None, []
+
+        def finish() -> Iterator[pa.RecordBatch]:
+            if sum(len(h[0]) for h in held) > 1:
+                names, sizes, least, words = (np.concatenate([h[k] for h in held]) for k in range(4))
+                held.clear()
+                a, b = Outlines(words, sizes, least, num, den).clusters()
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["u", "v"])
+
+        for part in slices(batches, 1_024):
+            keys = np.stack([part[c].to_numpy() for c in unit], axis=1)
+            columns = [part[c].to_numpy() for c in ("node", "n_shingles", "least")]
+            borders = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), len(keys)]
+            for first, last in zip(borders, borders[1:], strict=False):
+                if (key := tuple(keys[first].tolist())) != current:
+                    yield from finish()
+                    held.clear()
+                    current = key
+                words = np.frombuffer(b"".join(part["bits"].slice(first, last - first).to_pylist()), "<u8")
+                held.append((*(c[first:last].copy() for c in columns), words.reshape(last - first, -1)))
+        yield from finish()
 
     ordered = nodes.repartition(*_UNIT).sortWithinPartitions(*unit, "cid")
     return ordered.mapInArrow(linked, "u long, v long")
