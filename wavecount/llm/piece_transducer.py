@@ -43,7 +43,7 @@ from wavecount.llm.common import slices, texts
 
 MARK = "▁"
 #: Words, their parts, and pairs of pieces, that a task remembers; beyond that it forgets the older half of them.
-CACHED = 500_000
+CACHED = 200_000
 
 
 class CharacterMap:
