@@ -20,15 +20,18 @@ brackets and cut-off pages are read as far as they go.
 
 Defined results: null or empty html, and pages without text, give an empty text; pages
 with a null or odd url form one host; ties go to the smaller path; repeated pages vote
-each; an empty table gives none.
+each; an empty table gives none. Within a page paths are compared step by step. A heading
+in a header element goes with it, in an article, too. Time grows with the length of a
+page, not with its depth.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -84,31 +87,56 @@ def _named(own: dict[str, str], words: set[str]) -> bool:
 
 
 def _step(tag: str, own: dict[str, str]) -> str:
-    classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in own.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+|>", "#", c.lower()) for c in own.get("class", "").split()})
     return ".".join([tag, *classes])
 
 
 class _Page:
-    """Blocks of wanted text, each with the containers it lies in."""
+    """Blocks of wanted text, each at the node of its element.
+
+    Nodes are tag-class paths, numbered from the root down, so a parent's number is
+    smaller than its children's; elements with one path share a node. All sums over the
+    blocks below a node are made in one pass, whatever the depth.
+    """
 
     def __init__(self, source: str):
-        self.paths: list[str] = []  # of containers, in page order
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []  # containers, text, characters of links
-        self.stack: list[tuple[str, str, bool, int]] = []  # tag, path, dropped, container or -1
+        self.parents: list[int] = []
+        self.steps: list[str] = []
+        self.tags: list[str] = []
+        self.container: list[bool] = []  # some element with the path may hold the article
+        self.depth: list[int] = []
+        self.within: list[int] = []  # depth of the nearest article or main, itself included, or -1
+        self.children: dict[tuple[int, str], int] = {}
+        self.blocks: list[tuple[int, str, int]] = []  # node or -1, text, characters of links
+        self.stack: list[tuple[str, int, bool]] = []  # tag, node, dropped
+        self.opened: Counter[str] = Counter()  # tags on the stack
         self.buffer: list[str] = []
         self.headings: set[int] = set()  # blocks that are first headings
         self.links = self.depth_a = 0
         self.heading = False
         self._read(source)
+        self._sum_up()
+
+    def _node(self, parent: int, tag: str, step: str) -> int:
+        node = self.children.get((parent, step))
+        if node is None:
+            node = self.children[parent, step] = len(self.parents)
+            depth = self.depth[parent] + 1 if parent >= 0 else 0
+            self.parents.append(parent)
+            self.steps.append(step)
+            self.tags.append(tag)
+            self.container.append(False)
+            self.depth.append(depth)
+            self.within.append(depth if tag in _PREFER else self.within[parent] if parent >= 0 else -1)
+        return node
 
     def _flush(self) -> None:
         if self.buffer:
             text = " ".join(html.unescape("".join(self.buffer)).split())
             if text:
-                inside = tuple(c for *_, c in self.stack if c >= 0)
                 if self.heading:
                     self.headings.add(len(self.blocks))
-                self.blocks.append((inside, text, min(self.links, len(text))))
+                self.blocks.append((self.stack[-1][1] if self.stack else -1, text, min(self.links, len(text))))
             self.buffer, self.links = [], 0
 
     def _text(self, part: str) -> None:
@@ -151,13 +179,12 @@ class _Page:
             self.depth_a = 1
         if tag in _NESTED and tag not in _VOID and not closed:
             own = _attributes(raw)
-            above = self.stack[-1] if self.stack else ("", "", False, -1)
-            path = f"{above[1]}>{_step(tag, own)}" if above[1] else _step(tag, own)
-            dropped, place = above[2] or _unwanted(tag, own), -1
+            _, parent, dropped = self.stack[-1] if self.stack else ("", -1, False)
+            node, dropped = self._node(parent, tag, _step(tag, own)), dropped or _unwanted(tag, own)
             if tag in _CONTAINERS and not dropped:
-                place = len(self.paths)
-                self.paths.append(path)
-            self.stack.append((tag, path, dropped, place))
+                self.container[node] = True
+            self.stack.append((tag, node, dropped))
+            self.opened[tag] += 1
         return at
 
     def _close(self, tag: str) -> None:
@@ -166,71 +193,111 @@ class _Page:
             self.heading = False
         elif tag == "a":
             self.depth_a = 0
-        if tag in _NESTED:
-            for k in range(len(self.stack) - 1, -1, -1):
-                if self.stack[k][0] == tag:
-                    del self.stack[k:]
-                    break
+        while self.opened[tag]:
+            last = self.stack.pop()[0]
+            self.opened[last] -= 1
+            if last == tag:
+                break
 
-    def scores(self) -> dict[str, float]:
-        """Score of each path: the characters of the blocks whose nearest containers lie on it.
+    def _sum_up(self) -> None:
+        """Sums over the blocks at and below each node: worth, unlinked characters, first headings.
 
         A block counts in full for its innermost container and for half as much with
         each one further out, so a wrapper never beats what it wraps; text in links
         counts against.
         """
-        out: dict[str, float] = defaultdict(float)
-        for inside, text, links in self.blocks:
-            worth = len(text) - 2.0 * links
-            for container in reversed(inside):
-                path = self.paths[container]
-                out[path] += worth * _PREFER.get(path.rpartition(">")[2].split(".")[0], 1.0)
-                worth *= 0.5
-        return {p: s for p, s in out.items() if s > 0}
-
-    def _on(self, path: str) -> set[int]:
-        """Blocks in the containers on the path."""
-        return {k for k, (inside, *_) in enumerate(self.blocks) if any(self.paths[c] == path for c in inside)}
-
-    def _unlinked(self, blocks: set[int]) -> int:
-        return sum(max(0, len(self.blocks[k][1]) - 2 * self.blocks[k][2]) for k in blocks)
-
-    def choice(self, own: dict[str, float]) -> str | None:
+        n = len(self.parents)
+        self.worth, self.unlinked, self.headed = [0.0] * n, [0] * n, [0] * n
+        for k, (node, text, links) in enumerate(self.blocks):
+            if node >= 0:
+                self.worth[node] += len(text) - 2.0 * links
+                self.unlinked[node] += max(0, len(text) - 2 * links)
+                self.headed[node] += k in self.headings
+        for node in range(n - 1, -1, -1):
+            parent = self.parents[node]
+            if parent >= 0:
+                self.worth[parent] += self.worth[node] * (0.5 if self.container[node] else 1.0)
+                self.unlinked[parent] += self.unlinked[node]
+                self.headed[parent] += self.headed[node]
+
+    def scores(self) -> dict[int, float]:
+        """Score of each container's path by its node, where it is above zero."""
+        scored = {n: self.worth[n] * _PREFER.get(self.tags[n], 1.0) for n, known in enumerate(self.container) if known}
+        return {n: s for n, s in scored.items() if s > 0}
+
+    def keys(self) -> list[bytes]:
+        """A digest of every node's path, made from that of its parent."""
+        out: list[bytes] = []
+        for parent, step in zip(self.parents, self.steps, strict=True):
+            out.append(blake2b((out[parent] if parent >= 0 else b"") + step.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+        return out
+
+    def path(self, node: int) -> str:
+        steps = []
+        while node >= 0:
+            steps.append(self.steps[node])
+            node = self.parents[node]
+        return ">".join(reversed(steps))
+
+    def at(self, path: str | None) -> int | None:
+        """The container on the path, if the page has it."""
+        node = -1
+        for step in path.split(">") if path is not None else ():
+            node = self.children.get((node, step), -2)
+            if node < 0:
+                return None
+        return node if node >= 0 and self.container[node] else None
+
+    def _first(self, wanted: set[int]) -> int:
+        """The one with the smallest path, compared step by step."""
+        below: dict[int, list[tuple[str, int]]] = defaultdict(list)
+        for (parent, step), node in self.children.items():
+            below[parent].append((step, node))
+        ahead = [-1]
+        while ahead:
+            node = ahead.pop()
+            if node in wanted:
+                return node
+            ahead += [child for _, child in sorted(below[node], reverse=True)]
+        raise KeyError("no such node")
+
+    def choice(self, own: dict[int, float]) -> int | None:
         """The lowest container that holds the best one and what its siblings add to it."""
         if not own:
             return None
-        chosen = min(own, key=lambda p: (-own[p], p))
-        held, above, known = self._on(chosen), chosen, set(self.paths)
-        while ">" in above:
-            above = above.rpartition(">")[0]
-            if above not in known:
+        best = max(own.values())
+        tied = {n for n, s in own.items() if s == best}
+        chosen = above = tied.pop() if len(tied) == 1 else self._first(tied)
+        while (above := self.parents[above]) >= 0:
+            if not self.container[above]:
                 continue
-            more = self._on(above)
-            gain, steps = self._unlinked(more - held), [x.split(".")[0] for x in chosen.split(">")]
-            heading = not self.headings.isdisjoint(more - held)
-            whole = not {"article", "main"}.isdisjoint(steps) and above.count(">") < max(
-                k for k, x in enumerate(steps) if x in ("article", "main"))
-            if whole:
+            gain, heading = self.unlinked[above] - self.unlinked[chosen], self.headed[above] > self.headed[chosen]
+            if self.depth[above] < self.within[chosen]:
                 accepted = heading
-            elif above.rpartition(">")[2].split(".")[0] == "body":
-                accepted = heading or gain * 10 >= self._unlinked(held)
+            elif self.tags[above] == "body":
+                accepted = heading or gain * 10 >= self.unlinked[chosen]
             else:
                 accepted = True
             if gain and accepted:
-                chosen, held = above, more
+                chosen = above
         return chosen
 
+    def _below(self, top: int) -> str:
+        """The blocks at and below a node, in page order."""
+        inside = [False] * top + [True]
+        for node in range(top + 1, len(self.parents)):
+            parent = self.parents[node]
+            inside.append(parent >= 0 and inside[parent])
+        return " ".join(t for n, t, _ in self.blocks if n >= 0 and inside[n])
+
     def text(self, path: str | None) -> str:
         """Blocks in the containers on the path, in page order; where they are too little, in those of the page's own choice."""
-        own = self.choice(self.scores())
-        if own is None and path not in self.paths:
+        own, won = self.choice(self.scores()), self.at(path)
+        if own is None and won is None:
             return " ".join(t for _, t, _ in self.blocks)
-        blocks = self._on(path) if path in self.paths else set()
-        if own is not None and own != path:
-            wanted = self._on(own)
-            if self._unlinked(blocks) < ENOUGH * self._unlinked(wanted):
-                blocks = wanted
-        return " ".join(self.blocks[k][1] for k in sorted(blocks))
+        if own is not None and (won is None or self.unlinked[won] < ENOUGH * self.unlinked[own]):
+            return self._below(own)
+        return self._below(won)
 
 
 def _host(url: Column) -> Column:
@@ -243,24 +310,33 @@ def _rows(pages: DataFrame) -> DataFrame:
 
 
 def votes(pages: DataFrame) -> DataFrame:
-    """Per host and path: pages for which the path is best, and the sum of scores; summed before the shuffle."""
+    """Per host and path: pages for which the path is best, and the sum of scores; summed before the shuffle.
+
+    Paths go by a digest; only those that are best of a page are written out.
+    """
     def proposed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            sums: dict[tuple[str, str], list[float]] = defaultdict(lambda: [0, 0.0])
+            sums: dict[tuple[str, bytes], list] = defaultdict(lambda: [0, 0.0, None])
             for host, source in zip(part["host"].to_pylist(), part["html"].to_pylist(), strict=True):
                 page = _Page(source)
                 own = page.scores()
-                for path, score in own.items():
-                    sums[host, path][1] += score
-                if own:
-                    sums[host, page.choice(own)][0] += 1
+                if not own:
+                    continue
+                keys, best = page.keys(), page.choice(own)
+                for node, score in own.items():
+                    sums[host, keys[node]][1] += score
+                vote = sums[host, keys[best]]
+                vote[0], vote[2] = vote[0] + 1, vote[2] or page.path(best)
             yield pa.RecordBatch.from_arrays([
-                pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()),
-                pa.array([n for n, _ in sums.values()], pa.int64()), pa.array([round(s) for _, s in sums.values()], pa.int64()),
-            ], names=["host", "path", "best_of", "score"])
-
-    rows = _rows(pages).select("host", "html").mapInArrow(proposed, "host string, path string, best_of long, score long")
-    return rows.groupBy("host", "path").agg(F.sum("best_of").alias("best_of"), F.sum("score").alias("score"))
+                pa.array([h for h, _ in sums], pa.string()), pa.array([k for _, k in sums], pa.binary()),
+                pa.array([p for *_, p in sums.values()], pa.string()), pa.array([n for n, *_ in sums.values()], pa.int64()),
+                pa.array([round(s) for _, s, _ in sums.values()], pa.int64()),
+            ], names=["host", "key", "path", "best_of", "score"])
+
+    rows = _rows(pages).select("host", "html").mapInArrow(
+        proposed, "host string, key binary, path string, best_of long, score long")
+    return rows.groupBy("host", "key").agg(
+        F.max("path").alias("path"), F.sum("best_of").alias("best_of"), F.sum("score").alias("score")).where("best_of > 0")
 
 
 def winners(voted: DataFrame) -> DataFrame:
