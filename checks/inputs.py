@@ -78,6 +78,16 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).select(_line(F.col("ts")).alias("value"), "event_id")
 
 
+def rolled_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines whose days, months, hours, minutes and seconds lie outside their ranges for most events."""
+    fields = F.format_string(
+        "%d/%d/%d:%d:%d:%d", F.col("event_id") % 64 - 1, F.col("event_id") % 29 - 2, F.lit(2012) + _k() % 9,
+        F.col("user_id") % 30, _k() % 70, F.col("user_id") % 90)
+    return events(spark, sf_dir).select(
+        F.concat_ws(" ", F.lit("10.0.0.1"), F.lit("-"), F.lit("-"), fields, F.lit("+0000"), _method(), _url()).alias("value"),
+        "event_id")
+
+
 def very_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """event_id, ts_ms, arrival_ms: arrivals up to 99 minutes after the event."""
     ms = utc_millis(F.col("ts"))

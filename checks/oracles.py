@@ -22,6 +22,15 @@ _LOG = f"""
     from events
 """
 
+# Fields out of range carry over: months first, then days, then the time of day.
+_ROLLED_LOG = f"""
+    select event_id, '10.0.0.1' as ip, '-' as user_id, {_METHOD} as method, {_URL} as url,
+           epoch_us(make_timestamp(2012 + {_K} % 9, 1, 1, 0, 0, 0) + to_months(cast(event_id % 29 - 3 as integer))
+               + to_days(cast(event_id % 64 - 2 as integer)) + to_hours(user_id % 30) + to_minutes({_K} % 70)
+               + to_seconds(user_id % 90)) // 1000 as ts_ms
+    from events
+"""
+
 _DENSE_LOG = f"""
     select event_id, '10.0.0.1' as ip, '-' as user_id, ({_MS}) // 100 // 1000 * 1000 as ts_ms,
            ({_MS}) // 100 + {_K} * 9000 as arrival_ms, {_METHOD} as method, {_URL} as url
@@ -168,6 +177,7 @@ def _changes() -> str:
 ORACLES: dict[str, str] = {
     "parse_behavior_csv": _BEHAVIOR,
     "parse_access_log": f"select event_id, ip, user_id, ts_ms, method, url from ({_LOG})",
+    "parse_access_log_rolling": f"select event_id, ip, user_id, ts_ms, method, url from ({_ROLLED_LOG})",
     "replay_lines": _BEHAVIOR,
     "filter_behavior": f"select item_id, behavior, ts_sec from ({_BEHAVIOR}) where behavior = 'pv'",
     "filter_page_requests": f"select ip, user_id, ts_ms, method, url from ({_LOG}) where {_KEPT}",
@@ -175,6 +185,7 @@ ORACLES: dict[str, str] = {
     "hot_items_topn": _HOT_ITEMS,
     "hot_items_topn_two_step": _HOT_ITEMS,
     "hot_items_topn_sql": _HOT_ITEMS,
+    "hot_items_topn_hop": _HOT_ITEMS,
     "hot_items_report": _report(
         _HOT_ITEMS, "' 商品id = ' || item_id || ' 热门度 = ' || cnt", "chr(10) || chr(10)"),
     "hot_items_changelog": _changes(),
