@@ -641,6 +641,19 @@ def test_surrogates_stay_distinct(spark):
     assert len(set(new)) == len(new) == 120 and not set(new) & {r.canon for r in got}
 
 
+def test_surrogate_addresses_stay_distinct_where_their_format_is_full(spark):
+    visible_to_workers(spark)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    addresses = [f"{c}@m.example.com" for c in letters] + [f"ann@{c}.{top}" for c in letters[:16] for top in ("de", "org")] + ["ann@m.example.com"]
+    got = {r.canon: r.surrogate for r in surrogates.distinct_surrogates(
+        spark.createDataFrame([("email", a) for a in addresses] + [("ssn", "123456789")], "kind string, canon string"), "k").collect()}
+    new = [got[a] for a in addresses]
+    assert len(set(new)) == len(addresses) == len(got) - 1 and not set(new) & set(addresses)
+    hosts = {(a.split("@")[1], got[a].split("@")[1]) for a in addresses}
+    assert len(hosts) == len({h for h, _ in hosts}) == len({h for _, h in hosts}) and not {h for h, _ in hosts} & {h for _, h in hosts}
+    assert all(a.rpartition(".")[2] == got[a].rpartition(".")[2] for a in addresses)
+
+
 def test_surrogates_use_no_python(spark):
     plan = surrogates.replace_entities(documents(spark, ODD), "k")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

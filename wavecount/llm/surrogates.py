@@ -6,7 +6,9 @@ for the whole collection, derived from a key by sha-256:
 
 * of its type and format: letters for letters, digits for digits, case, punctuation and
   length kept; valid octets; a card keeps its first digit and ends in a right check
-  digit; a phone number keeps its country code; equal mail domains stay equal;
+  digit; a phone number keeps its country code; equal mail domains stay equal and
+  different ones different; where names or addresses fill their format they get longer,
+  while numbers that do so end the job;
 * names follow the gender of the title (endings) and the script of the name (Latin or
   Cyrillic syllables); given and family names are replaced apart, so "Ms Ann Lee" and
   "Ms Lee" keep the family name they share;
@@ -103,12 +105,22 @@ def _masked(value: Column, stream: Column) -> Column:
     return _each(value, change)
 
 
-def _email(canon: Column, key: str, attempt: Column) -> Column:
-    local, domain = F.substring_index(canon, "@", 1), F.substring_index(canon, "@", -1)
-    top = F.substring_index(domain, ".", -1)
-    name = F.substring(domain, F.lit(1), F.length(domain) - F.length(top) - 1)
-    return F.concat(_masked(local, _stream(key, F.lit("email"), canon, attempt)), F.lit("@"),
-                    _masked(name, _stream(key, F.lit("domain"), name)), F.lit("."), top)
+def _roomier(value: Column, attempt: Column) -> Column:
+    """One more letter after every fourth draw, so that a full format ends no search."""
+    return F.concat(value, F.repeat(F.lit("a"), F.floor(attempt / 4).cast("int")))
+
+
+def _email(canon: Column, key: str, attempt: Column, host: Column) -> Column:
+    """An address at ``host``, the replacement of its domain."""
+    local = _roomier(F.substring_index(canon, "@", 1), attempt)
+    return F.concat(_masked(local, _stream(key, F.lit("email"), canon, attempt)), F.lit("@"), host)
+
+
+def _domain(canon: Column, key: str, attempt: Column) -> Column:
+    """A domain under the same top."""
+    top = F.substring_index(canon, ".", -1)
+    name = _roomier(F.substring(canon, F.lit(1), F.length(canon) - F.length(top) - 1), attempt)
+    return F.concat(_masked(name, _stream(key, F.lit("domain"), canon, attempt)), F.lit("."), top)
 
 
 def _digits(canon: Column, stream: Column, first: Column) -> Column:
@@ -146,13 +158,14 @@ def _name(kind: Column, canon: Column, stream: Column, attempt: Column) -> Colum
 
 
 def _surrogate(key: str) -> Column:
-    """The replacement of the canonical form in columns kind, canon and attempt."""
+    """The replacement of the canonical form in columns kind, canon, attempt and, for addresses, host."""
     kind, canon, attempt = F.col("kind"), F.col("canon"), F.col("attempt")
     stream = _stream(key, kind, canon, attempt)
     octets = F.array_join(F.array(*[(F.pmod(_octet(stream, F.lit(k)), F.lit(254)) + 1).cast("string") for k in range(1, 5)]), ".")
     body = _digits(F.substring(canon, F.lit(1), F.length(canon) - 1), stream, F.substring(canon, 1, 1))
     nonzero = (F.pmod(_octet(stream, F.lit(1)), F.lit(8)) + 2).cast("string")
-    return (F.when(kind == "email", _email(canon, key, attempt)).when(kind == "ip", octets)
+    return (F.when(kind == "email", _email(canon, key, attempt, F.col("host"))).when(kind == "domain", _domain(canon, key, attempt))
+            .when(kind == "ip", octets)
             .when(kind == "card", F.concat(body, _check_digit(body))).when(kind.isin("phone", "ssn"), _digits(canon, stream, nonzero))
             .otherwise(_name(kind, canon, stream, attempt)))
 
@@ -160,10 +173,24 @@ def _surrogate(key: str) -> Column:
 def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """kind, canon and a surrogate which no other entity of the kind has and which is no entity itself.
 
-    Every round looks at all replacements at once and draws anew for the losers only.
+    Domains of addresses are entities of their own and come first; addresses then differ
+    within a domain.
     """
-    drawn = materialise(entities.withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)), "surrogates")
-    originals = entities.select("kind", F.col("canon").alias("surrogate"))
+    host = F.when(F.col("kind") == "email", F.substring_index("canon", "@", -1))
+    named = entities.select("kind", "canon", host.alias("domain"))
+    domains = named.where("kind = 'email'").select(F.lit("domain").alias("kind"), F.col("domain").alias("canon")).distinct()
+    hosts = _drawn(domains.withColumn("host", F.lit(None).cast("string")), key)
+    hosts = hosts.select(F.col("canon").alias("domain"), F.col("surrogate").alias("host"))
+    return _drawn(named.join(hosts, "domain", "left").select("kind", "canon", "host"), key)
+
+
+def _drawn(entities: DataFrame, key: str) -> DataFrame:
+    """Every round looks at all replacements at once and draws anew for the losers only."""
+    # a number given, so that few octets of entities are not put into one task of much work
+    tasks = int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = entities.repartition(tasks, "kind", "canon").withColumn("attempt", F.lit(0))
+    drawn = materialise(spread.withColumn("surrogate", _surrogate(key)), "surrogates")
+    originals = drawn.select("kind", F.col("canon").alias("surrogate"))
     for _ in range(ROUNDS):
         shared = drawn.groupBy("kind", "surrogate").agg(F.min("canon").alias("keeper"), F.count("*").alias("n")).where("n > 1")
         twice = drawn.join(shared, ["kind", "surrogate"]).where(F.col("canon") != F.col("keeper")).select("kind", "canon")
@@ -173,8 +200,8 @@ def distinct_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return drawn.select("kind", "canon", "surrogate")
         marked = drawn.join(losers, ["kind", "canon"], "left").withColumn("attempt", F.col("attempt") + F.coalesce("again", F.lit(0)))
         new = F.when(F.col("again").isNotNull(), _surrogate(key)).otherwise(F.col("surrogate"))
-        drawn = materialise(marked.select("kind", "canon", "attempt", new.alias("surrogate")), "surrogates")
-    raise ValueError("more entities of a kind than its format has room for")
+        drawn = materialise(marked.select("kind", "canon", "host", "attempt", new.alias("surrogate")), "surrogates")
+    raise ValueError("more numbers of a kind than its format has room for")
 
 
 def _dressed(kind: Column, raw: Column, surrogate: Column) -> Column:
