@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pandas as pd
 import public_tokenizers
 import pytest
@@ -91,8 +92,42 @@ def test_words_match_the_library_in_mixed_white_space():
     values = ["a \xa0 \xa0 b", " \xa0 \xa0", "\xa0 \xa0 \xa0 x", "x \xa0 y", "a \t \t b", " ", "", "  a", "a  "]
     values += ["".join(rng.choice(signs, int(rng.integers(1, 16)))) for _ in range(5_000)]
     values += [f"a {chr(c)} {chr(c)} b{chr(c)} " for c in range(0x3100) if chr(c).isspace() or not chr(c).isprintable()]
-    for value, ids in zip(values, words.encode(values), strict=True):
-        assert ids.tolist() == library.encode(value, add_special_tokens=False).ids, repr(value)
+    _equal_to_library(library, words, values)
+
+
+def _equal_to_library(library, words, values):
+    ids, lengths = words.encode(pa.array(values, pa.string()))
+    assert len(ids) == lengths.sum()
+    for value, found in zip(values, np.split(ids, np.cumsum(lengths)[:-1]), strict=True):
+        assert found.tolist() == library.encode(value, add_special_tokens=False).ids, repr(value)
+
+
+def test_words_match_the_library_at_every_code_point():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, words = Tokenizer.from_file(path), bitplanes._Words(open(path, encoding="utf-8").read())
+    points = [c for c in range(0x20000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 20_000):
+        _equal_to_library(library, words, [f"a {chr(c)}b{chr(c)} {chr(c)} 1{chr(c)}'s" for c in points[at : at + 20_000]])
+
+
+def test_words_match_the_library_while_they_are_forgotten(monkeypatch):
+    """Words are learned, forgotten and learned again, line ends and added tokens among them."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bitplanes, "CACHED_WORDS", 60)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, words = Tokenizer.from_file(path), bitplanes._Words(open(path, encoding="utf-8").read())
+    rng = np.random.default_rng(5)
+    pool = ["the", "Strasse", "it's", "x\ny", "\n", "\n\n", "<|endoftext|>", "end<|endoftext|>", "don't,", "42", "😀", "", "a" * 300]
+    pool += ["".join(rng.choice(list("abcdeñ, .\n"), int(rng.integers(1, 9)))) for _ in range(300)]
+    for _ in range(60):
+        _equal_to_library(library, words, [" ".join(rng.choice(pool, int(rng.integers(0, 12)))) for _ in range(int(rng.integers(1, 9)))])
+    sliced = pa.array(["left out", "kept one", "", " kept  two "]).slice(1)
+    ids, lengths = words.encode(sliced)
+    assert [len(library.encode(v).ids) for v in sliced.to_pylist()] == lengths.tolist()
+    assert [len(a) for a in words.encode(pa.array([], pa.string()))] == [0, 0]
 
 
 # ---- 2: line classifier

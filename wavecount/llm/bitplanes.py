@@ -22,13 +22,13 @@ import json
 import os
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -40,8 +40,13 @@ from wavecount.session import new_workdir
 
 #: Ids of one block.
 BLOCK = 65_536
-#: Words a task remembers the ids of; beyond that it starts anew, results are the same.
+#: Words a worker remembers the ids of, with at most eight ids to a word in the mean;
+#: beyond that it forgets the older half, results are the same.
 CACHED_WORDS = 800_000
+#: Octets of text that are encoded at once; a longer text is encoded alone.
+ENCODED_OCTETS = 4 << 20
+#: Words that the library gets as one text.
+JOINED_WORDS = 256
 
 _BLOCKS = ("shard int, chunk int, first_id long, n_ids int, first_doc long, continued boolean, open boolean, "
            "doc_ids array<long>, lengths array<int>, planes array<binary>")
@@ -65,16 +70,55 @@ def from_planes(planes: list[bytes], n_ids: int, decompress) -> np.ndarray:
 _CUT = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
 
 #: Every white space of any reader of Unicode; a space beside one is no border.
-_WHITE = [c for c in map(chr, range(0x10000)) if c.isspace() or c == "\u180e"]
-_BORDER = re.compile(f" (?<![{''.join(_WHITE)}] )(?![{''.join(_WHITE)}])")
-
-
-def _parts(value: str) -> list[str]:
-    """What lies between the spaces that touch no white space."""
-    for c in _WHITE:
-        if c in value and (f" {c}" in value or f"{c} " in value):
-            return _BORDER.split(value)
-    return value.split(" ")
+_WHITE = "".join(c for c in map(chr, range(0x10000)) if c.isspace() or c == "\u180e")
+_BORDER = re.compile(f" (?<![{_WHITE}] )(?![{_WHITE}])")
+_NO_BORDER = f" [{_WHITE}]|[{_WHITE}] "
+
+
+def _parts(values: pa.StringArray) -> pa.ListArray:
+    """For each text what lies between its spaces that touch no white space; an empty text has one empty part."""
+    parts = pc.split_pattern(values, " ")
+    mixed = pc.match_substring_regex(values, _NO_BORDER).to_numpy(zero_copy_only=False)
+    if not mixed.any():
+        return parts
+    cut = pa.array([_BORDER.split(v) for v in values.filter(pa.array(mixed)).to_pylist()], parts.type)
+    place = np.arange(len(values))
+    place[mixed] = len(values) + np.arange(mixed.sum())
+    return pa.concat_arrays([parts, cut]).take(pa.array(place))
+
+
+class _Ragged:
+    """Sequences of ids, numbered as they are added, in one array."""
+
+    def __init__(self, kind: np.dtype):
+        self.ids, self.ends, self.n, self.held = np.zeros(1 << 16, kind), np.zeros(1 << 14, np.int64), 0, 0
+
+    def add(self, ids: np.ndarray, lengths: np.ndarray) -> range:
+        """Numbers of the new sequences, which lie one after another in ``ids``."""
+        held, n = self.held + len(ids), self.n + len(lengths)
+        if held > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(held, self.ids.dtype)])
+        if n >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(n + 1, np.int64)])
+        self.ids[self.held : held] = ids
+        self.ends[self.n + 1 : n + 1] = self.held + np.cumsum(lengths)
+        new, self.n, self.held = range(self.n, n), n, held
+        return new
+
+    def lengths(self, numbers: np.ndarray) -> np.ndarray:
+        return self.ends[numbers + 1] - self.ends[numbers]
+
+    def take(self, numbers: np.ndarray) -> np.ndarray:
+        """The ids of the sequences one after another."""
+        lengths = self.lengths(numbers)
+        before = np.cumsum(lengths) - lengths
+        return self.ids[np.repeat(self.ends[numbers] - before, lengths) + np.arange(lengths.sum())]
+
+    def drop(self, n: int) -> None:
+        """The first ``n`` sequences go; the numbers of the others fall by ``n``."""
+        kept = _Ragged(self.ids.dtype)
+        kept.add(self.ids[self.ends[n] : self.held], np.diff(self.ends[n : self.n + 1]))
+        self.__dict__ = kept.__dict__
 
 
 class _Words:
@@ -82,10 +126,12 @@ class _Words:
 
     The byte-level pre-tokenizer always cuts before a single space that stands between
     two characters that are no white space, so the parts between such spaces can be
-    encoded alone; a run of mixed white space may be one token and stays whole. Of a new
-    word the pre-tokenizer's own parts are given to the library, which then merges
-    without cutting again. Words with an added token and other kinds of tokenizers are
-    left to the library as they are.
+    encoded alone; a run of mixed white space may be one token and stays whole. The
+    different parts of some texts are looked up once; of a new one the pre-tokenizer's
+    own parts are given to the library, many at once with line ends between them, which
+    it then merges without cutting again. Words with an added token or with characters
+    that Python's tables do not know, as the tables of readers of Unicode differ there,
+    and other kinds of tokenizers are left to the library as they are.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -94,17 +140,23 @@ class _Words:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
+        self.held = _Ragged(self.kind)
         made = json.loads(tokenizer_json)
         cutter = made["pre_tokenizer"] or {}
         self.added = [t["content"] for t in made["added_tokens"]]
-        self.by_word = cutter.get("type") == "ByteLevel" and cutter["use_regex"] and not cutter["add_prefix_space"] and not made["normalizer"]
+        self.by_word = (
+            cutter.get("type") == "ByteLevel" and cutter["use_regex"] and not cutter["add_prefix_space"] and not made["normalizer"]
+            and not any(t["lstrip"] or t["rstrip"] or " " in t["content"] for t in made["added_tokens"]))
         if self.by_word:
+            lines = {"type": "Split", "pattern": {"String": "\n"}, "behavior": "Isolated", "invert": False}
             made |= {"pre_tokenizer": cutter | {"use_regex": False}, "added_tokens": [], "post_processor": None}
             self.merger = Tokenizer.from_str(json.dumps(made))
-
-    def _bytes(self, ids: list[int]) -> bytes:
-        return array("H" if self.kind.itemsize == 2 else "I", ids).tobytes()
+            made["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [lines, made["pre_tokenizer"]]}
+            self.line_merger = Tokenizer.from_str(json.dumps(made))
+            line_end = self.line_merger.encode("\n", add_special_tokens=False).ids
+            self.by_word = len(line_end) == 1
+            self.line_end = line_end[0] if self.by_word else None
 
     @staticmethod
     def _key(part: str) -> str:
@@ -115,39 +167,72 @@ class _Words:
     def _text(key: str) -> str:
         return key[1:] if key[:1] == " " else f" {key}"
 
-    def _learn(self, words: set[str]) -> None:
-        parts, known = {}, self.known
-        fresh = {w for w in words if w.isalpha()}  # one part each
-        for word in words - fresh:
-            text = self._text(word)
-            if any(t in text for t in self.added):
-                known[word] = self._bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            else:
-                parts[word] = [self._key(p) for p in _CUT(text)]
-        ordered = [w for w in fresh.union(*parts.values()) if w not in known]
-        encoded = self.merger.encode_batch_fast([self._text(w) for w in ordered], add_special_tokens=False)
-        known.update((w, self._bytes(e.ids)) for w, e in zip(ordered, encoded, strict=True))
-        known.update((w, b"".join(map(known.__getitem__, p))) for w, p in parts.items() if p != [w])
-
-    def encode(self, values: list[str]) -> list[np.ndarray]:
+    def _remember(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.known.update(zip(words, self.held.add(ids, lengths), strict=True))
+
+    def _merge(self, words: list[str]) -> None:
+        """New words that the pre-tokenizer does not cut, without line ends."""
+        for at in range(0, len(words), JOINED_WORDS):
+            group = words[at : at + JOINED_WORDS]
+            joined = "\n".join(map(self._text, group))
+            ids = np.array(self.line_merger.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.kind)
+            is_end = ids == self.line_end
+            borders = np.concatenate([[-1], np.flatnonzero(is_end), [len(ids)]])
+            self._remember(group, ids[~is_end], np.diff(borders) - 1)
+
+    def _whole(self, words: list[str], tokenizer) -> None:
+        """New words that the library gets one by one."""
+        found = [e.ids for e in tokenizer.encode_batch_fast([self._text(w) for w in words], add_special_tokens=False)]
+        self._remember(words, np.array([i for ids in found for i in ids], self.kind), np.array([len(ids) for ids in found], np.int64))
+
+    def _learn(self, words: list[str]) -> None:
+        single, parts, special = dict.fromkeys(w for w in words if w.isalpha()), {}, []  # letters are one part
+        for word in words:
+            if word not in single:
+                text = self._text(word)
+                if any(t in text for t in self.added) or not (text.isascii() or text.replace("\n", "").isprintable()):
+                    special.append(word)
+                else:
+                    parts[word] = [self._key(p) for p in _CUT(text)]
+        known = self.known
+        single |= dict.fromkeys(p for cut in parts.values() for p in cut if p not in known)
+        self._merge([w for w in single if "\n" not in w])
+        self._whole([w for w in single if "\n" in w], self.merger)
+        self._whole(special, self.tokenizer)
+        made = {w: cut for w, cut in parts.items() if w not in known}
+        numbers = np.array([known[p] for cut in made.values() for p in cut], np.int64)
+        ends = np.cumsum([0, *map(len, made.values())])
+        before = np.concatenate([[0], np.cumsum(self.held.lengths(numbers))])
+        self._remember(list(made), self.held.take(numbers), np.diff(before[ends]))
+
+    def _forget(self) -> None:
+        while len(self.known) > CACHED_WORDS or self.held.held > 8 * CACHED_WORDS:
+            old = (len(self.known) + 1) // 2
+            self.known = {w: number - old for w, number in self.known.items() if number >= old}
+            self.held.drop(old)
+
+    def encode(self, values: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another and their numbers."""
         if not self.by_word:
-            encoded = self.tokenizer.encode_batch_fast(values, add_special_tokens=False)
-            return [np.array(e.ids, self.kind) for e in encoded]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        rows, fresh, get = [], set(), self.known.get
-        for value in values:
-            words = _parts(value)
-            words[0] = f" {words[0]}"  # no space before it
-            found = list(map(get, words))
-            if None in found:
-                fresh.update(w for w, ids in zip(words, found, strict=True) if ids is None)
-                rows.append((words, None))
-            else:
-                rows.append((words, found))
-        if fresh:
-            self._learn(fresh)
-        return [np.frombuffer(b"".join(found or map(self.known.__getitem__, words)), self.kind) for words, found in rows]
+            encoded = [e.ids for e in self.tokenizer.encode_batch_fast(values.to_pylist(), add_special_tokens=False)]
+            return np.array([i for ids in encoded for i in ids], self.kind), np.array([len(ids) for ids in encoded], np.int64)
+        if not len(values):
+            return np.zeros(0, self.kind), np.zeros(0, np.int64)
+        self._forget()
+        parts = _parts(values)
+        starts = np.asarray(parts.offsets)[:-1] - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        words, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), np.array(coded.indices, np.int64)
+        leading = {code: len(words) + k for k, code in enumerate(dict.fromkeys(codes[starts].tolist()))}
+        codes[starts] = [leading[c] for c in codes[starts].tolist()]
+        words += [f" {words[code]}" for code in leading]  # no space before them
+        found = list(map(self.known.get, words))
+        fresh = [k for k, number in enumerate(found) if number is None]
+        self._learn([words[k] for k in fresh])
+        for k in fresh:
+            found[k] = self.known[words[k]]
+        numbers = np.array(found, np.int64)[codes]
+        return self.held.take(numbers), np.add.reduceat(self.held.lengths(numbers), starts)
 
 
 _encoders: dict[int, _Words] = {}
@@ -204,6 +289,17 @@ class _Blocks:
             yield self._cut(False)
 
 
+def _by_octets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``ENCODED_OCTETS`` of text, or of one row."""
+    for batch in batches:
+        ends, at = np.cumsum(pc.binary_length(batch["text"]).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+        while at < len(ends):
+            limit = ENCODED_OCTETS + (ends[at - 1] if at else 0)
+            to = max(at + 1, int(np.searchsorted(ends, limit, "right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def write_planes(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = 0, block: int = BLOCK) -> DataFrame:
     """Encode whole texts, append ``end_id`` to each, write them to ``path`` in ascending id; returns the data set."""
     spark = docs.sparkSession
@@ -219,9 +315,11 @@ def write_planes(docs: DataFrame, path: str, tokenizer_json: str, end_id: int =
         end = np.array([end_id], words.kind)
         gc.disable()  # nothing here is cyclic, and the remembered words are many
         try:
-            for part in slices(batches):
-                for doc_id, ids in zip(part["doc_id"].to_pylist(), words.encode(part["text"].to_pylist()), strict=True):
-                    for row in out.add(doc_id, np.concatenate([ids, end])):
+            for part in _by_octets(batches):
+                ids, lengths = words.encode(part["text"])
+                ends = np.cumsum(lengths)
+                for doc_id, to, n in zip(part["doc_id"].to_pylist(), ends.tolist(), lengths.tolist(), strict=True):
+                    for row in out.add(doc_id, np.concatenate([ids[to - n : to], end])):
                         yield pa.RecordBatch.from_pylist([row], schema=kind)
             for row in out.end():
                 yield pa.RecordBatch.from_pylist([row], schema=kind)
