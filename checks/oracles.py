@@ -214,3 +214,8 @@ ORACLES: dict[str, str] = {
     "live_item_ranking": _HOT_ITEMS,
     "stream_late_events": f"select ip, user_id, ts_ms, method, url from ({_DROPPED_REQUESTS}) where {_LATE}",
 }
+ORACLES["stream_labelled_outputs"] = f"""
+    select 'ranking' as output, * from ({ORACLES["stream_hot_pages"]})
+    union all by name
+    select 'late' as output, * from ({ORACLES["stream_late_events"]})
+"""

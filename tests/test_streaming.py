@@ -7,9 +7,10 @@ import reference_model as model
 from wavecount.plans.hot_items_sql import hot_items_sql
 from wavecount.sources.access_log import parse_access_log
 from wavecount.sources.behavior import parse_behavior
+from wavecount.sources.lines import stream_lines
 from wavecount.streaming import jobs
 from wavecount.streaming.replay import replay_in_drops
-from wavecount.streaming.sinks import BatchFolder, OpenSpans, Progress, console, labelled
+from wavecount.streaming.sinks import BatchFolder, CommittedFolders, OpenSpans, Progress, console, labelled
 
 HOUR = 3_600_000
 
@@ -147,6 +148,44 @@ def test_finish_ranks_what_is_still_open(spark, tmp_path):
     assert {tuple(r) for r in out.read(spark).drop("batch_id").collect()} == model.ranked(model.counts(rows, HOUR, 300_000), 5)
 
 
+def test_a_batch_killed_between_its_outputs_leaves_neither(spark, tmp_path, monkeypatch):
+    drops = [[(1_000, "/a"), (700_000, "/b")], [(30_000, "/lost"), (900_000, "/c")], [(40_000, "/lost2"), (990_000, "/d")]]
+    lines = spark.createDataFrame([(log_line(ms, url), n) for n, drop in enumerate(drops) for ms, url in drop], "value string, drop int")
+    together = CommittedFolders(str(tmp_path / "out"), {"ranking": jobs.RANKED_PAGES, "late": jobs.LATE_REQUESTS})
+    store, progress = OpenSpans(str(tmp_path / "spans"), "url", "string"), Progress(str(tmp_path / "progress"))
+    out, late = together["ranking"], together["late"]
+    assert out.read(spark).collect() == [] and together.newest(spark) is None
+
+    def start(rows):
+        return jobs.stream_hot_pages(
+            parse_access_log(rows), store, progress, out, str(tmp_path / "state"), available_now=True, late=late,
+            together=together)
+
+    written = out.write
+
+    def stopped(rows, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost between the outputs")
+        written(rows, batch_id)
+
+    monkeypatch.setattr(out, "write", stopped)
+    with pytest.raises(Exception, match="lost between the outputs"):
+        replay_in_drops(lines, "drop", str(tmp_path / "in"), start)
+    assert (tmp_path / "out" / "late" / "batch_id=1").exists()
+    assert together.newest(spark) == 0
+    assert {r.batch_id for r in out.read(spark).unionByName(late.read(spark), allowMissingColumns=True).collect()} <= {0}
+    assert late.read(spark).collect() == []
+
+    monkeypatch.setattr(out, "write", written)
+    start(stream_lines(spark, str(tmp_path / "in") + "/*/*", max_files_per_trigger=1).select("value")).awaitTermination()
+    assert together.newest(spark) == 2 and len(list((tmp_path / "out" / "_commits").glob("[0-9]*"))) == 1
+    assert {(r.batch_id, r.url) for r in late.read(spark).collect()} == {(1, "/lost"), (2, "/lost2")}
+    assert {(r.url, r.cnt) for r in jobs.latest_ranking(out, spark).collect()} == {("/a", 1), ("/b", 1), ("/c", 1)}
+    assert together.done(spark, 2) and not together.done(spark, 3)
+    with pytest.raises(ValueError, match="another run"):
+        together.done(spark, 0)
+
+
 def test_rerun_of_a_batch_leaves_the_same_rows(spark, tmp_path):
     out = BatchFolder(str(tmp_path / "out"), "id bigint")
     progress = Progress(str(tmp_path / "progress"))

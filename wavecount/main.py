@@ -25,7 +25,7 @@ from wavecount.sources.behavior import parse_behavior
 from wavecount.sources.lines import (
     FILE_PLACE, KAFKA_PLACE, read_lines, read_lines_in_order, replay_to_kafka, stream_kafka_lines, stream_lines, stream_lines_with_place)
 from wavecount.streaming import jobs, live
-from wavecount.streaming.sinks import BatchFolder, HandOver, OpenSpans, Progress, print_rows
+from wavecount.streaming.sinks import BatchFolder, CommittedFolders, HandOver, OpenSpans, Progress, print_rows
 
 
 def _emit(result: DataFrame, args: argparse.Namespace, name: str) -> None:
@@ -132,7 +132,8 @@ def _follow_hot_pages(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.by_row:
         _follow_hot_pages_by_row(spark, args)
         return
-    out, late = _results(args, "hot pages", jobs.RANKED_PAGES), _results(args, "late data", jobs.LATE_REQUESTS)
+    together = CommittedFolders(args.output or args.state, {"hot pages": jobs.RANKED_PAGES, "late data": jobs.LATE_REQUESTS})
+    out, late = together["hot pages"], together["late data"]
 
     def show(ranked: DataFrame, batch_id: int) -> None:
         print_rows(page_report(ranked, args.zone), "hot pages", args.rows)
@@ -141,7 +142,7 @@ def _follow_hot_pages(spark: SparkSession, args: argparse.Namespace) -> None:
     _run(jobs.stream_hot_pages(
         parse_access_log(_live_lines(spark, args), args.mode, args.zone), OpenSpans(f"{args.state}/spans", "url", "string"),
         Progress(f"{args.state}/progress"), out, f"{args.state}/checkpoint", args.once, n=args.n, late=late,
-        handle_ranking=None if args.output else show))
+        handle_ranking=None if args.output else show, together=together))
 
 
 def _replay(spark: SparkSession, args: argparse.Namespace) -> None:

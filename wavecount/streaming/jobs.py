@@ -22,7 +22,7 @@ from wavecount.operators.lateness import (
 from wavecount.operators.ranking import TOP_N, top_n
 from wavecount.operators.windows import stream_window_counts, unroll_spans
 from wavecount.plans import hot_items, hot_pages, page_views
-from wavecount.streaming.sinks import BatchFolder, OpenSpans, Progress
+from wavecount.streaming.sinks import BatchFolder, CommittedFolders, OpenSpans, Progress
 
 RANKED_ITEMS = "item_id bigint, window_end bigint, cnt bigint, row_num int"
 RANKED_PAGES = "url string, window_end bigint, cnt bigint, row_num int"
@@ -168,17 +168,21 @@ def stream_hot_pages(requests: DataFrame, store: OpenSpans, progress: Progress,
                      checkpoint: str, available_now: bool = False, n: int = TOP_N, size: int = hot_pages.SIZE,
                      slide: int = hot_pages.SLIDE, delay: int = BOUNDED_DELAY,
                      lateness: int = ALLOWED_LATENESS, late: BatchFolder | None = None,
-                     handle_ranking: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+                     handle_ranking: Callable[[DataFrame, int], None] | None = None,
+                     together: CommittedFolders | None = None) -> StreamingQuery:
     """The top pages of a window when it closes, and again whenever a late row changes it.
 
     Every row moves the watermark, also one that is no page request. What is ranked in
     a batch is every window that the on-time watermark passed since the last batch,
     and every window passed before that the batch touched. Requests and windows are
     compared with the watermark of the earlier batches; a request that all its windows
-    lost goes to ``late``. The store holds one row per url and slide interval.
+    lost goes to ``late``. The store holds one row per url and slide interval. With
+    ``together``, which ``out`` and ``late`` are of, both appear at once.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if together and together.done(spark, batch_id):
+            return
         before = progress.before(spark, batch_id)
         now = progress.advance(batch.select(F.unix_millis("ts").alias("ts_ms")), "ts_ms", batch_id)
         seen = None if before is None else before - delay
@@ -198,6 +202,8 @@ def stream_hot_pages(requests: DataFrame, store: OpenSpans, progress: Progress,
             counts = unroll_spans(merged, ["url"], size, slide).filter(closed).join(touched, "window_end", "left")
             ranked = _rank_pages(counts.filter(F.col("touched") | news), n)
         out.write(ranked, batch_id)
+        if together:
+            together.commit(spark, batch_id)
         if handle_ranking:
             handle_ranking(out.read_batch(spark, batch_id), batch_id)
 
@@ -205,7 +211,8 @@ def stream_hot_pages(requests: DataFrame, store: OpenSpans, progress: Progress,
 
 
 def finish_hot_pages(spark: SparkSession, store: OpenSpans, progress: Progress, out: BatchFolder, n: int = TOP_N,
-                     size: int = hot_pages.SIZE, slide: int = hot_pages.SLIDE, delay: int = BOUNDED_DELAY) -> None:
+                     size: int = hot_pages.SIZE, slide: int = hot_pages.SLIDE, delay: int = BOUNDED_DELAY,
+                     together: CommittedFolders | None = None) -> None:
     """Rank the windows that have not closed yet, as one more batch. Only for input that has ended."""
     last = out.read(spark).agg(F.max("batch_id")).first()[0]
     now = None if last is None else progress.before(spark, last + 1)
@@ -213,6 +220,8 @@ def finish_hot_pages(spark: SparkSession, store: OpenSpans, progress: Progress,
         return
     counts = unroll_spans(store.before(spark, last + 1), ["url"], size, slide)
     out.write(_rank_pages(counts.filter(F.col("window_end") > now - delay - FIRST_RANKING), n), last + 1)
+    if together:
+        together.commit(spark, last + 1)
 
 
 def latest_ranking(out: BatchFolder, spark: SparkSession) -> DataFrame:

@@ -56,6 +56,64 @@ class BatchFolder:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+class CommittedFolders:
+    """Outputs of one stream, by label, whose rows of a micro-batch appear together or not at all.
+
+    The outputs of a batch are written first; an empty file with its number then commits
+    all of them, and readers take batches up to the newest such file. What a batch has
+    left that was stopped before is not seen and is overwritten when it runs again; a
+    batch that is repeated after its commit is left as it is. A stream that starts again
+    from nothing needs folders of its own: an older batch than the newest is an error.
+    """
+
+    def __init__(self, path: str, schemas: dict[str, str]):
+        self._commits = f"{path}/_commits"
+        self._outputs = {label: _Committed(f"{path}/{label}", schema, self) for label, schema in schemas.items()}
+
+    def __getitem__(self, label: str) -> BatchFolder:
+        return self._outputs[label]
+
+    def _files(self, spark: SparkSession):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._commits)
+        return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def newest(self, spark: SparkSession) -> int | None:
+        """The last batch that is committed; all before it are."""
+        path, files = self._files(spark)
+        if not files.exists(path):
+            return None
+        return max((int(f.getPath().getName()) for f in files.listStatus(path)), default=None)
+
+    def done(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether this batch is a repeat of the committed one."""
+        newest = self.newest(spark)
+        if newest is not None and batch_id < newest:
+            raise ValueError(f"batch {batch_id} after batch {newest}: these outputs belong to another run")
+        return newest == batch_id
+
+    def commit(self, spark: SparkSession, batch_id: int) -> None:
+        path, files = self._files(spark)
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        files.create(where(path, str(batch_id)), True).close()
+        for status in files.listStatus(path):  # the newest is enough
+            if int(status.getPath().getName()) < batch_id:
+                files.delete(status.getPath(), False)
+
+
+class _Committed(BatchFolder):
+    """One output of several that are committed together."""
+
+    def __init__(self, path: str, schema: str, together: CommittedFolders):
+        super().__init__(path, schema)
+        self._together = together
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        newest = self._together.newest(spark)
+        if newest is None:
+            return spark.createDataFrame([], f"{self.schema}, batch_id bigint")
+        return super().read(spark).filter(F.col("batch_id") <= newest)
+
+
 class Progress:
     """The largest event time up to each micro-batch, carried from batch to batch.
 
