@@ -191,3 +191,16 @@ def test_scratch_tables_go(spark, tmp_path):
     assert outside.count() == 3
     with pytest.raises(Exception):
         spark.read.parquet(path.rsplit("/", 1)[0]).count()
+
+
+def test_any_session_can_rank_live_input(spark, tmp_path):
+    """Rankings run where the session has Spark's default state store, and leave that setting as it is."""
+    setting, default = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    ours = spark.conf.get(setting)
+    spark.conf.set(setting, default)
+    try:
+        rows = disordered(3, 30)
+        assert run_pages(spark, str(tmp_path), rows, lambda k: k // 15) == expected(rows)
+        assert spark.conf.get(setting) == default
+    finally:
+        spark.conf.set(setting, ours)

@@ -11,6 +11,10 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_PROVIDERS = "org.apache.spark.sql.execution.streaming.state."
+_ROCKSDB = f"{_PROVIDERS}RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "wavecount", master: str | None = None,
                   shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
@@ -27,8 +31,7 @@ def build_session(app_name: str = "wavecount", master: str | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config(_PROVIDER, _ROCKSDB)
     )
     if master:
         builder = builder.master(master)
@@ -39,6 +42,25 @@ def build_session(app_name: str = "wavecount", master: str | None = None,
     return builder.getOrCreate()
 
 
+@contextmanager
+def with_column_families(spark: SparkSession) -> Iterator[None]:
+    """A query started inside has a state store with column families, as ``transformWithState`` needs.
+
+    Spark's default store has none; a session that names another keeps it. A query takes
+    its settings when it starts, so the session has its own again afterwards.
+    """
+    default = f"{_PROVIDERS}HDFSBackedStateStoreProvider"
+    named = spark.conf.get(_PROVIDER)
+    if named != default:
+        yield
+        return
+    spark.conf.set(_PROVIDER, _ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, named)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder which all executors share: ``spark.checkpoint.dir`` of the session.
 

@@ -27,7 +27,7 @@ from wavecount.operators.lateness import (
     ALLOWED_LATENESS, ASCENDING_DELAY, BOUNDED_DELAY, FIRST_COUNT, batch_late_rows, batch_spans, lost_after)
 from wavecount.operators.ranking import TOP_N, top_n
 from wavecount.plans import hot_items, hot_pages
-from wavecount.session import scratch, ship_package
+from wavecount.session import scratch, ship_package, with_column_families
 from wavecount.sources.lines import FILE_PLACE
 from wavecount.streaming.jobs import for_each_batch
 from wavecount.streaming.open_windows import SPANS, window_counts
@@ -177,4 +177,5 @@ def _start(spark: SparkSession, windows: Windows, handed: HandOver, handle: Call
            available_now: bool, on_close: bool, max_files_per_trigger: int | None) -> StreamingQuery:
     ship_package(spark)
     counts = window_counts(handed.stream(spark, max_files_per_trigger), windows.key, windows.size, windows.slide, windows.after, on_close)
-    return for_each_batch(counts, handle, "update", checkpoint, available_now)
+    with with_column_families(spark):
+        return for_each_batch(counts, handle, "update", checkpoint, available_now)
