@@ -714,3 +714,33 @@ def test_trees_connect_what_close_pairs_connect():
         sets = [s for s in sets if len(s)]
         pairs = [(a, b) for a in range(len(sets)) for b in range(a) if signature_trees.close(sets[a], sets[b], 80, 100)]
         assert connected(len(sets), signature_trees.Tree(sets, 80, 100).find_links()) == connected(len(sets), pairs)
+
+
+def test_components_of_few_links_take_few_tasks(spark, monkeypatch):
+    """However many partitions shuffles have, few links are joined by as many tasks as there are cores; stars need no round."""
+    from wavecount.llm import components
+
+    written, real = [], components.materialise
+
+    def noted(df, label="table", keep=False):
+        table = real(df, label, keep)
+        written.append((label, len(table.inputFiles())))
+        return table
+
+    monkeypatch.setattr(components, "materialise", noted)
+    chain, star = [(k + 1, k) for k in range(300)], [(k, 1_000) for k in range(1_001, 1_301)]
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for links, root in ((chain, 0), (star, 1_000)):
+            written.clear()
+            found = components.components(spark.createDataFrame(links, "u long, v long").repartition(4)).collect()
+            assert {(r.node, r.root) for r in found} == {(n, root) for link in links for n in link} and len(found) == 301
+            assert max(files for label, files in written[1:-1]) <= spark.sparkContext.defaultParallelism
+            assert ("least" in dict(written)) == (links is chain)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert components.components(spark.createDataFrame([], "u long, v long")).collect() == []

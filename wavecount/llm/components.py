@@ -55,10 +55,25 @@ def forests(links: DataFrame, links_at_once: int = LINKS) -> DataFrame:
     return links.select("u", "v").mapInArrow(joined, "u long, v long")
 
 
-def _towards_least(pairs: DataFrame) -> DataFrame:
+def in_tasks(rows: DataFrame, n: int) -> DataFrame:
+    """About ``n`` short rows in tasks of as many as one joins at once; more tasks only where there are as many cores."""
+    return rows.coalesce(max(rows.sparkSession.sparkContext.defaultParallelism, -(-n // LINKS)))
+
+
+def _towards_least(pairs: DataFrame, n: int) -> DataFrame:
     """Columns u, v and the least of u and all its v; minima are combined before the shuffle, and a hub's pairs stay where they are."""
-    least = materialise(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
-    return look_up(pairs, least, "u", "n").withColumn("m", F.least("u", "m"))
+    least = materialise(in_tasks(pairs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), n), "least")
+    return in_tasks(look_up(pairs, least, "u", "n").withColumn("m", F.least("u", "m")), n)
+
+
+def _state(edges: DataFrame, n: int) -> tuple[int, bool]:
+    """How many links there are, and whether they are stars: each u has one v, which is no u."""
+    ends = edges.select(F.inline(F.array(
+        F.struct(F.col("u").alias("node"), F.lit(1).alias("leaf"), F.lit(0).alias("hub")),
+        F.struct(F.col("v").alias("node"), F.lit(0).alias("leaf"), F.lit(1).alias("hub")))))
+    nodes = in_tasks(ends.groupBy("node").agg(F.sum("leaf").alias("leaf"), F.max("hub").alias("hub")), n)
+    links, far = nodes.agg(F.sum("leaf"), F.max((F.col("leaf") + F.col("hub") > 1) & (F.col("leaf") > 0))).first()
+    return links or 0, not far
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -71,15 +86,17 @@ def components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     with scratch(spark):
         links = materialise(links.select("u", "v"), "links")  # whatever makes them has done with its Python workers
-        edges, before = materialise(forests(links).distinct(), "links"), None
+        n = links.count()
+        edges = materialise(in_tasks(forests(in_tasks(links, n)).distinct(), n), "links")
         while True:
-            state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-            if state == before or not state[0]:
-                stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select("v", "v").distinct())
+            n, are_stars = _state(edges, n)
+            if are_stars:
+                hubs = in_tasks(edges.select("v", "v").distinct(), n)
+                stars = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(hubs)
                 return materialise(stars, "components", keep=True)
-            before = state
             both = edges.union(edges.select("v", "u"))
-            large = materialise(_towards_least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-            small = _towards_least(large)
+            large = _towards_least(both, 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            large = materialise(in_tasks(large, 2 * n), "large")
+            small = _towards_least(large, 2 * n)
             stars = small.select("v", "m").union(small.select("u", "m")).toDF("u", "v").where("u <> v")
-            edges = materialise(forests(stars).distinct(), "links")
+            edges = materialise(in_tasks(forests(in_tasks(stars, 2 * n)).distinct(), 2 * n), "links")

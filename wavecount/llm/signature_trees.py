@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wavecount.llm.common import in_files, look_up, slices, texts, with_places, without_rows
-from wavecount.llm.components import components, forest
+from wavecount.llm.components import components, forest, in_tasks
 from wavecount.llm.golomb_dedup import golomb, ungolomb
 from wavecount.session import materialise, scratch
 
@@ -677,12 +677,13 @@ def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, c
     num, den = threshold
     spark = docs.sparkSession
     segments = Segments(num, den)
-    cut = Cut(docs.count(), max(b - a for a, b in map(segments.levels, range(1, 4_096))))
+    n_docs = docs.count()
+    cut = Cut(n_docs, max(b - a for a, b in map(segments.levels, range(1, 4_096))))
     with scratch(spark):
         clusters = components(_tied(_parcels(docs, words, num, den, cut), cut))
         members = materialise(_members(docs, words, num, den, _filter(clusters, cut.place_bits), cut), "members", keep=True)
         copies = members.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.count("*").alias("copies"))
-        copies = materialise(copies.where("copies > 1"), "copies", keep=True)
+        copies = materialise(in_tasks(copies.where("copies > 1"), n_docs), "copies", keep=True)
         held = members.where(F.col("packed").isNotNull())
         outlines = held.select("cid", "n_shingles", "least", F.inline("nodes")).repartition("node")  # once for both steps
         outlines = outlines.dropDuplicates(["node", "cid"]).join(clusters, "node").withColumn("octets", F.length("bits"))
@@ -698,11 +699,12 @@ def _found(docs: DataFrame, words: int, threshold: tuple[int, int], unit: int, c
         counts = links.where(F.col("n").isNotNull()).groupBy(F.col("u").alias("cid")).agg(F.sum("n").alias("n_near"))
         known = known.join(counts, "cid", "left")
     known = known.join(copies, "cid", "full").withColumn("n", F.coalesce("copies", F.lit(1)))
-    rows = look_up(rows, materialise(known.where(F.col("cid").isNotNull()), "known", keep=True), "cid", "n")
+    known = materialise(in_tasks(known.where(F.col("cid").isNotNull()), n_docs), "known", keep=True)
+    rows = in_tasks(look_up(rows, known, "cid", "n"), n_docs)
     n_links = [(F.coalesce("n_near", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).alias("n_links")] if count else []
     rows = rows.select("doc_id", "_file", "_line", "n_shingles", F.coalesce("root", "cid").alias("root"), *n_links)
     least = rows.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("in_root"))
-    rows = look_up(rows, materialise(least, "roots", keep=True), "root", "in_root")
+    rows = in_tasks(look_up(rows, materialise(in_tasks(least, n_docs), "roots", keep=True), "root", "in_root"), n_docs)
     component = F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
     return rows.select("doc_id", "_file", "_line", "n_shingles", "root", component, *(["n_links"] if count else []))
 
