@@ -676,6 +676,56 @@ def test_segments_lose_no_pair():
                 assert np.intersect1d(np.concatenate(segments.signatures(left)), np.concatenate(segments.signatures(right))).size
 
 
+def test_sets_that_share_a_passage_are_not_tied():
+    rng = np.random.default_rng(14)
+    for num, den in ((85, 100), (80, 100)):
+        segments, passage = signature_trees.Segments(num, den), rng.integers(0, 1 << 64, 25, dtype=np.uint64)
+        sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 64, int(rng.integers(180, 460)), dtype=np.uint64)])) for _ in range(400)]
+        holders = defaultdict(set)
+        for k, s in enumerate(sets):
+            for keys in segments.signatures(s):
+                for key in keys.tolist():
+                    holders[key].add(k)
+        tied = [h for h in holders.values() if len(h) > 1]
+        assert len(set().union(*tied)) < 100
+
+
+def test_segments_lose_no_pair_at_the_threshold():
+    """Sets as far apart as close ones can be, one of them at the border of a level or beyond it."""
+    rng, met = np.random.default_rng(15), 0
+    for num, den in ((85, 100), (80, 100), (1, 2)):
+        segments = signature_trees.Segments(num, den)
+        for size in [1, 2, 7, *(int(t) + d for t in segments.tops[:11] for d in (-1, 0, 1))]:
+            for gone in range(0, size * (den - num) // den + 1, 1 + size // 40):
+                both = size - gone
+                more = max(both * den // num - size, 0)
+                new = rng.integers(0, 1 << 64, size + more, dtype=np.uint64)
+                left, right = np.unique(new[:size]), np.unique(new[gone:])
+                if not signature_trees.close(left, right, num, den):
+                    continue
+                met += 1
+                level = max(segments.levels(size)[0], segments.levels(len(right))[0])
+                keys = [segments.signatures(s)[level - segments.levels(len(s))[0]] for s in (left, right)]
+                assert np.intersect1d(*keys).size
+    assert met > 500
+
+
+def test_links_are_counted_once_however_keys_collide(spark, monkeypatch):
+    """With keys of three bits everything is one cluster, a class with its nodes of all levels."""
+    made = signature_trees.Cut.__init__
+
+    def short(cut, rows, span):
+        made(cut, rows, span)
+        cut.key_bits = 3
+
+    monkeypatch.setattr(signature_trees.Cut, "__init__", short)
+    rows = [(k, t) for k, t in _copies() if len(t) < 400]
+    sets = [_shingles(t, 3) for _, t in rows]
+    near = [sum(a != b and 100 * len(s & r) >= 80 * len(s | r) for b, r in enumerate(sets) if s and r) for a, s in enumerate(sets)]
+    got = signature_trees.similar(documents(spark, rows), 3, (80, 100)).collect()
+    assert {r.doc_id: r.n_links for r in got} == {k: n for (k, _), n in zip(rows, near, strict=True)} and sum(near) > 20
+
+
 def test_components(spark):
     links = [(k, k + 1) for k in range(0, 60) if k % 10 != 9] + [(500, 100), (500, 100), (100, 500), (7, 7)] + [(900, k) for k in range(700, 780)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}

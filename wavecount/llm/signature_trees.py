@@ -3,8 +3,10 @@
 1. Equal sets become one class. Shingles are 64-bit hashes; a class is named by a hash
    of its set.
 2. Which classes can be close at all: the range of hashes is cut into more segments
-   than two close sets can have differing shingles, so close sets agree in a whole
-   segment. Segments depend on the level of size alone, and a pair meets at the level of
+   than two close sets can have differing shingles, so close sets agree in whole
+   segments. Of these a set leaves out as many as it agrees in with any close one, but
+   one, those of the fewest shingles: in them sets agree that share a passage or nothing.
+   Segments depend on the level of size alone, and a pair meets at the level of
    the larger set; a class has a node for each level it may meet others at. Tasks send
    sorted keys of segments, Golomb-coded, to the owners of their ranges, with the nodes;
    owners answer with links between nodes that share a key. Keys and nodes are cut to
@@ -152,21 +154,27 @@ class Segments:
         return int(first), int(last)
 
     def signatures(self, s: np.ndarray) -> list[np.ndarray]:
-        """For the own level and each one above, keys of which two sets that are close and meet there share at least one."""
-        first, last = self.levels(len(s))
-        spread, out = mix(s ^ _PLACES[1]), []
-        by_level = np.arange(last + 1, dtype=_U) * _PLACES[3]
+        """For the own level and each one above, keys of which two sets that are close and meet there share at least one.
+
+        A set close to this one differs from it in ``own`` segments at most and agrees in
+        the other ``count - own``, empty ones among them. So each set may leave out all
+        but ``own + 1`` keys by an order in which both have the segments they agree in:
+        the last of these is left out by neither. Segments of few shingles go first, as
+        sets that share a passage or nothing agree in those.
+        """
+        size, (first, last) = len(s), self.levels(len(s))
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(mix(s ^ _PLACES[1]), dtype=_U)])
+        by_level, out = np.arange(last + 1, dtype=_U) * _PLACES[3], []
         for level in range(first, last + 1):
-            most = self.differing(int(self.tops[level]), int(self.tops[level]))
-            count = most + 2 + most // 32
+            top = int(self.tops[level])
+            most = self.differing(top, top)
+            own = self.differing(size, min(top, size * self.den // self.num))
+            count = most + 2 + most // 4
             place = ((s >> _U(32)) * _U(count)) >> _U(32)  # rises with the hash, so segments lie together
-            starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            seeds = place[starts] * _PLACES[2] + by_level[level]
-            keys = mix(np.add.reduceat(spread, starts) + seeds)
-            if count - len(starts) >= count - most:  # empty segments might be all that a close set agrees in
-                empty = np.setdiff1d(np.arange(count, dtype=_U), place[starts])
-                keys = np.concatenate([keys, mix(empty * _PLACES[2] + by_level[level])])
-            out.append(keys)
+            widths = np.bincount(place.astype(np.int64), minlength=count)
+            kept = np.argsort(np.minimum(widths, 255).astype(np.uint8), kind="stable")[count - own - 1 :]
+            ends = np.cumsum(widths)[kept]
+            out.append(mix(sums[ends] - sums[ends - widths[kept]] + kept.astype(_U) * _PLACES[2] + by_level[level]))
         return out
 
 
@@ -545,9 +553,9 @@ def _members(docs: DataFrame, words: int, num: int, den: int, wanted: np.ndarray
     each, its least shingle and its text under zstandard.
     """
     shared = docs.sparkSession.sparkContext.broadcast(wanted.tobytes())
-    kind = pa.list_(pa.struct([("node", pa.int64()), ("place", pa.int32()), ("bits", pa.binary())]))
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("place", pa.int32()), ("level", pa.int32()), ("bits", pa.binary())]))
     schema = ("doc_id long, _file long, _line long, n_shingles long, cid long, least long, packed binary, "
-              "nodes array<struct<node:long,place:int,bits:binary>>")
+              "nodes array<struct<node:long,place:int,level:int,bits:binary>>")
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen, segments = np.frombuffer(shared.value, np.int64), set(), Segments(num, den)
@@ -561,8 +569,8 @@ def _members(docs: DataFrame, words: int, num: int, den: int, wanted: np.ndarray
                 if len(s) and cid not in seen and int(bits[place >> 6]) >> (place & 63) & 1:
                     seen.add(cid)
                     first, last = segments.levels(len(s))
-                    nodes = [{"node": cut.node(cid, k), "place": k, "bits": outline(s, _width(int(segments.tops[first + k]))).tobytes()}
-                             for k in range(last - first + 1)]
+                    nodes = [{"node": cut.node(cid, k), "place": k, "level": first + k,
+                              "bits": outline(s, _width(int(segments.tops[first + k]))).tobytes()} for k in range(last - first + 1)]
                     rows.append((len(s), cid, int(s[:1].view(np.int64)[0]), compress(text.encode("utf-8", "surrogatepass")), nodes))
                 else:
                     rows.append((len(s), cid, None, None, None))
@@ -610,9 +618,9 @@ def _by_unit(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Ite
 def _refined(nodes: DataFrame, num: int, den: int) -> DataFrame:
     """Links (u, v) of nodes whose bitmaps and sizes leave them possibly close, as far as they connect.
 
-    Nodes of one level have bitmaps of one width; others are in a cluster by chance.
+    Only nodes of one level are compared; others are in a cluster by chance.
     """
-    unit = (*_UNIT, "octets")
+    unit = (*_UNIT, "level")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, []
@@ -648,15 +656,15 @@ def _links(units: DataFrame, words: int, num: int, den: int, count: bool) -> Dat
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        for (_, low, high), members in _by_unit(batches, ("cid", "place", "block", "copies", "packed")):
-            ids, place, block, copies, packed = zip(*members, strict=True)
-            place, block = np.array(place), np.array(block)
+        for (_, low, high), members in _by_unit(batches, ("cid", "place", "level", "block", "copies", "packed")):
+            ids, place, level, block, copies, packed = zip(*members, strict=True)
+            place, level, block = np.array(place), np.array(level), np.array(block)
             tree = Tree([shingle_set(expand(t).decode("utf-8", "surrogatepass"), words) for t in packed], num, den)
             if count:
                 def counted(a: int, others: np.ndarray) -> np.ndarray:
                     """At the level of the larger set, and where the blocks of both are those that meet."""
-                    return (((place[a] == 0) | (place[others] == 0)) & (np.minimum(block[a], block[others]) == low)
-                            & (np.maximum(block[a], block[others]) == high))
+                    return ((level[a] == level[others]) & ((place[a] == 0) | (place[others] == 0))
+                            & (np.minimum(block[a], block[others]) == low) & (np.maximum(block[a], block[others]) == high))
 
                 n = tree.count_links(list(copies), counted)
                 some = np.flatnonzero(n)
